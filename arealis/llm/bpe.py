@@ -18,12 +18,14 @@ largest text plus a bounded cache.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
+import ahocorasick
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -33,22 +35,18 @@ from arealis.llm.common import arrow_batches
 #: The split pattern of the byte-level pre-tokenizer (a fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-#: Pieces that a worker keeps; beyond it the cache starts anew.
-CACHE_PIECES = 300_000
+#: Pieces that a worker keeps; beyond it only the short ones, which are the frequent ones, stay.
+CACHE_PIECES, SHORT = 600_000, 9
 
-_AFTER_SPACE = re.compile(r"\s ")
-_CUT = re.compile(r"(?<=\S) ")
+_AFTER_SPACE, _CUT = re.compile(r"\s "), re.compile(r"(?<=\S) ")
+_ASCII_SPACES = [chr(c) + " " for c in (*range(9, 14), *range(28, 32))]
 
 
-def pieces(text: str) -> list[str]:
-    """Parts that are encoded alone: each but the first begins with the space it was cut at."""
-    if _AFTER_SPACE.search(text):
-        parts = _CUT.split(text)
-    else:
-        parts = text.split(" ")
-        if parts[0] == "" and len(parts) > 1:  # a leading space has nothing before it
-            parts[0:2] = [" " + parts[1]]
-    return parts
+def plain(text: str, parts: list[str]) -> bool:
+    """No space follows white space or begins the text, so that each single space is a cut."""
+    if "" in parts:
+        return False
+    return not any(s in text for s in _ASCII_SPACES) if text.isascii() else not _AFTER_SPACE.search(text)
 
 
 def byte_symbols() -> dict[int, str]:
@@ -61,7 +59,7 @@ def byte_symbols() -> dict[int, str]:
 class TrieEncoder:
     """Byte-level BPE of words by last-token states on a trie."""
 
-    def __init__(self, path: str, cache_pieces: int = CACHE_PIECES):
+    def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         to_byte = {c: b for b, c in byte_symbols().items()}
@@ -72,16 +70,18 @@ class TrieEncoder:
         self.rank = {(raw(a), raw(b)): k for k, (a, b) in enumerate(merges)}
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.tokens = {i: s for s, i in self.ids.items()} | {i: s.encode() for s, i in self.special.items()}
-        self.longest = max(map(len, self.ids))
-        #: For each vocabulary entry: whether merging its own bytes gives it (found when first met).
-        self.usable: dict[bytes, bool | None] = dict.fromkeys(self.ids)
+        #: For each id: whether merging its own bytes gives it (found when first met).
+        self.usable: list[bool | None] = [None] * (max(self.tokens) + 1)
         self.parts = {a + b: (a, b) for a, b in self.rank}
         self.edges: dict[bytes, tuple[list, list]] = {}
-        self.follows: dict[tuple[bytes, bytes], bool] = {}
+        self.follows: dict[int, bool] = {}
+        #: Finds all entries that end at each place of a word, the longest first.
+        self.finder = ahocorasick.Automaton()
+        for token, i in self.ids.items():
+            self.finder.add_word(token.decode("latin-1"), (len(token), i))
+        self.finder.make_automaton()
         self.words = regex.compile(PATTERN)
         self.specials = re.compile("|".join(map(re.escape, self.special))) if self.special else None
-        self.cache_pieces = cache_pieces
-        self.cache: dict[str, tuple[int, ...]] = {}
 
     def _merged(self, word: bytes) -> list[bytes]:
         """Plain merging by rank, for single vocabulary entries only."""
@@ -102,9 +102,9 @@ class TrieEncoder:
             parts = out
         return parts
 
-    def _checked(self, token: bytes) -> bool:
-        self.usable[token] = self._merged(token) == [token]
-        return self.usable[token]
+    def _checked(self, i: int) -> bool:
+        self.usable[i] = self._merged(self.tokens[i]) == [self.tokens[i]]
+        return self.usable[i]
 
     def _edge(self, token: bytes) -> tuple[list, list]:
         """What stands at the token's left and right end while it is being merged, each with the rank that replaces it."""
@@ -130,70 +130,66 @@ class TrieEncoder:
         parts beside it may merge before either is replaced; of two equal merges
         the left one comes first.
         """
-        key = (first, second)
-        known = self.follows.get(key)
-        if known is None:
-            if len(self.follows) > 2_000_000:
-                self.follows.clear()
-            left, right = self._edge(first)[1], self._edge(second)[0]
-            i = j = 0
-            known = True
-            while True:
-                (a, a_until), (b, b_until) = left[i], right[j]
-                merge = self.rank.get((a, b))
-                if merge is not None and merge < a_until and merge <= b_until:
-                    known = False
-                    break
-                if a_until == b_until == 1 << 60:
-                    break
-                if a_until <= b_until:
-                    i += 1
-                else:
-                    j += 1
-            self.follows[key] = known
+        left, right = self._edge(first)[1], self._edge(second)[0]
+        i = j = 0
+        while True:
+            (a, a_until), (b, b_until) = left[i], right[j]
+            merge = self.rank.get((a, b))
+            if merge is not None and merge < a_until and merge <= b_until:
+                return False
+            if a_until == b_until == 1 << 60:
+                return True
+            if a_until <= b_until:
+                i += 1
+            else:
+                j += 1
+
+    def _state(self, last: int, token: int, pair: int) -> bool:
+        """Whether the token may stand after the last one; kept for the next time."""
+        if len(self.follows) > 1_500_000:
+            self.follows.clear()
+        known = self.follows[pair] = self.may_follow(self.tokens[last], self.tokens[token])
         return known
 
-    def encode_words(self, words: list[str]) -> dict[str, tuple[int, ...]]:
+    def encode_words(self, words: Iterable[str]) -> dict[str, tuple[int, ...]]:
         """Encode distinct words: sorted order is the depth-first order of their trie."""
         out: dict[str, tuple[int, ...]] = {}
-        usable, longest, may_follow, ids = self.usable, self.longest, self.may_follow, self.ids
-        path: list[tuple[bytes, tuple[int, ...]]] = [(b"", ())]  # last token and ids of each prefix on the way down
-        before = b""
-        for word, text in sorted((w.encode("utf-8", "surrogatepass"), w) for w in set(words)):
+        usable, checked, state, known, ends = self.usable, self._checked, self._state, self.follows.get, self.finder.iter
+        path: list[tuple[int, tuple[int, ...]]] = [(0, ())]  # last token and ids of each prefix on the way down
+        before = ""
+        for word, text in sorted((w.encode("utf-8", "surrogatepass").decode("latin-1"), w) for w in set(words)):
             same = 0
             for a, b in zip(before, word):
                 if a != b:
                     break
                 same += 1
             del path[same + 1 :]
-            for end in range(same + 1, len(word) + 1):
-                for start in range(max(0, end - longest), end):
-                    token = word[start:end]
-                    if token in usable and (usable[token] or usable[token] is None and self._checked(token)):
-                        last, seen = path[start]
-                        if start == 0 or (last and may_follow(last, token)):
-                            path.append((token, (*seen, ids[token])))
-                            break
-                else:
-                    raise ValueError(f"no token ends at byte {end} of {word!r}")
-            out[text] = path[len(word)][1]
+            done = same
+            for end, (size, token) in ends(word):
+                if end < done:
+                    continue
+                start = end + 1 - size
+                if not (usable[token] or usable[token] is None and checked(token)):
+                    continue
+                last, seen = path[start]
+                if start:
+                    pair = last << 32 | token
+                    if not (known(pair) if pair in self.follows else state(last, token, pair)):
+                        continue
+                path.append((token, (*seen, token)))
+                done = end + 1
+            if done != len(word):
+                raise ValueError(f"no token ends at byte {done + 1} of {text!r}")
+            out[text] = path[done][1]
             before = word
         return out
 
-    def encode_pieces(self, wanted: list[str]) -> dict[str, tuple[int, ...]]:
-        """Ids of pieces; the returned cache holds at least those asked for."""
-        cache = self.cache
-        missing = list({p for p in wanted if p not in cache})
-        if len(cache) + len(missing) > self.cache_pieces:
-            self.cache = cache = {}
-            missing = list(set(wanted))
-        if missing:
-            find = self.words.findall
-            split = [find(p) for p in missing]
-            known = self.encode_words([w for ws in split for w in ws])
-            for p, ws in zip(missing, split):
-                cache[p] = known[ws[0]] if len(ws) == 1 else tuple(i for w in ws for i in known[w])
-        return cache
+    def encode_pieces(self, wanted: list[str]) -> list[tuple[int, ...]]:
+        """Ids of pieces."""
+        find = self.words.findall
+        split = [find(p) for p in wanted]
+        known = self.encode_words(w for ws in split for w in ws)
+        return [known[ws[0]] if len(ws) == 1 else tuple(i for w in ws for i in known[w]) for ws in split]
 
     def segments(self, text: str) -> list[tuple[str, int | None]]:
         """The text cut at special strings, each with its id, in order."""
@@ -205,28 +201,53 @@ class TrieEncoder:
             at = m.end()
         return [*out, (text[at:], None)]
 
-    def split(self, text: str) -> list[str | int]:
-        """Pieces to encode, with the ids of special strings between them."""
-        if "<|" not in text:
-            return pieces(text)
-        out: list[str | int] = []
-        for part, special in self.segments(text):
-            out += pieces(part) if special is None else [special]
-        return out
 
+class PieceCache:
+    """Values of the pieces of texts, each distinct piece computed once while it is kept.
 
-def rejoin(parts: list[str | int]) -> list[str | int]:
-    """Give each piece after a cut its space back (see ``pieces``)."""
-    out: list[str | int] = []
-    first = True
-    for p in parts:
-        if isinstance(p, int):
-            out.append(p)
-            first = True
-        else:
-            out.append(p if first else " " + p)
-            first = False
-    return out
+    ``compute`` gives the values of distinct pieces. The hit path is a split and
+    a dictionary lookup for each piece.
+    """
+
+    def __init__(self, compute: Callable[[list[str]], Iterable], limit: int = CACHE_PIECES):
+        self.compute, self.limit = compute, limit
+        self.after: dict[str, object] = {}  # of pieces after a cut, without their space
+        self.whole: dict[str, object] = {}  # of all others
+
+    def _add(self, cache: dict, missing: set[str], head: str) -> None:
+        if len(cache) + len(missing) > self.limit:
+            short = {p: v for p, v in cache.items() if len(p) < SHORT}
+            cache.clear()
+            if len(short) < self.limit // 2:
+                cache.update(short)
+        todo = [p for p in missing if p not in cache]
+        cache.update(zip(todo, self.compute([head + p for p in todo])))
+
+    def lookup(self, texts: list[str]) -> Iterator[list]:
+        """For each text the values of its pieces, in order."""
+        split: list[list[str]] = []
+        after: set[str] = set()
+        whole: set[str] = set()
+        get = self.after.get
+        for text in texts:
+            parts = text.split(" ")
+            if not plain(text, parts):
+                parts = _CUT.split(text)
+            if parts[0] not in self.whole:
+                whole.add(parts[0])
+            if None in (found := list(map(get, parts[1:]))):
+                after.update(p for p, v in zip(parts[1:], found) if v is None)
+            split.append(parts)
+        if whole:
+            wanted = {parts[0] for parts in split} if len(self.whole) + len(whole) > self.limit else whole
+            self._add(self.whole, wanted, "")
+        if after:
+            wanted = {p for parts in split for p in parts[1:]} if len(self.after) + len(after) > self.limit else after
+            self._add(self.after, wanted, " ")
+        for parts in split:
+            found = list(map(get, parts))
+            found[0] = self.whole[parts[0]]
+            yield found
 
 
 @lru_cache(maxsize=2)
@@ -235,37 +256,6 @@ def encoder(path: str) -> TrieEncoder:
     return TrieEncoder(path)
 
 
-class TextCoder:
-    """Encodes batches of texts to any per-piece value, such as ids as text or as bytes."""
-
-    def __init__(self, path: str, value, cache_pieces: int = CACHE_PIECES):
-        self.coder, self.value, self.limit = encoder(path), value, cache_pieces
-        self.values: dict[str | int, object] = {}
-
-    def lookup(self, texts: list[str]) -> Iterator[list]:
-        """For each text, the values of its pieces in order."""
-        values = self.values
-        keyed = []
-        for text in texts:
-            parts = self.coder.split(text) if text else []
-            head, tail = parts[:1], parts[1:]
-            if "<|" in text:
-                keyed.append(rejoin(parts))
-            else:
-                keyed.append(head + [" " + p for p in tail])
-        missing = {p for parts in keyed for p in parts if p not in values}
-        if len(values) + len(missing) > self.limit:
-            values.clear()
-            missing = {p for parts in keyed for p in parts}
-        words = [p for p in missing if isinstance(p, str)]
-        known = self.coder.encode_pieces(words)
-        for p in missing:
-            values[p] = self.value((p,) if isinstance(p, int) else known[p])
-        get = values.__getitem__
-        for parts in keyed:
-            yield list(map(get, parts))
-
-
 def by_bytes(texts: list[str], limit: int = 4_000_000) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about this many characters, so that no step holds many long texts."""
     start = size = 0
@@ -278,6 +268,31 @@ def by_bytes(texts: list[str], limit: int = 4_000_000) -> Iterator[tuple[int, in
         yield start, len(texts)
 
 
+_KEPT: dict[tuple[str, str], PieceCache] = {}
+
+
+def kept(name: str, path: str, make: Callable[[], PieceCache]) -> PieceCache:
+    """The worker's cache of this name, across tasks."""
+    if (name, path) not in _KEPT:
+        _KEPT[name, path] = make()
+    return _KEPT[name, path]
+
+
+def found_values(texts: list[str], cache: PieceCache, coder: TrieEncoder, of_special: Callable[[int], object]) -> Iterator[list]:
+    """Values of the pieces of each text; special strings inside a text stand for themselves."""
+    simple = [t for t in texts if t and not any(s in t for s in coder.special)]
+    known = cache.lookup(simple)
+    for t in texts:
+        if not t:
+            yield []
+        elif not any(s in t for s in coder.special):
+            yield next(known)
+        else:
+            cut = coder.segments(t)
+            inner = cache.lookup([part for part, i in cut if i is None and part])
+            yield [v for part, i in cut if part for v in ([of_special(i)] if i is not None else next(inner))]
+
+
 def encode_decode(docs: DataFrame, tokenizer: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """For each document: its id, number of tokens, and digests of its ids and of the text decoded from them."""
     arrow_batches(docs.sparkSession)
@@ -285,17 +300,24 @@ def encode_decode(docs: DataFrame, tokenizer: str, id_column: str = "doc_id", te
     kind = dict(source.dtypes)[id_column]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = encoder(tokenizer).tokens
-        coder = TextCoder(tokenizer, lambda ids: (",".join(map(str, ids)), b"".join(tokens[i] for i in ids), len(ids)))
+        gc.disable()  # there are no cycles, and a pass over a large cache is slow
+        coder = encoder(tokenizer)
+        tokens = coder.tokens
+
+        def values(wanted: list[str]) -> Iterator[tuple[str, bytes, int]]:
+            for ids in coder.encode_pieces(wanted):
+                yield ",".join(map(str, ids)), b"".join([tokens[i] for i in ids]), len(ids)
+
+        cache = kept("encode_decode", tokenizer, lambda: PieceCache(values))
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             n, ids, decoded = [], [], []
             for a, b in by_bytes(texts):
-                for found in coder.lookup(texts[a:b]):
-                    found = [x for x in found if x[2]]
-                    n.append(sum(x[2] for x in found))
-                    ids.append(hashlib.sha256(",".join([x[0] for x in found]).encode()).hexdigest())
-                    decoded.append(hashlib.sha256(b"".join([x[1] for x in found]).decode("utf-8", "replace").encode()).hexdigest())
+                for found in found_values(texts[a:b], cache, coder, lambda i: (str(i), tokens[i], 1)):
+                    parts, raw, counts = zip(*found) if found else ((), (), ())
+                    n.append(sum(counts))
+                    ids.append(hashlib.sha256(",".join(parts).encode()).hexdigest())
+                    decoded.append(hashlib.sha256(b"".join(raw).decode("utf-8", "replace").encode()).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())], ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     out = source.mapInArrow(run, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -12,16 +12,16 @@ repeated rows give repeated results; other columns are not read.
 
 from __future__ import annotations
 
+import gc
 import os
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from arealis.llm.bpe import by_bytes, pieces
+from arealis.llm.bpe import PieceCache, by_bytes
 from arealis.llm.common import arrow_batches
 
-CACHE_PIECES = 500_000
 _SESSIONS: dict[str, Callable[[list[str]], list[int]]] = {}
 
 
@@ -50,20 +50,12 @@ def _tokenizers(path: str) -> Callable[[list[str]], list[int]]:
     if '"ByteLevel"' not in model.pre_tokenizer.__getstate__().decode():
         return whole
     specials = [t.content for t in model.get_added_tokens_decoder().values()]
-    known: dict[str, int] = {}
+    cache = PieceCache(whole)
 
     def count(texts: list[str]) -> list[int]:
         alone = [any(s in t for s in specials) for t in texts]
-        split = [[] if a else pieces(t) for a, t in zip(alone, texts)]
-        for parts in split:
-            parts[1:] = [" " + p for p in parts[1:]]
-        missing = list({p for parts in split for p in parts if p not in known})
-        if len(known) + len(missing) > CACHE_PIECES:
-            known.clear()
-            missing = list({p for parts in split for p in parts})
-        known.update(zip(missing, whole(missing)))
-        get = known.__getitem__
-        return [whole([t])[0] if a else sum(map(get, parts)) for a, t, parts in zip(alone, texts, split)]
+        split = cache.lookup([t for t, a in zip(texts, alone) if not a])
+        return [whole([t])[0] if a else sum(next(split)) for t, a in zip(texts, alone)]
 
     return count
 
@@ -75,6 +67,7 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = 1024, id_column:
     kind = dict(source.dtypes)[id_column]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gc.disable()  # there are no cycles, and a pass over a large cache is slow
         count = counter(tokenizer)
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
