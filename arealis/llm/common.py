@@ -48,3 +48,15 @@ def text_or_empty(column: str = "text") -> Column:
 def is_fold(id_column: str, modulus: int, remainder: int) -> Column:
     """crc32 of the id as text has this remainder; a null id has none of them."""
     return F.coalesce(F.crc32(F.col(id_column).cast("string").cast("binary")) % modulus == remainder, F.lit(False))
+
+
+def block_pairs(members: DataFrame, key: str, unit: str, size: int) -> DataFrame:
+    """Each member once for every pair of blocks that its block is in (columns mine, lo, hi).
+
+    The rows of a key are dealt over blocks of about ``size`` rows, so that all
+    pairs of a key can be looked at without bringing the key into one task.
+    """
+    blocks = members.groupBy(key).agg(F.ceil(F.count("*") / size).cast("int").alias("_blocks"))
+    dealt = members.join(blocks, key).withColumn("mine", F.pmod(F.xxhash64(F.lit(3), unit), F.col("_blocks")).cast("int"))
+    dealt = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    return dealt.withColumns({"lo": F.least("mine", "_other"), "hi": F.greatest("mine", "_other")}).drop("_blocks", "_other")
