@@ -232,6 +232,28 @@ def quality_scores(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE
     )
 
 
+def filtered(docs: DataFrame, model, helper, keep, text_column: str) -> DataFrame:
+    """The rows whose score ``keep`` accepts, in one pass and with all columns; ``model`` is a broadcast variable."""
+    place = docs.columns.index(text_column)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gc.disable()
+        fitted = model.value
+        cache = helper(fitted.vectors)
+        for batch in batches:
+            yield batch.filter(pa.array(keep(fitted.scores(batch.column(place).to_pylist(), cache))))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def quality_filter(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, threshold: float = 0.7, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """All columns of the documents with a score of at least ``threshold``."""
+    spark = docs.sparkSession
+    arrow_batches(spark)
+    model = fit_quality(labelled_sample(docs, labels, "quality", 4, 2, sample_rows, id_column, text_column))
+    return filtered(docs, spark.sparkContext.broadcast(model), Pooler, lambda s: s >= threshold, text_column)
+
+
 def with_scores(source: DataFrame, model, helper) -> DataFrame:
     """Id and score of each row; ``model`` is a broadcast variable, ``helper`` makes each task's cache."""
     kind = dict(source.dtypes)["_id"]

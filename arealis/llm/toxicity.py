@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arealis.llm.common import arrow_batches, is_fold
-from arealis.llm.quality_model import labelled_sample, with_scores
+from arealis.llm.quality_model import filtered, labelled_sample, with_scores
 
 #: Bounds of the fit and the size of the model.
 SAMPLE_ROWS, TERM_BITS, MAX_TERMS, FACTORS = 8000, 22, 4096, 8
@@ -157,3 +157,11 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPL
     return scored.select(
         F.col("_id").alias(id_column), is_fold("_id", 5, 0).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted")
     )
+
+
+def toxicity_filter(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, threshold: float = 0.5, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """All columns of the documents with a score below ``threshold``."""
+    spark = docs.sparkSession
+    arrow_batches(spark)
+    model = fit_toxicity(labelled_sample(docs, labels, "toxic", 5, 0, sample_rows, id_column, text_column))
+    return filtered(docs, spark.sparkContext.broadcast(model), TermCache, lambda s: s < threshold, text_column)
