@@ -1 +1 @@
-
+"""Column builders: cleaning, text keys, uncertainty."""

@@ -1 +1 @@
-
+"""DataFrame transforms of small-area statistics."""
