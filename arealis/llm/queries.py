@@ -100,8 +100,8 @@ _WORD = r"[^\x20\x09-\x0D]"
 _RULES_SQL = rf"""
 WITH docs AS (
   SELECT doc_id, COALESCE(text, '') AS text,
-         list_filter(string_split_regex(COALESCE(text, ''), '[\x20\x09-\x0D]+'), w -> w <> '') AS words,
-         list_filter(string_split(COALESCE(text, ''), chr(10)), l -> regexp_matches(l, '{_WORD}')) AS lines
+         list_filter(string_split_regex(COALESCE(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words,
+         list_filter(string_split(COALESCE(text, ''), chr(10)), lambda l: regexp_matches(l, '{_WORD}')) AS lines
   FROM documents
 ), windows AS (
   SELECT doc_id, i, array_to_string(words[i:i+4], ' ') AS win
@@ -117,7 +117,7 @@ WITH docs AS (
          CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
          CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
          CAST(COALESCE(c.n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
-         CAST(len(list_filter(words, w -> w IN (@STOP@))) AS BIGINT) AS n_stop_words,
+         CAST(len(list_filter(words, lambda w: w IN (@STOP@))) AS BIGINT) AS n_stop_words,
          CAST(len(lines) AS BIGINT) AS n_lines
   FROM docs d LEFT JOIN covered c ON d.doc_id = c.doc_id
 )
