@@ -1 +1 @@
-
+"""Incremental refresh of the fact table from a folder that fills up."""
