@@ -132,7 +132,7 @@ def csv_values(spark: SparkSession, spec: CsvSpec, counties: list[str], slug: st
     pop = [number(spec.pop_col).alias("pop")] if spec.pop_col else []
     out = rows.select(area_id(spec.geoid_col).alias("geoid"), year.cast("int").alias("year"), number(spec.value_col).alias("value"), moe.alias("moe"), *pop)
     out = out.where(county("geoid").isin(counties))
-    found = out.groupBy("geoid", "year").count().agg(F.count("*").alias("n"), F.count_if("count > 1").alias("repeated")).first()
+    found = out.groupBy("geoid", "year").count().agg(F.count("*").alias("n"), F.count_if(F.col("count") > 1).alias("repeated")).first()
     if not found["n"]:
         raise ConfigError(f"{slug}: no row is in the region; does {spec.geoid_col} hold area codes of 11 digits?")
     if found["repeated"]:
@@ -178,7 +178,7 @@ def _inside(rings: list) -> tuple[float, float]:
 
 def inner_points(spark: SparkSession, path: str, id_property: str = "GEOID") -> DataFrame:
     """id, x, y inside each (multi)polygon of a GeoJSON file."""
-    schema = f"features array<struct<properties: map<string,string>, geometry: struct<type: string, coordinates: string>>>"
+    schema = "features array<struct<properties: map<string,string>, geometry: struct<type: string, coordinates: string>>>"
     features = spark.read.schema(schema).option("multiLine", True).json(path).select(F.explode("features").alias("f"))
 
     @F.udf("struct<x: double, y: double>")  # one call for each shape, of which there are as many as areas
