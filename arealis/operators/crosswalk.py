@@ -78,12 +78,6 @@ def harmonize(df: DataFrame, edges: DataFrame, old_years: list[int], estimates:
     return df.where(~old).select(keep).unionByName(allocate(df.where(old), edges, estimates, moes, median).select(keep))
 
 
-def harmonize_rates(df: DataFrame, edges: DataFrame, old: F.Column) -> DataFrame:
-    """As ``harmonize`` for rates; ``old`` may depend on each row's own vintage."""
-    keep = ["geoid", "year", "value", "moe", "pop"]
-    return df.where(~old).select(keep).unionByName(allocate_rates(df.where(old), edges).select(keep))
-
-
 def allocate_values(df: DataFrame, edges: DataFrame, kind: str) -> DataFrame:
     """A user's old-vintage values (geoid, year, value, moe[, pop]); rates without any margin keep none."""
     if kind == "count":
