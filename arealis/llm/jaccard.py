@@ -361,14 +361,22 @@ def _across(members: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         lo, hi = pdf["lo"].iloc[0], pdf["hi"].iloc[0]
         rows = pdf.sort_values("sid")
-        first, second = rows[rows["mine"] == lo], rows[rows["mine"] == hi]
-        out = []
-        for a in first.itertuples():
-            for b in second.itertuples():
-                k = most_different(a.n, b.n)
-                if a.component != b.component and (lo != hi or a.sid < b.sid) and abs(a.n - b.n) <= k and sketch_difference(a.sketch, b.sketch) <= k:
-                    out.append((min(a.sid, b.sid), max(a.sid, b.sid)))
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+        x, y = rows[rows["mine"] == lo], rows[rows["mine"] == hi]
+        if x.empty or y.empty:
+            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
+        bits, shortest = {}, min(rows["sketch"].map(len)) * 8
+        for r in rows.itertuples():
+            parity = np.unpackbits(np.frombuffer(r.sketch, np.uint8), bitorder="little")
+            bits[r.sid] = np.bitwise_xor.reduce(parity.reshape(shortest, -1), axis=1).astype(np.float32)
+        u, v = (np.stack([bits[k] for k in z["sid"]]) for z in (x, y))
+        different = u.sum(1)[:, None] + v.sum(1)[None, :] - 2 * (u @ v.T)
+        n, m = x["n"].to_numpy()[:, None], y["n"].to_numpy()[None, :]
+        sids, others = x["sid"].to_numpy(), y["sid"].to_numpy()
+        keep = (different <= most_different(n, m)) & (abs(n - m) <= most_different(n, m)) & (x["component"].to_numpy()[:, None] != y["component"].to_numpy()[None, :])
+        if lo == hi:
+            keep &= sids[:, None] < others[None, :]
+        i, j = np.nonzero(keep)
+        return pd.DataFrame({"a": np.minimum(sids[i], others[j]), "b": np.maximum(sids[i], others[j])})
 
     labelled = members.join(labels.select(F.col("node").alias("sid"), "component"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
     open_groups = labelled.groupBy("group").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("group")
