@@ -435,7 +435,7 @@ def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     """
     rows = similar_components(docs, id_column, text_column)
     first = rows.groupBy(F.coalesce("component", F.xxhash64("id", "h")).alias("c"), F.col("component").isNull()).agg(F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "h")).alias("keep"))
-    first = first.select(F.col("keep.id").alias("_id"), F.col("keep.h").alias("_h")).distinct()
-    keyed = docs.withColumn("_key", F.xxhash64(text_column))
-    kept = keyed.join(first, F.col(id_column).eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_h")), "left_semi")
-    return kept.dropDuplicates([id_column, "_key"]).drop("_key")
+    first = first.select(F.col("keep.id").alias("__id"), F.col("keep.h").alias("__h")).distinct()
+    keyed = docs.withColumn("__key", F.xxhash64(text_column))
+    kept = keyed.join(first, F.col(id_column).eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__h")), "left_semi")
+    return kept.dropDuplicates([id_column, "__key"]).drop("__key")

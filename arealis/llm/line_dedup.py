@@ -126,12 +126,12 @@ def deleted_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str =
 
 def line_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """All columns, the text without later copies, and the numbers of lines and of deleted ones."""
-    gone = deleted_lines(docs, id_column, text_column, min_words).withColumnsRenamed({"id": "_id", "h": "_h", "gone": "_gone"})
-    keyed = docs.withColumn("_key", F.xxhash64(text_column))
-    joined = keyed.join(gone, F.col(id_column).eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_h")), "left")
+    gone = deleted_lines(docs, id_column, text_column, min_words).withColumnsRenamed({"id": "__id", "h": "__h", "gone": "__gone"})
+    keyed = docs.withColumn("__key", F.xxhash64(text_column))
+    joined = keyed.join(gone, F.col(id_column).eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__h")), "left")
     lines = F.split(text_column, "\n")
-    left = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("_gone", i)), "\n")
-    text = F.when(F.col("_gone").isNull(), F.col(text_column)).otherwise(left)
-    counts = {"n_lines": F.coalesce(F.size(lines), F.lit(0)).cast("long"), "n_deleted": F.coalesce(F.size("_gone"), F.lit(0)).cast("long")}
+    left = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("__gone", i)), "\n")
+    text = F.when(F.col("__gone").isNull(), F.col(text_column)).otherwise(left)
+    counts = {"n_lines": F.coalesce(F.size(lines), F.lit(0)).cast("long"), "n_deleted": F.coalesce(F.size("__gone"), F.lit(0)).cast("long")}
     columns = [text.alias(c) if c == text_column else F.col(c) for c in docs.columns if c not in counts]
     return joined.select(*columns, *(v.alias(k) for k, v in counts.items()))
