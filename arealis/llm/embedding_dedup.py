@@ -11,7 +11,7 @@ original vectors in double precision.
 
 Equal vectors are one node from the start. A group's pairs are never rows: its
 members are dealt over blocks, and each pair of blocks returns counts for its
-members and a spanning forest of its links.
+members and a link of each to one member of its component there.
 
 Recall: at the threshold of 0.95 a bit of two linked vectors differs with
 probability 0.1, so about 95 % of such pairs meet; closer ones more often. The
@@ -161,7 +161,7 @@ def _met(entries: DataFrame, codes: Codes) -> DataFrame:
 
 
 def _reranked(met: DataFrame, vectors: DataFrame, codes: Codes, threshold: float) -> DataFrame:
-    """For each vector and block pair: how many vectors it links with, and a link of a spanning forest (to itself at a root)."""
+    """For each vector and block pair: how many vectors it links with, and one member of its component there."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         lo, hi, slot = pdf["lo"].iloc[0], pdf["hi"].iloc[0], pdf["key"].iloc[0] >> 32
@@ -178,47 +178,30 @@ def _reranked(met: DataFrame, vectors: DataFrame, codes: Codes, threshold: float
         rids = np.r_[x["rid"].to_numpy(), y["rid"].to_numpy()]
         times_x, times_y = x["times"].to_numpy(), y["times"].to_numpy()
         links = np.r_[linked @ times_y, np.zeros(len(y), np.int64) if lo == hi else linked.T @ times_x]
-        # A forest: each linked row to its first partner, and each partner to its first row.
-        first = np.where(linked.any(1), y["rid"].to_numpy()[linked.argmax(1)], x["rid"].to_numpy())
-        second = np.where(linked.any(0), x["rid"].to_numpy()[linked.argmax(0)], y["rid"].to_numpy())
-        parts = pd.DataFrame({"rid": rids, "links": links, "other": np.r_[first, second]})
-        return pd.concat([parts, _bridges(linked, x["rid"].to_numpy(), y["rid"].to_numpy())])
+        x_root, y_root = _roots(linked, x["rid"].to_numpy(), y["rid"].to_numpy(), lo == hi)
+        return pd.DataFrame({"rid": rids, "links": links, "other": np.r_[x_root, y_root]})
 
     members = met.join(vectors.select("rid", "vector", "times"), "rid")
     dealt = block_pairs(members, "key", "rid", BLOCK)
     return dealt.groupBy("key", "lo", "hi").applyInPandas(run, "rid long, links long, other long")
 
 
-def _bridges(linked: np.ndarray, x: np.ndarray, y: np.ndarray) -> pd.DataFrame:
-    """Further links so that the forest joins all that the block pair's links join."""
-    root = np.arange(len(x) + len(y))
-
-    def find(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
-
-    names = {}
-    for k, r in enumerate([*x.tolist(), *y.tolist()]):
-        root[k] = names.setdefault(r, k)
-    for i in range(len(x)):
-        partners = np.flatnonzero(linked[i])
-        if len(partners):
-            root[find(i)] = find(len(x) + partners[0])
-    for j in range(len(y)):
-        rows = np.flatnonzero(linked[:, j])
-        if len(rows):
-            root[find(len(x) + j)] = find(rows[0])
-    out = []
-    for i in range(len(x)):
-        at = find(i)
-        partners = np.flatnonzero(linked[i])
-        for j in partners[[find(len(x) + p) != at for p in partners]] if len(partners) else ():
-            if find(len(x) + j) != find(i):
-                root[find(len(x) + j)] = find(i)
-                out.append((x[i], 0, y[j]))
-    return pd.DataFrame(out, columns=["rid", "links", "other"], dtype="int64")
+def _roots(linked: np.ndarray, x: np.ndarray, y: np.ndarray, same: bool) -> tuple[np.ndarray, np.ndarray]:
+    """For each row and column one member of its component in the block pair, by breadth-first search over whole rows."""
+    x_root, y_root = x.copy(), y.copy()
+    open_rows, open_columns = linked.any(axis=1), linked.any(axis=0)
+    while open_rows.any():
+        start = int(open_rows.argmax())
+        rows = np.zeros(len(x), dtype=bool)
+        rows[start] = True
+        while rows.any():
+            open_rows &= ~rows
+            x_root[rows] = x[start]
+            columns = linked[rows].any(axis=0) & open_columns
+            open_columns &= ~columns
+            y_root[columns] = x[start]
+            rows = (columns if same else linked[:, columns].any(axis=1)) & open_rows
+    return x_root, (x_root if same else y_root)
 
 
 def _of_width(vectors: DataFrame, width: int, threshold: float) -> DataFrame:
