@@ -30,7 +30,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -160,54 +159,64 @@ def _met(entries: DataFrame, codes: Codes) -> DataFrame:
     return entries.repartition("key").sortWithinPartitions("key").mapInArrow(run, "key long, rid long, code long")
 
 
-def _reranked(met: DataFrame, vectors: DataFrame, codes: Codes, threshold: float) -> DataFrame:
-    """For each vector and block pair: how many vectors it links with, and one member of its component there."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        lo, hi, slot = pdf["lo"].iloc[0], pdf["hi"].iloc[0], pdf["key"].iloc[0] >> 32
-        pdf = pdf.sort_values(["rid", "mine"])
-        x, y = pdf[pdf["mine"] == lo], pdf[pdf["mine"] == hi]
-        u, v = (np.stack(p["vector"].to_list()).astype(np.float64) if len(p) else np.zeros((0, 1)) for p in (x, y))
-        if not len(u) or not len(v):
-            return pd.DataFrame({"rid": [], "links": [], "other": []}).astype("int64")
-        u, v = (z / np.linalg.norm(z, axis=1, keepdims=True) for z in (u, v))
-        linked = u @ v.T >= threshold
-        a, b = (p["code"].to_numpy().view(np.uint64) for p in (x, y))
-        linked &= _first_meeting(a[:, None] ^ b[None, :], np.full((1, 1), slot), codes)
-        linked &= x["rid"].to_numpy()[:, None] != y["rid"].to_numpy()[None, :]
-        rids = np.r_[x["rid"].to_numpy(), y["rid"].to_numpy()]
-        times_x, times_y = x["times"].to_numpy(), y["times"].to_numpy()
-        links = np.r_[linked @ times_y, np.zeros(len(y), np.int64) if lo == hi else linked.T @ times_x]
-        x_root, y_root = _roots(linked, x["rid"].to_numpy(), y["rid"].to_numpy(), lo == hi)
-        return pd.DataFrame({"rid": rids, "links": links, "other": np.r_[x_root, y_root]})
-
-    members = met.join(vectors.select("rid", "vector", "times"), "rid")
-    dealt = block_pairs(members, "key", "rid", BLOCK)
-    return dealt.groupBy("key", "lo", "hi").applyInPandas(run, "rid long, links long, other long")
-
-
-def _roots(linked: np.ndarray, x: np.ndarray, y: np.ndarray, same: bool) -> tuple[np.ndarray, np.ndarray]:
-    """For each row and column one member of its component in the block pair, by breadth-first search over whole rows."""
-    x_root, y_root = x.copy(), y.copy()
-    open_rows, open_columns = linked.any(axis=1), linked.any(axis=0)
-    while open_rows.any():
-        start = int(open_rows.argmax())
-        rows = np.zeros(len(x), dtype=bool)
-        rows[start] = True
-        while rows.any():
-            open_rows &= ~rows
-            x_root[rows] = x[start]
-            columns = linked[rows].any(axis=0) & open_columns
-            open_columns &= ~columns
-            y_root[columns] = x[start]
-            rows = (columns if same else linked[:, columns].any(axis=1)) & open_rows
-    return x_root, (x_root if same else y_root)
+def _links(ints: np.ndarray, unit: np.ndarray, codes: Codes, threshold: float) -> pa.RecordBatch:
+    """Links in whole groups of sorted rows (key, lo, hi, mine, rid, code, times): counts, and a member of each row's component."""
+    key, lo, hi, mine, rid, code, times = (np.ascontiguousarray(c) for c in ints.T)
+    group = np.cumsum(np.r_[False, (ints[1:, :3] != ints[:-1, :3]).any(axis=1)])
+    code, alone, links = code.view(np.uint64), lo == hi, np.zeros(len(ints), dtype=np.int64)
+    first, second = [], []
+    for d in range(1, len(ints)):
+        i = np.flatnonzero(group[d:] == group[:-d])
+        if not len(i):
+            break
+        i = i[(alone[i] | (mine[i] != mine[i + d])) & (rid[i] != rid[i + d])]
+        i = i[_first_meeting(code[i] ^ code[i + d], key[i] >> 32, codes)]
+        i = i[np.einsum("ij,ij->i", unit[i], unit[i + d]) >= threshold]
+        links[i] += times[i + d]  # a row is at most once in either end of one distance
+        links[i + d] += times[i]
+        first.append(i)
+        second.append(i + d)
+    label = np.arange(len(ints))
+    if first:
+        a, b = np.concatenate(first), np.concatenate(second)
+        while len(a):
+            low = np.minimum(label[a], label[b])
+            before = label.copy()
+            np.minimum.at(label, a, low)
+            np.minimum.at(label, b, low)
+            label = label[label]
+            if (label == before).all():
+                break
+    found = links > 0
+    return pa.RecordBatch.from_arrays([pa.array(rid[found]), pa.array(links[found]), pa.array(rid[label][found])], ["rid", "links", "other"])
+
+
+def _reranked(met: DataFrame, vectors: DataFrame, codes: Codes, width: int, threshold: float) -> DataFrame:
+    """For each vector and pair of blocks: how many vectors it links with, and one member of its component there."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ints, unit = np.zeros((0, 7), dtype=np.int64), np.zeros((0, width))
+        for batch in batches:
+            rows = _matrix(batch.column(7), width)
+            ints = np.concatenate([ints, np.stack([c.to_numpy() for c in batch.columns[:7]], axis=1)])
+            unit = np.concatenate([unit, rows / np.linalg.norm(rows, axis=1, keepdims=True)])
+            last = int(np.flatnonzero((ints[:, :3] == ints[-1, :3]).all(axis=1))[0])  # the last group may go on
+            if last:
+                yield _links(ints[:last], unit[:last], codes, threshold)
+                ints, unit = ints[last:], unit[last:]
+        if len(ints):
+            yield _links(ints, unit, codes, threshold)
+
+    members = block_pairs(met.join(vectors.select("rid", "vector", "times"), "rid"), "key", "rid", BLOCK)
+    wide = members.select("key", *(F.col(c).cast("long").alias(c) for c in ("lo", "hi", "mine")), "rid", "code", "times", "vector")
+    dealt = wide.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "mine", "rid")
+    return dealt.mapInArrow(run, "rid long, links long, other long")
 
 
 def _of_width(vectors: DataFrame, width: int, threshold: float) -> DataFrame:
     sample = vectors.orderBy(F.xxhash64(F.lit(5), "rid"), "rid").limit(SAMPLE_ROWS).select("vector").collect()
     codes = fit_codes(np.array([r["vector"] for r in sample], dtype=np.float64))
-    return _reranked(stored(_met(_entries(vectors, codes, width), codes), "met"), vectors, codes, threshold)
+    return _reranked(stored(_met(_entries(vectors, codes, width), codes), "met"), vectors, codes, width, threshold)
 
 
 def embedding_near_dedup(embeddings: DataFrame, threshold: float = 0.95, id_column: str = "vec_id", vector_column: str = "embedding") -> DataFrame:
