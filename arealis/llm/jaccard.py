@@ -355,8 +355,8 @@ def _arrays(docs: DataFrame, needed: DataFrame) -> DataFrame:
     return joined.select("text", "sid").mapInArrow(run, "sid long, data binary").dropDuplicates(["sid"])
 
 
-def _across(members: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs of large groups' members in different components that the sketches do not exclude."""
+def _across(members: DataFrame, labels: DataFrame, sets: DataFrame, closest: bool) -> DataFrame:
+    """Pairs of large groups' members in different components that the sketches do not exclude; or of each block pair's member only the closest."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         lo, hi = pdf["lo"].iloc[0], pdf["hi"].iloc[0]
@@ -375,6 +375,12 @@ def _across(members: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame
         keep = (different <= most_different(n, m)) & (abs(n - m) <= most_different(n, m)) & (x["component"].to_numpy()[:, None] != y["component"].to_numpy()[None, :])
         if lo == hi:
             keep &= sids[:, None] < others[None, :]
+        if closest:
+            apart = np.where(keep, different - most_different(n, m), np.inf)
+            best = np.zeros_like(keep)
+            best[np.arange(len(x)), apart.argmin(axis=1)] = True
+            best[apart.argmin(axis=0), np.arange(len(y))] = True
+            keep &= best
         i, j = np.nonzero(keep)
         return pd.DataFrame({"a": np.minimum(sids[i], others[j]), "b": np.maximum(sids[i], others[j])})
 
@@ -412,11 +418,14 @@ def similar_components(docs: DataFrame, id_column: str = "doc_id", text_column:
     labels = components(links)
     links = stored(links.unionByName(_verified(_open_pairs(pairs, labels), arrays)), "links")
     labels = components(links)
-    if not groups.isEmpty():
-        across = stored(_across(groups, labels, sets), "across")
-        if not across.isEmpty():
-            arrays = stored(_arrays(source, ends(across).join(sets.select("sid", "rep"), "sid")), "arrays")
-            labels = components(links.unionByName(_verified(across, arrays)))
+    # First the closest pairs, which join nearly all that belongs together, then all pairs that are still open.
+    for closest in (True, False):
+        across = stored(_across(groups, labels, sets, closest), "across")
+        if across.isEmpty():
+            break
+        arrays = stored(_arrays(source, ends(across).join(sets.select("sid", "rep"), "sid")), "arrays")
+        links = stored(links.unionByName(_verified(across, arrays)), "links")
+        labels = components(links)
     return rows.select("id", "h", "sid", "n").join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
 
 
