@@ -1,9 +1,12 @@
 """Toxicity: a factorization machine over hashed terms.
 
-Terms of a document are its distinct words and word beginnings, hashed. Terms
-that are clearly more frequent in toxic rows become the machine's inputs; it
-learns a weight for each and a vector whose products weigh pairs of terms, so
-that two terms that are harmless alone can count together.
+Terms of a document are its distinct words and word beginnings, hashed. The
+machine's inputs are terms that are clearly more frequent in toxic rows, terms
+that are so in the toxic rows that these leave unexplained (again, until none is
+found), frequent terms that separate the classes among the rows of another term,
+and terms that are clearly more frequent in clean rows. The machine learns a
+weight for each and a vector whose products weigh pairs of terms, so that two
+terms that are harmless alone can count together.
 
 The machine is fitted on at most ``sample_rows`` labelled rows, the first by a
 hash of their id, equal texts counting once; scoring reads every whole text.
@@ -31,6 +34,8 @@ from arealis.llm.quality_model import filtered, labelled_sample, with_scores
 
 #: Bounds of the fit and the size of the model.
 SAMPLE_ROWS, TERM_BITS, MAX_TERMS, FACTORS = 8000, 22, 4096, 8
+#: Least standard scores of a term among all rows (or those of another term), and among rows that no chosen term explains.
+ALONE, LEFT_OPEN = 5.0, 4.5
 #: Shortest and longest word beginning that is a term.
 PREFIXES = (3, 10)
 CACHE_WORDS = 300_000
@@ -101,17 +106,83 @@ def text_terms(text: str) -> np.ndarray:
 
 
 def choose_terms(rows: list[np.ndarray], y: np.ndarray) -> np.ndarray:
-    """Terms that are significantly more frequent in toxic rows, the strongest first."""
-    counts = [np.zeros(1 << TERM_BITS, dtype=np.int32) for _ in range(2)]
-    for terms, label in zip(rows, y):
-        counts[int(label)][terms] += 1
-    n0, n1 = int((y == 0).sum()), int((y == 1).sum())
-    term = np.flatnonzero(counts[1] >= (3 if n1 < 200 else 5))
-    a, b = counts[1][term] / n1, counts[0][term] / n0
-    share = (counts[1][term] + counts[0][term]) / (n0 + n1)
-    z = (a - b) / np.sqrt(np.maximum(share * (1 - share) * (1 / n0 + 1 / n1), 1e-12))
-    strong = np.flatnonzero((z > 5) & (a > 2 * b))
-    return term[strong[np.argsort(-z[strong], kind="stable")]][:MAX_TERMS]
+    """Inputs of the machine: terms that separate the classes alone, in rows that others leave open, or in a pair."""
+    least = 3 if (y == 1).sum() < 200 else 5
+    chosen = spoken = np.zeros(0, dtype=np.int64)
+    explained = np.zeros(len(rows), dtype=bool)
+    taken, decides = np.zeros(1 << TERM_BITS, dtype=bool), np.zeros(1 << TERM_BITS, dtype=bool)
+    bound = ALONE
+    while (y[~explained] == 1).sum() >= least and (y[~explained] == 0).any():
+        counts = [np.zeros(1 << TERM_BITS, dtype=np.int32) for _ in range(2)]
+        for terms, label, skip in zip(rows, y, explained):
+            if not skip:
+                counts[int(label)][terms] += 1
+        n0, n1 = int((y[~explained] == 0).sum()), int((y[~explained] == 1).sum())
+        term = np.flatnonzero((counts[1] + counts[0] >= least) & ~taken)
+        z = _separation(counts[1][term], n1, counts[0][term], n0)
+        strong = np.flatnonzero((z > bound) & (counts[1][term] >= least) & (counts[1][term] * n0 > 2 * counts[0][term] * n1))
+        found = term[strong[np.argsort(-z[strong], kind="stable")]]
+        if not len(chosen):
+            clean = np.flatnonzero((z < -ALONE) & (counts[0][term] * n1 > 2 * counts[1][term] * n0))
+            spoken = term[clean[np.argsort(z[clean], kind="stable")]]
+        if not len(found):
+            break
+        chosen = np.concatenate([chosen, found])
+        taken[found] = True
+        decides[found[counts[1][found] > counts[0][found]]] = True
+        # Toxic rows with a chosen term are explained in the next round; others, and all clean rows, stay.
+        explained |= (y == 1) & np.array([taken[r].any() for r in rows])
+        bound = LEFT_OPEN
+    # Pairs are looked for in all rows but the toxic ones with a term that is mostly in such rows.
+    explained = (y == 1) & np.array([decides[r].any() for r in rows], dtype=bool)
+    paired = _paired_terms([r for r, skip in zip(rows, explained) if not skip], y[~explained], decides, least)
+    out = np.concatenate([chosen, paired, spoken])
+    return out[np.sort(np.unique(out, return_index=True)[1])][:MAX_TERMS]
+
+
+def _separation(a: np.ndarray, n1: np.ndarray, b: np.ndarray, n0: np.ndarray) -> np.ndarray:
+    """Standard score of the difference of two shares, a of n1 and b of n0."""
+    share = (a + b) / np.maximum(n0 + n1, 1)
+    spread = np.sqrt(np.maximum(share * (1 - share) * (1 / np.maximum(n0, 1) + 1 / np.maximum(n1, 1)), 1e-12))
+    return (a / np.maximum(n1, 1) - b / np.maximum(n0, 1)) / spread
+
+
+def _paired_terms(rows: list[np.ndarray], y: np.ndarray, decides: np.ndarray, least: int) -> np.ndarray:
+    """Of the most frequent terms, those that separate the classes among the rows of another, and the other so too."""
+    total, toxic = np.zeros(1 << TERM_BITS, dtype=np.int32), np.zeros(1 << TERM_BITS, dtype=np.int32)
+    sign = np.zeros(1 << TERM_BITS, dtype=np.uint64)
+    for r, label, mark in zip(rows, y, np.random.Generator(np.random.PCG64(13)).integers(1, 1 << 63, len(rows), dtype=np.uint64)):
+        total[r] += 1
+        sign[r] += mark
+        if label:
+            toxic[r] += 1
+    term = np.flatnonzero((toxic >= least) & (total < len(rows)) & ~decides)
+    term = term[np.sort(np.unique(sign[term], return_index=True)[1])]  # beginnings of a word mostly have the same rows
+    term = term[np.argsort(-total[term], kind="stable")][:MAX_TERMS]
+    if len(term) < 2:
+        return term[:0]
+    place = np.full(1 << TERM_BITS, -1, dtype=np.int32)
+    place[term] = np.arange(len(term))
+    both = [np.zeros((len(term), len(term)), dtype=np.float32) for _ in range(2)]
+    for label in range(2):
+        mine = np.flatnonzero(y == label)
+        for start in range(0, len(mine), 512):
+            x = np.zeros((len(mine[start : start + 512]), len(term)), np.float32)
+            for i, k in enumerate(mine[start : start + 512]):
+                found = place[rows[k]]
+                x[i, found[found >= 0]] = 1
+            both[label] += x.T @ x
+    n = [m.diagonal().astype(np.float64) for m in both]
+    best = np.zeros(len(term))
+    for start in range(0, len(term), 256):
+        part = slice(start, start + 256)
+        a, b = (m[part].astype(np.float64) for m in (both[1], both[0]))
+        here = _separation(a, n[1][part, None], b, n[0][part, None])
+        there = _separation(a, n[1][None], b, n[0][None])
+        weak = np.where(a >= least, np.minimum(here, there), 0)
+        best[part] = weak.max(axis=1)
+    strong = np.flatnonzero(best > ALONE)
+    return term[strong[np.argsort(-best[strong], kind="stable")]]
 
 
 def fit_toxicity(sample: list[tuple[str, int]], epochs: int = 30, batch: int = 64, rate: float = 0.02, decay: float = 1e-4) -> FactorizationMachine:

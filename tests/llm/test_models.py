@@ -4,7 +4,7 @@ import random
 import zlib
 
 from arealis.llm.quality_model import quality_filter, quality_scores
-from arealis.llm.toxicity import toxicity_filter, toxicity_scores
+from arealis.llm.toxicity import TermCache, fit_toxicity, toxicity_filter, toxicity_scores
 
 
 def corpus(n=400):
@@ -53,6 +53,37 @@ def test_toxicity(spark):
     assert {r["doc_id"] for r in toxicity_filter(docs, labels).collect()} == {i for i, r in got.items() if not r["predicted"]}
 
 
+def test_toxic_only_in_pairs():
+    """Words in half of the clean rows, never together there: neither is twice as frequent in toxic rows."""
+    rng = random.Random(7)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(500)]
+    rows = []
+    for k in range(1500):
+        text = rng.choices(words, k=20)
+        text += (["quoral", "zibnet"], ["quoral"], ["zibnet"], ["quoral"], ["zibnet"], ["quoral"], ["zibnet"], ["quoral"])[k % 8]
+        rng.shuffle(text)
+        rows.append((" ".join(text), int(k % 8 == 0)))
+    model = fit_toxicity(rows[:1000])
+    scores = model.scores([t for t, _ in rows[1000:]], TermCache(model.vectors))
+    assert [int(s >= 0.5) for s in scores] == [x for _, x in rows[1000:]]
+
+
+def test_toxic_words_behind_others():
+    """Rows toxic by one of 8 words of each of two kinds, each kind harmless alone, next to rows toxic by a single word."""
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(500)]
+    kinds = [[c + a + b + "x" for a in "iouv" for b in "ou"] for c in "qz"]
+    rows = []
+    for k in range(9000):
+        text = rng.choices(words, k=20)
+        text += [rng.choice(kinds[0]), rng.choice(kinds[1])] if k % 16 == 0 else [rng.choice(["slurone", "slurtwo"])] if k % 16 < 3 else [rng.choice(kinds[k % 2])] if k % 16 < 13 else []
+        rows.append((" ".join(text), int(k % 16 < 3), k % 16 == 0))
+    model = fit_toxicity([r[:2] for r in rows[:8000]])
+    held = list(zip(model.scores([r[0] for r in rows[8000:]], TermCache(model.vectors)), rows[8000:]))
+    assert sum(s >= 0.5 for s, r in held if r[2]) >= 0.9 * sum(r[2] for _, r in held)
+    assert sum(s >= 0.5 for s, r in held if not r[1]) <= 0.01 * len(held)
+
+
 def test_without_labels_or_rows(spark):
     docs, labels = frames(spark, corpus(5))
     none = labels.limit(0)
