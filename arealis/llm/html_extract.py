@@ -4,7 +4,8 @@ Markup is stripped into blocks of text, one per block-level element. Blocks in
 elements whose tag, role or class says menu, notice, advert, form, comments and
 so on have no weight, nor has link text. The weights are summed over a sliding
 window of blocks; the text lies between a surge, where the sum rises over a
-threshold, and the next dive. Where the page marks its article, only blocks in
+threshold, and the next dive. All such ranges are kept, and the blocks between
+two of them that have weight, so short lines inside a text do not end it. Where the page marks its article, only blocks in
 there have weight and any weight is a surge. All blocks between surge and dive
 that are no noise are kept, whatever their length.
 
@@ -196,18 +197,23 @@ def main_text(page: str | None) -> str:
     else:
         weights = [0 if b.noise else max(0, len(b.text) - 2 * b.links) for b in blocks]
         least = SURGE
-    start, end = surge_and_dive(weights, least)
-    if not best:
-        while start > 0 and blocks[start - 1].heading and not blocks[start - 1].noise:
+    keep = [False] * len(blocks)
+    ranges = surges(weights, least)
+    for k, (start, end) in enumerate(ranges):
+        while not best and start > 0 and blocks[start - 1].heading and not blocks[start - 1].noise:
             start -= 1
-    return "\n\n".join(b.text for b in blocks[start:end] if not b.noise and (not best or b.article == best))
+        keep[start:end] = [True] * (end - start)
+        # A dive between two ranges stays unless it is noise or mostly links.
+        for i in range(end, ranges[k + 1][0] if k + 1 < len(ranges) else end):
+            keep[i] = weights[i] > 0
+    return "\n\n".join(b.text for b, kept in zip(blocks, keep) if kept and not b.noise and (not best or b.article == best))
 
 
-def surge_and_dive(weights: list[int], least: int) -> tuple[int, int]:
-    """The range of blocks with the most weight between a surge of the window sums and the next dive."""
+def surges(weights: list[int], least: int) -> list[tuple[int, int]]:
+    """The ranges of blocks between a surge of the window sums and the next dive, without weightless ends."""
     n = len(weights)
     if not any(weights):
-        return 0, 0
+        return []
     half = WINDOW // 2
     sums = [sum(weights[max(0, k - half) : k + half + 1]) for k in range(n)]
     least = min(least, max(sums))
@@ -217,15 +223,15 @@ def surge_and_dive(weights: list[int], least: int) -> tuple[int, int]:
         if high and start is None:
             start = k
         elif not high and start is not None:
-            found.append((sum(weights[start:k]), -start, k))
+            end = k
+            while start < end and not weights[start]:
+                start += 1
+            while start < end and not weights[end - 1]:
+                end -= 1
+            if start < end:
+                found.append((start, end))
             start = None
-    _, start, end = max(found)
-    start = -start
-    while not weights[start]:
-        start += 1
-    while not weights[end - 1]:
-        end -= 1
-    return start, end
+    return found
 
 
 def extract_pages(pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html") -> DataFrame:

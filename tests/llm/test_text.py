@@ -152,3 +152,12 @@ def test_pages(spark):
     got = {r["page_id"]: r for r in extract_pages(spark.createDataFrame([(*r, "x") for r in rows], "page_id long, url string, html string, text string")).collect()}
     assert [got[k]["text"] for k in (2, 3, 4, None, 5, 6)] == ["", "", "a < b", "", "", ""]
     assert got[1]["n_chars"] == len("\n\n".join(TEXT)) and got[2]["url"] is None
+
+
+def test_short_lines_inside_a_text():
+    long, short = [[f"{c} " + "word " * 55 + f"end {k}." for k in range(5)] for c in "AB"], [f"A short line {k}." for k in range(6)]
+    parts = [*long[0], *short, *long[1]]
+    assert main_text("<body><ul><li><a href=x>Some link of a menu</a></ul>" + "".join(f"<p>{p}</p>" for p in parts) + "</body>") == "\n\n".join(parts)
+    menu = "".join(f"<div><a href=x>Link number {k} of a menu</a></div>" for k in range(6))
+    split = "".join(f"<p>{p}</p>" for p in long[0]) + menu + "".join(f"<p>{p}</p>" for p in long[1])
+    assert main_text(split) == "\n\n".join(long[0] + long[1])
