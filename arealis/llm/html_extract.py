@@ -33,7 +33,8 @@ from arealis.llm.common import arrow_batches
 WINDOW, SURGE = 3, 80
 
 # Elements by their role in a page.
-RAW = "script style noscript template iframe textarea title svg math object select xmp noembed noframes canvas audio video".split()
+RAW = "script style noscript template iframe textarea title xmp noembed noframes".split()
+SILENT = {"svg", "select"}  # their text is none of the page; a block inside ends them
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = set(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form "
@@ -121,7 +122,7 @@ def blocks_of(page: str) -> list[Block]:
 
     def add(text: str) -> None:
         nonlocal links
-        if text:
+        if text and not any(o.tag in SILENT for o in stack):
             parts.append(text)
             if any(o.tag == "a" for o in stack[-4:]):
                 links += len(text.strip())
@@ -149,6 +150,9 @@ def blocks_of(page: str) -> list[Block]:
             continue
         if tag in BLOCKS:
             flush()
+            place = next((k for k, o in enumerate(stack) if o.tag in SILENT), None)
+            if place is not None:
+                close(place)
             if tag in CLOSES_P or tag == "p":
                 place = next((k for k in range(len(stack) - 1, -1, -1) if stack[k].tag == "p"), None)
                 if place is not None:

@@ -161,3 +161,10 @@ def test_short_lines_inside_a_text():
     menu = "".join(f"<div><a href=x>Link number {k} of a menu</a></div>" for k in range(6))
     split = "".join(f"<p>{p}</p>" for p in long[0]) + menu + "".join(f"<p>{p}</p>" for p in long[1])
     assert main_text(split) == "\n\n".join(long[0] + long[1])
+
+
+def test_elements_without_end():
+    for e in ('<svg class="i"/>', "<svg><path d=x>", "<object data=x>", "<audio src=x>", "<canvas id=c>", "<select><option>no", '<math display="block"/>'):
+        assert main_text(f"<article><p>one</p>{e}<p>two</p></article>") == "one\n\ntwo", e
+    assert main_text("<article><p>a <svg><title>t</title><text>no</text></svg>b</p><p>c <svg/>d <svg></svg>e</p></article>") == "a b\n\nc d e"
+    assert main_text("<article><p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> be.</p></article>") == "Let x=1 be."
