@@ -2,7 +2,8 @@
 
 Markup is stripped into blocks of text, one per block-level element. Blocks in
 elements whose tag, role or class says menu, notice, advert, form, comments and
-so on have no weight, nor has link text. The weights are summed over a sliding
+so on have no weight, nor has link text; inside the article a name alone is not
+enough for most of these. The weights are summed over a sliding
 window of blocks; the text lies between a surge, where the sum rises over a
 threshold, and the next dive. All such ranges are kept, and the blocks between
 two of them that have weight, so short lines inside a text do not end it. Where the page marks its article, only blocks in
@@ -51,6 +52,11 @@ NOISE_WORDS = set(
     "share sharing social follow related recommended recommendations newsletter subscribe subscription signup login register search "
     "pagination pager paging skip copyright disclaimer".split()
 )
+#: Noise words that say enough alone as a part of a class inside an article; others there need support by links or little text.
+SURE_WORDS = set("advert adverts advertisement advertising adsense adslot gdpr commentlist comments disqus newsletter sidebar sidebars breadcrumb breadcrumbs navbar pagination pager".split())
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+#: Verdicts on an element, and the text below which an element with a noisy class is small.
+CLEAN, NOISE, NOISE_IF_SMALL, NOISE_IF_LINKS, SMALL = 0, 1, 2, 3, 200
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -72,6 +78,7 @@ class Block:
     noise: bool
     article: int
     heading: bool
+    doubts: tuple[tuple[int, int], ...] = ()
 
 
 @dataclass
@@ -79,27 +86,40 @@ class _Open:
     tag: str
     noise: bool
     article: int
+    doubts: tuple[tuple[int, int], ...] = ()
 
 
-def _is_noise(tag: str, attributes: str, in_article: bool) -> bool:
+def _noise(tag: str, attributes: str, in_article: bool) -> int:
     if tag in NOISE_TAGS:
-        return True
+        return NOISE
     if tag == "header" and not in_article:
-        return True
+        return NOISE
     if not attributes.strip() or tag in ("html", "body"):
-        return False
+        return CLEAN
     found = {m[1].lower(): entities.unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(attributes)}
     if "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "").lower():
-        return True
+        return NOISE
     if set(found.get("role", "").lower().split()) & NOISE_ROLES:
-        return True
+        return NOISE
     if tag in ("a", "span", "b", "i", "em", "strong", "p") and not found.get("class") and not found.get("id"):
-        return False
-    names = f"{found.get('class', '')} {found.get('id', '')}"
-    words = {w.lower() for w in _NAME_PARTS.findall(names)}
+        return CLEAN
     if in_article:
-        words -= {"header"}  # the heading of the article itself
-    return bool(words & NOISE_WORDS)
+        return CLEAN if tag in HEADINGS else _noise_in_article(found.get("class", ""), found.get("id", ""))
+    words = {w.lower() for w in _NAME_PARTS.findall(f"{found.get('class', '')} {found.get('id', '')}")}
+    return NOISE if words & NOISE_WORDS else CLEAN
+
+
+def _noise_in_article(classes: str, name: str) -> int:
+    """Inside an article a name alone rarely says enough: whole classes count more than parts of them or of an id."""
+    tokens = set(classes.lower().split())
+    parts = {w.lower() for w in _NAME_PARTS.findall(classes)}
+    if parts & SURE_WORDS or name.lower() in SURE_WORDS:
+        return NOISE
+    known = NOISE_WORDS - {"header"}  # the heading of the article itself
+    if tokens & known:
+        return NOISE_IF_SMALL
+    parts |= {w.lower() for w in _NAME_PARTS.findall(name)}
+    return NOISE_IF_LINKS if parts & known else CLEAN
 
 
 def blocks_of(page: str) -> list[Block]:
@@ -108,7 +128,7 @@ def blocks_of(page: str) -> list[Block]:
     stack: list[_Open] = []
     parts: list[str] = []
     links = 0
-    articles = 0
+    articles = doubted = 0
 
     def flush() -> None:
         nonlocal links
@@ -116,8 +136,8 @@ def blocks_of(page: str) -> list[Block]:
         parts.clear()
         if text:
             top = stack[-1] if stack else _Open("", False, 0)
-            heading = any(o.tag in ("h1", "h2", "h3", "h4", "h5", "h6") for o in stack)
-            out.append(Block(text, min(links, len(text)), top.noise, top.article, heading))
+            heading = any(o.tag in HEADINGS for o in stack)
+            out.append(Block(text, min(links, len(text)), top.noise, top.article, heading, top.doubts))
         links = 0
 
     def add(text: str) -> None:
@@ -169,24 +189,44 @@ def blocks_of(page: str) -> list[Block]:
             continue
         top = stack[-1] if stack else _Open("", False, 0)
         marks = tag in ("article", "main") or re.search(r"""(?:role\s*=\s*["']?main\b|itemprop\s*=\s*["']?articleBody\b)""", m["attributes"]) is not None
-        noise = _is_noise(tag, m["attributes"], bool(top.article) or marks)
+        verdict = _noise(tag, m["attributes"], bool(top.article) or marks)
+        noise, doubts = verdict == NOISE, top.doubts
+        if verdict > NOISE and not marks:
+            doubted += 1
+            doubts += ((doubted, verdict),)
         if marks and not noise:
             for o in stack:  # a container with a noisy name that holds the article is none
                 if o.tag in ("div", "section", "td", "tr", "table", "tbody", "center", "header", "form"):
                     o.noise = False
             outer = any(o.noise for o in stack)
             if top.article and not outer:
-                stack.append(_Open(tag, False, top.article))
+                stack.append(_Open(tag, False, top.article, doubts))
             else:
                 articles += 1
-                stack.append(_Open(tag, outer, articles))
+                stack.append(_Open(tag, outer, articles, doubts))
         else:
-            stack.append(_Open(tag, top.noise or noise, top.article))
+            stack.append(_Open(tag, top.noise or noise, top.article, doubts))
     add(page[at:])
     flush()
+    if doubted:
+        _settle(out)
     return out
 
 
+def _settle(blocks: list[Block]) -> None:
+    """Elements in doubt are noise if half of their text is links or, with a noisy class, if there is little of it."""
+    size: dict[tuple[int, int], list[int]] = {}
+    for b in blocks:
+        for d in b.doubts:
+            both = size.setdefault(d, [0, 0])
+            both[0] += len(b.text)
+            both[1] += b.links
+    for b in blocks:
+        for d in b.doubts:
+            text, links = size[d]
+            b.noise |= 2 * links >= text or d[1] == NOISE_IF_SMALL and text < SMALL
+
+
 def main_text(page: str | None) -> str:
     """The kept blocks, joined by an empty line."""
     blocks = blocks_of(page or "")

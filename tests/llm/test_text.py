@@ -168,3 +168,11 @@ def test_elements_without_end():
         assert main_text(f"<article><p>one</p>{e}<p>two</p></article>") == "one\n\ntwo", e
     assert main_text("<article><p>a <svg><title>t</title><text>no</text></svg>b</p><p>c <svg/>d <svg></svg>e</p></article>") == "a b\n\nc d e"
     assert main_text("<article><p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> be.</p></article>") == "Let x=1 be."
+
+
+def test_names_inside_the_article():
+    long = "words of the discussion that go on " * 12
+    kept = [f'<section id="discussion"><h2>Discussion</h2><p>{long}</p></section>', f'<div class="related"><p>{long}</p></div>', '<h2 id="how-to-follow-a-search">How to follow a search</h2>']
+    want = ["Discussion", long.strip(), long.strip(), "How to follow a search"]
+    gone = ['<div class="share-buttons"><a href=x>Share this</a></div>', '<div class="related"><a href=x>Another text</a></div>', '<p class="notice">Brief.</p>', f'<div id="comments"><p>{long}</p></div>', f'<div class="comments-area"><p>{long}</p></div>']
+    assert main_text("<article><h1>T</h1><p>Text.</p>" + "".join(kept + gone) + "</article>") == "\n\n".join(["T", "Text.", *want])
