@@ -89,10 +89,10 @@ class _Open:
     doubts: tuple[tuple[int, int], ...] = ()
 
 
-def _noise(tag: str, attributes: str, in_article: bool) -> int:
+def _noise(tag: str, attributes: str, in_article: bool, marks: bool) -> int:
     if tag in NOISE_TAGS:
         return NOISE
-    if tag == "header" and not in_article:
+    if tag == "header" and not (in_article or marks):
         return NOISE
     if not attributes.strip() or tag in ("html", "body"):
         return CLEAN
@@ -103,9 +103,11 @@ def _noise(tag: str, attributes: str, in_article: bool) -> int:
         return NOISE
     if tag in ("a", "span", "b", "i", "em", "strong", "p") and not found.get("class") and not found.get("id"):
         return CLEAN
-    if in_article:
+    if in_article and not marks:
         return CLEAN if tag in HEADINGS else _noise_in_article(found.get("class", ""), found.get("id", ""))
     words = {w.lower() for w in _NAME_PARTS.findall(f"{found.get('class', '')} {found.get('id', '')}")}
+    if marks:  # a marked element with such a name is a comment or a teaser; the heading of the article itself is none
+        words -= {"header"}
     return NOISE if words & NOISE_WORDS else CLEAN
 
 
@@ -189,9 +191,9 @@ def blocks_of(page: str) -> list[Block]:
             continue
         top = stack[-1] if stack else _Open("", False, 0)
         marks = tag in ("article", "main") or re.search(r"""(?:role\s*=\s*["']?main\b|itemprop\s*=\s*["']?articleBody\b)""", m["attributes"]) is not None
-        verdict = _noise(tag, m["attributes"], bool(top.article) or marks)
+        verdict = _noise(tag, m["attributes"], bool(top.article), marks)
         noise, doubts = verdict == NOISE, top.doubts
-        if verdict > NOISE and not marks:
+        if verdict > NOISE:
             doubted += 1
             doubts += ((doubted, verdict),)
         if marks and not noise:

@@ -176,3 +176,8 @@ def test_names_inside_the_article():
     want = ["Discussion", long.strip(), long.strip(), "How to follow a search"]
     gone = ['<div class="share-buttons"><a href=x>Share this</a></div>', '<div class="related"><a href=x>Another text</a></div>', '<p class="notice">Brief.</p>', f'<div id="comments"><p>{long}</p></div>', f'<div class="comments-area"><p>{long}</p></div>']
     assert main_text("<article><h1>T</h1><p>Text.</p>" + "".join(kept + gone) + "</article>") == "\n\n".join(["T", "Text.", *want])
+
+
+def test_comments_that_are_articles():
+    page = "<main><h1>T</h1><p>Text of the page.</p><article class='comment-body'><p>" + "An opinion. " * 40 + "</p></article></main>"
+    assert main_text(page) == "T\n\nText of the page."
