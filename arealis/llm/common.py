@@ -2,43 +2,48 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+import gc
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: The white space of every word-based contract here, as a Java character class.
 SPACE = r"[\x20\x09-\x0D]"
 
-#: Rows and bytes of one Arrow batch; long texts make byte limits matter.
-BATCH_ROWS, BATCH_BYTES = 1000, 16 * 1024 * 1024
+#: Bytes of text that a Python worker looks at in one step; Spark bounds the bytes of its batches.
+STEP_BYTES = 4_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def arrow_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Keep the batches handed to Python small, so that a worker's memory is bounded."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+@contextmanager
+def no_collection() -> Iterator[None]:
+    """Inside, large caches without cycles are not searched for garbage; a reused worker gets its setting back."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share."""
-    context = spark.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="arealis-"))
-    return context.getCheckpointDir()
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage: write to the shared folder, read again. Survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def by_bytes(texts: pa.Array, limit: int = STEP_BYTES) -> Iterator[list[str]]:
+    """The texts (null: empty) in lists of about this many bytes, so that no step holds many long ones."""
+    start = size = 0
+    for i, n in enumerate(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
+        if i > start and size + n > limit:
+            yield [t or "" for t in texts.slice(start, i - start).to_pylist()]
+            start, size = i, 0
+        size += n
+    if start < len(texts):
+        yield [t or "" for t in texts.slice(start).to_pylist()]
 
 
 def text_or_empty(column: str = "text") -> Column:
@@ -50,13 +55,28 @@ def is_fold(id_column: str, modulus: int, remainder: int) -> Column:
     return F.coalesce(F.crc32(F.col(id_column).cast("string").cast("binary")) % modulus == remainder, F.lit(False))
 
 
-def block_pairs(members: DataFrame, key: str, unit: str, size: int) -> DataFrame:
-    """Each member once for every pair of blocks that its block is in (columns mine, lo, hi).
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, with underscores behind it until no column has it (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def spread_join(rows: DataFrame, keyed: DataFrame, keys: list[str], by: list[str]) -> DataFrame:
+    """Inner join of rows with one row for each of their keys, where ``keyed._n`` counts the rows of a key.
 
-    The rows of a key are dealt over blocks of about ``size`` rows, so that all
-    pairs of a key can be looked at without bringing the key into one task.
+    A key with more rows than a partition should hold is dealt over as many
+    partitions as it needs, by a hash of the columns ``by``: such keys are at
+    most as many as there are partitions, so that they can be broadcast, and
+    their copies on the other side are at most twice as many. ``keyed`` should
+    be a stored table, as it is read three times.
     """
-    blocks = members.groupBy(key).agg(F.ceil(F.count("*") / size).cast("int").alias("_blocks"))
-    dealt = members.join(blocks, key).withColumn("mine", F.pmod(F.xxhash64(F.lit(3), unit), F.col("_blocks")).cast("int"))
-    dealt = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-    return dealt.withColumns({"lo": F.least("mine", "_other"), "hi": F.greatest("mine", "_other")}).drop("_blocks", "_other")
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = keyed.agg(F.sum("_n")).first()[0] or 0
+    salts = F.ceil(F.col("_n") * parts / max(total, 1)).cast("int")
+    hot = keyed.where(salts > 1).select(*keys, salts.alias("_salts"))
+    dealt = rows.join(F.broadcast(hot), keys, "left")
+    salt = F.when(F.col("_salts").isNull(), 0).otherwise(F.pmod(F.xxhash64(*by), F.col("_salts"))).cast("int")
+    copies = keyed.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.greatest(salts, F.lit(1)) - 1)))
+    return dealt.withColumn("_salt", salt).drop("_salts").join(copies.drop("_n"), [*keys, "_salt"]).drop("_salt")

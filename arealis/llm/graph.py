@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arealis.llm.common import stored
+from arealis.scratch import stored
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

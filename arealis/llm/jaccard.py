@@ -2,48 +2,65 @@
 
 Two sets of sizes s <= t are similar (Jaccard >= 0.8) only if t <= 1.25 s, and
 then they differ in at most k = s / 4 elements. Sizes fall into bands; for each
-band of the smaller size, the domain of shingles is cut into k + 1 + e parts. A
-similar pair agrees on at least e + 1 parts, so if one of the sets has at most
-e empty parts, the two share a part that is not empty: the part's elements,
-hashed, are the signature. Sets with more empty parts sign these as well.
-
-1. One pass makes each document's set size, a 128-bit fingerprint and a parity
-   sketch, whose differing bits never exceed the sets' difference.
-2. One pass makes signatures, each set once per task, packed into blobs for the
-   shuffle. Groups of up to ``SMALL`` sets give all their pairs; a larger group
-   gives a star around its smallest member and its list of members.
-3. Pairs pass the sketch and are verified on the sets. Once links join sets,
-   pairs inside a component need no look. What remains of the large groups,
-   members in different components, is compared by sketch in blocks.
-
-Nothing is capped or sampled: the groups' remaining pairs are all looked at.
-Equal sets are one node from the start, so copies are never expanded.
+band of the smaller size, the domain of shingles is cut into parts. With a loss
+of l, there are k / (l + 1) + 1 first-level parts, so that in one of them the
+two sets differ in at most l elements; each is cut into 2 l second-level parts,
+and all subsets that leave l of these out are enumerated: one of the subsets
+holds the same elements of both. Its elements, hashed with its place, are the
+signature. With a loss of 0 a signature is a single part. Parts without
+elements say nothing; they are signed only by sets with so many of them that a
+similar set could agree on no other.
+
+1. One pass makes each document's set size, a 128-bit name of its set and a
+   parity sketch, whose differing bits never exceed the sets' difference. Equal
+   sets are one node from here on, so copies are never expanded.
+2. All sets are signed with a loss of 0, which is cheap and weak. Small groups
+   of equal signatures give their pairs, large ones a star around their least
+   member. Pairs pass the sketch and are verified on the sets; links make
+   components.
+3. The ends of stars, and these alone, are signed again with a loss of
+   ``LOSS``, whose signatures cover twice the elements and keep sets with a
+   common passage apart. Groups within one component are dropped where they
+   are met; small ones give their pairs between components, large ones covers:
+   sets that share such groups with the same least member.
+4. Covers that still hold several components are dealt into blocks, each packed
+   into one row; for each two blocks one task compares sketches as a matrix
+   product and verifies the closest pairs first, until its components are one.
+
+A signature with very many sets is met by its local least members: each map
+task hands on one set and a star, so no task holds such a group. Nothing is
+capped or sampled.
 
 Defined results: a null, empty or blank text has an empty set, links with
 nothing and is its own component; fewer words than a shingle are one shingle;
 rows equal in set are linked; rows with the same id and other texts are
 documents of their own. A null id never names a component unless the component
 has no other. Columns beyond id and text are not read. Words and shingles are
-compared by 64-bit hashes.
+64-bit hashes: two shingles of a pair of sets with 10,000 elements each are
+taken for one with a probability of 1e-11.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import combinations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arealis.llm.common import arrow_batches, block_pairs, stored
+from arealis.llm.common import spread_join
 from arealis.llm.graph import components
+from arealis.scratch import scratch, stored
 
 WORDS, NUMERATOR, DENOMINATOR = 5, 80, 100
-SMALL, BLOCK = 16, 256
-#: Bytes of text looked at together, signatures in one reduce step, and rows of one batch.
+#: Elements that the second signatures may lose in a first-level part; sets of a group whose pairs are listed.
+LOSS, SMALL = 3, 16
+#: Sets and bytes of sets in a block.
+BLOCK, BLOCK_BYTES = 2048, 4_000_000
+#: Bytes of text looked at together, signatures in one step, and rows of one batch.
 CHUNK, STEP, ROWS = 2_000_000, 1_000_000, 200
 
 U = np.uint64
@@ -131,10 +148,11 @@ def shingle_sets(texts: pa.Array) -> Iterator[np.ndarray]:
         first = last
 
 
-def fingerprint(s: np.ndarray) -> int:
-    """A signed 64-bit name of a set, from two independent sums and its size."""
-    both = np.array([s.sum(dtype=U), mix(s ^ U(0x5851F42D4C957F2D)).sum(dtype=U), U(len(s))], dtype=U)
-    return int(mix((mix(both) * np.array([3, 5, 7], dtype=U)).sum(dtype=U, keepdims=True)).view(np.int64)[0])
+def fingerprint(s: np.ndarray) -> tuple[int, int]:
+    """A name of a set of 128 bits: two independent sums over its elements, with its size."""
+    sums = [mix(s ^ U(c)).sum(dtype=U) for c in (0x5851F42D4C957F2D, 0xD1342543DE82EF95)]
+    one, two = mix(np.array(sums, dtype=U) + U(len(s)) * U(0x9E3779B97F4A7C15)).view(np.int64).tolist()
+    return one, two
 
 
 def sketch(s: np.ndarray) -> bytes:
@@ -165,18 +183,24 @@ def bands() -> list[int]:
     return out
 
 
-def parts_of_band(i: int) -> tuple[int, int]:
-    """Number of parts and allowed empty parts for pairs whose smaller set is in band i; 0 parts if only equal sets are similar."""
+@lru_cache(maxsize=None)
+def parts_of_band(i: int, loss: int) -> tuple[int, int, np.ndarray]:
+    """For pairs whose smaller set is in band i: first-level parts (0 if only equal sets are similar), how many of these
+    may be unusable, and the subsets of second-level parts as columns."""
     largest = bands()[i + 1] - 1
-    k = most_different(largest, largest * DENOMINATOR // NUMERATOR)
-    if k < 1:
-        return 0, 0
-    spare = 3 + k * 7 // 100
-    return k + 1 + spare, spare
-
-
-def signatures(s: np.ndarray) -> np.ndarray:
-    """All signatures of a set, for its own band and those of smaller similar sets."""
+    k = int(most_different(largest, largest * DENOMINATOR // NUMERATOR))
+    loss = min(loss, k)
+    second = max(1, 2 * loss)
+    chosen = list(combinations(range(second), second - loss))
+    subsets = np.zeros((second, len(chosen)), dtype=U)
+    for c, places in enumerate(chosen):
+        subsets[list(places), c] = 1
+    spare = 0 if loss else 3 + k * 7 // 100
+    return (k // (loss + 1) + 1 + spare if k else 0), spare, subsets
+
+
+def signatures(s: np.ndarray, loss: int = 0) -> np.ndarray:
+    """All signatures of a sorted set, for its own band and those of smaller similar sets."""
     n = len(s)
     if not n:
         return s
@@ -184,16 +208,22 @@ def signatures(s: np.ndarray) -> np.ndarray:
     values = mix(s + U(0x2545F4914F6CDD1D))
     out = []
     for i in range(low, high + 1):
-        parts, spare = parts_of_band(i)
-        if not parts:
+        first, spare, subsets = parts_of_band(i, loss)
+        if not first:
             continue
-        part = ((s >> U(32)) * U(parts)) >> U(32)
-        starts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
-        tag = U(i) << U(42)
-        out.append(mix(np.add.reduceat(values, starts) + mix(part[starts] + tag + U(1))))
-        if parts - len(starts) > spare:
-            empty = np.setdiff1d(np.arange(parts).astype(U), part[starts])
-            out.append(mix(mix(empty + tag + U(1)) + U(17)))
+        second = len(subsets)
+        cell = ((s >> U(32)) * U(first * second)) >> U(32)
+        starts = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])
+        sums, used = np.zeros((2, first * second), dtype=U)
+        sums[cell[starts].astype(np.int64)] = np.add.reduceat(values, starts)
+        used[cell[starts].astype(np.int64)] = 1
+        held = sums.reshape(first, second) @ subsets
+        filled = used.reshape(first, second) @ subsets > 0
+        place = np.arange(held.size, dtype=U).reshape(held.shape) + (U(i) << U(42)) + (U(loss) << U(52))
+        made = mix(held + mix(place + U(1)))
+        usable = int(filled.all(axis=1).sum())
+        # A similar set agrees on at least spare + 1 first-level parts; one of them is usable, or all must be signed.
+        out.append(made[filled] if first - usable <= spare else made.ravel())
     return np.concatenate(out) if out else np.zeros(0, dtype=U)
 
 
@@ -202,138 +232,206 @@ def _sets(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sid, n, sketches = [], [], []
+            one, two, n, sketches = [], [], [], []
             for s in shingle_sets(batch.column(2)):
-                sid.append(fingerprint(s) if len(s) else None)
+                names = fingerprint(s) if len(s) else (None, None)
+                one.append(names[0])
+                two.append(names[1])
                 n.append(len(s))
                 sketches.append(sketch(s) if len(s) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sid, pa.int64()), pa.array(n, pa.int64()), pa.array(sketches, pa.binary())], ["id", "h", "sid", "n", "sketch"])
-
-    return docs.mapInArrow(run, f"id {kind}, h long, sid long, n long, sketch binary")
-
-
-def _signed(docs: DataFrame, parts: int) -> DataFrame:
-    """Blobs of signatures and set names for each of ``parts`` ranges of signatures."""
-
-    def flush(sigs: list[np.ndarray], sids: list[int]) -> Iterator[pa.RecordBatch]:
-        if not sigs:
-            return
-        sig = np.concatenate(sigs)
-        index = np.repeat(np.arange(len(sids), dtype=np.uint32), [len(x) for x in sigs])
-        part = ((sig >> U(32)) * U(parts) >> U(32)).astype(np.int64)
-        order = np.argsort(part, kind="stable")
-        cuts = np.searchsorted(part[order], np.arange(parts + 1))
-        names = np.array(sids, dtype=np.int64)
-        rows = []
-        for p in np.flatnonzero(cuts[1:] > cuts[:-1]):
-            mine = order[cuts[p] : cuts[p + 1]]
-            used, local = np.unique(index[mine], return_inverse=True)
-            rows.append((p, sig[mine].tobytes(), local.astype(np.uint32).tobytes(), names[used].tobytes()))
-        for k in range(0, len(rows), ROWS):
-            columns = list(zip(*rows[k : k + ROWS]))
-            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])], ["part", "sigs", "at", "sids"])
+            made = [pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(n, pa.int64()), pa.array(sketches, pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *made], ["id", "h", "one", "two", "n", "sketch"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        sigs, sids, size = [], [], 0
+    return docs.mapInArrow(run, f"id {kind}, h long, one long, two long, n long, sketch binary")
+
+
+# --- Signatures to groups ----------------------------------------------------
+#
+# A node is two longs: the name of a set in the first round, a set's number and its component in the second. Blobs hold
+# the signatures of one range of a task's sets with places in a list of nodes; a blob without signatures is a star.
+
+_LEADS = np.uint32(1 << 31)  # marks a place whose node stands for a star of its task
+_BLOB = "part int, sigs binary, at binary, nodes binary"
+#: Kinds of candidates: a pair, a star around the least of a group, and a star of one map task.
+PAIR, STAR, LOCAL = range(3)
+
+
+def _new(*columns: np.ndarray) -> np.ndarray:
+    """Where a row of sorted columns differs from the one before it."""
+    out = np.ones(len(columns[0]), dtype=bool)
+    if len(out):
+        out[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return out
+
+
+def _flush(sigs: list[np.ndarray], nodes: list[tuple[int, int]], parts: int) -> Iterator[pa.RecordBatch]:
+    names = np.array(nodes, dtype=np.int64)
+    order = np.lexsort((names[:, 1], names[:, 0]))
+    names, place = names[order], np.empty(len(order), dtype=np.uint32)
+    place[order] = np.arange(len(order), dtype=np.uint32)
+    sig, of = np.concatenate(sigs), np.repeat(place, [len(x) for x in sigs])
+    order = np.lexsort((of, sig))
+    sig, of = sig[order], of[order]
+    starts = np.flatnonzero(_new(sig))
+    sizes = np.diff(np.r_[starts, len(sig)])
+    first = np.zeros(len(sig), dtype=bool)
+    first[starts] = True
+    hot = np.repeat(sizes > SMALL, sizes)
+    lead = np.repeat(of[starts], sizes)
+    follows = hot & ~first
+    stars = np.unique(np.stack([lead[follows], of[follows]], axis=1), axis=0)
+    entry = np.where(hot, of | _LEADS, of)[~follows]
+    sig = sig[~follows]
+    rows = []
+
+    def blob(part: int, sigs: np.ndarray, at: np.ndarray, marks: np.ndarray) -> None:
+        used, local = np.unique(at, return_inverse=True)
+        rows.append((part, sigs.tobytes(), (local.astype(np.uint32).reshape(at.shape) | marks).tobytes(), names[used].tobytes()))
+
+    cuts = np.searchsorted(((sig >> U(32)) * U(parts) >> U(32)).astype(np.int64), np.arange(parts + 1))
+    for p in np.flatnonzero(cuts[1:] > cuts[:-1]):
+        mine = entry[cuts[p] : cuts[p + 1]]
+        blob(int(p), sig[cuts[p] : cuts[p + 1]], mine & ~_LEADS, mine & _LEADS)
+    part = (mix(names[stars[:, 0], 0].view(U)) % U(parts)).astype(np.int64)
+    for p in np.unique(part):
+        blob(int(p), np.zeros(0, dtype=U), stars[part == p], np.uint32(0))
+    for k in range(0, len(rows), ROWS):
+        columns = list(zip(*rows[k : k + ROWS]))
+        yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])], ["part", "sigs", "at", "nodes"])
+
+
+def _blobs(signed: Iterator[tuple[np.ndarray, tuple[int, int]]], parts: int) -> Iterator[pa.RecordBatch]:
+    """Blobs of the signatures of nodes, for each of ``parts`` ranges of signatures."""
+    sigs, nodes, size = [], [], 0
+    for made, node in signed:
+        if len(made):
+            sigs.append(made)
+            nodes.append(node)
+            size += len(made)
+        if size > STEP:
+            yield from _flush(sigs, nodes, parts)
+            sigs, nodes, size = [], [], 0
+    if sigs:
+        yield from _flush(sigs, nodes, parts)
+
+
+def _signed_texts(docs: DataFrame, parts: int) -> DataFrame:
+    """All sets with a loss of 0, each once in a task, under their names."""
+
+    def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, tuple[int, int]]]:
+        seen: set[tuple[int, int]] = set()
         for batch in batches:
             for s in shingle_sets(batch.column(0)):
-                if not len(s) or (sid := fingerprint(s)) in seen:
-                    continue
-                seen.add(sid)
-                made = signatures(s)
-                if len(made):
-                    sigs.append(made)
-                    sids.append(sid)
-                    size += len(made)
-                if size > STEP:
-                    yield from flush(sigs, sids)
-                    sigs, sids, size = [], [], 0
-        yield from flush(sigs, sids)
-
-    return docs.select("text").mapInArrow(run, "part int, sigs binary, at binary, sids binary")
-
-
-def _grouped(blobs: DataFrame) -> DataFrame:
-    """Candidates: kind 0 with a pair (a, b), kind 1 with a large group's name a and a member b."""
-
-    def found(sig: np.ndarray, sid: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        order = np.lexsort((sid, sig))
-        sig, sid = sig[order], sid[order]
-        new = np.r_[True, (sig[1:] != sig[:-1]) | (sid[1:] != sid[:-1])]
-        sig, sid = sig[new], sid[new]
-        starts = np.flatnonzero(np.r_[True, sig[1:] != sig[:-1]])
-        sizes = np.diff(np.r_[starts, len(sig)])
-        name = np.add.reduceat(mix(sid.view(U)), starts) + sizes.astype(U)  # equal groups have equal names
-        _, first = np.unique(name, return_index=True)
-        keep = np.zeros(len(starts), dtype=bool)
-        keep[first] = True
-        keep &= sizes > 1
-        size = np.repeat(np.where(keep, sizes, 0), sizes)
-        group = np.repeat(name, sizes)
-        small = (size > 1) & (size <= SMALL)
-        g, x = group[small], sid[small]
-        pairs = []
-        for d in range(1, SMALL):
-            same = g[d:] == g[:-d]
-            if not same.any():
-                break
-            pairs.append(np.stack([x[:-d][same], x[d:][same]], axis=1))
-        pairs = np.unique(np.concatenate(pairs), axis=0) if pairs else np.zeros((0, 2), np.int64)
-        large = size > SMALL
-        return pairs, group[large].view(np.int64), sid[large]
+                if len(s) and (node := fingerprint(s)) not in seen:
+                    seen.add(node)
+                    yield signatures(s), node
+
+    return docs.select("text").mapInArrow(lambda batches: _blobs(signed(batches), parts), _BLOB)
+
+
+def _signed_sets(sets: DataFrame, parts: int) -> DataFrame:
+    """Sets (sid, component, data) with a loss of LOSS."""
+
+    def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, tuple[int, int]]]:
+        for batch in batches:
+            for sid, component, data in zip(*(c.to_pylist() for c in batch.columns)):
+                yield signatures(np.frombuffer(data, U), LOSS), (sid, component)
+
+    return sets.select("sid", "component", "data").mapInArrow(lambda batches: _blobs(signed(batches), parts), _BLOB)
+
+
+def _group(sig: np.ndarray, nodes: np.ndarray, leads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs and stars of the groups of equal signatures, as rows (a, a2, b, b2)."""
+    order = np.lexsort((nodes[:, 1], nodes[:, 0], sig))
+    sig, nodes, leads = sig[order], nodes[order], leads[order]
+    runs = np.flatnonzero(_new(sig, nodes[:, 0], nodes[:, 1]))
+    leads = np.logical_or.reduceat(leads, runs)
+    sig, nodes = sig[runs], nodes[runs]
+    starts = np.flatnonzero(_new(sig))
+    sizes = np.diff(np.r_[starts, len(sig)])
+    leading = np.logical_or.reduceat(leads, starts)
+    varied = np.logical_or.reduceat(nodes[:, 1] != np.repeat(nodes[starts, 1], sizes), starts)
+    keep = (sizes > 1) & (varied | leading)
+    name = np.add.reduceat(mix(nodes[:, 0].view(U)), starts) + sizes.astype(U) + leading.astype(U) * U(1 << 40)
+    _, once = np.unique(name, return_index=True)  # equal groups say the same
+    keep &= np.isin(np.arange(len(starts)), once)
+    listed = np.repeat(keep & ~leading & (sizes <= SMALL), sizes)
+    group = np.repeat(np.arange(len(starts)), sizes)[listed]
+    x, pairs = nodes[listed], [np.zeros((0, 4), np.int64)]
+    for d in range(1, SMALL):
+        same = (group[d:] == group[:-d]) if d < len(group) else np.zeros(0, dtype=bool)
+        if not same.any():
+            break
+        same &= x[d:, 1] != x[:-d, 1]
+        pairs.append(np.concatenate([x[:-d][same], x[d:][same]], axis=1))
+    starred = np.repeat(keep & (leading | (sizes > SMALL)), sizes)
+    center = np.repeat(nodes[starts], sizes, axis=0)
+    starred &= center[:, 0] != nodes[:, 0]
+    return np.unique(np.concatenate(pairs), axis=0), np.unique(np.concatenate([center[starred], nodes[starred]], axis=1), axis=0)
+
+
+def _candidates(blobs: DataFrame, parts: int) -> DataFrame:
+    """Rows (kind, a, a2, b, b2) of all groups of equal signatures."""
+
+    def rows(kind: int, found: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for k in range(0, len(found), 50_000):
+            some = found[k : k + 50_000]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), kind, np.int32)), *(pa.array(some[:, c]) for c in range(4))], ["kind", "a", "a2", "b", "b2"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, sigs, sids = None, [], []
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        now = None
 
         def flush() -> Iterator[pa.RecordBatch]:
-            if sigs:
-                pairs, groups, members = found(np.concatenate(sigs), np.concatenate(sids))
-                kind = np.repeat(np.array([0, 1], dtype=np.int32), [len(pairs), len(groups)])
-                a, b = np.r_[pairs[:, 0], groups], np.r_[pairs[:, 1], members]
-                for k in range(0, len(kind), 50_000):
-                    yield pa.RecordBatch.from_arrays([pa.array(x[k : k + 50_000]) for x in (kind, a, b)], ["kind", "a", "b"])
+            if held:
+                pairs, stars = _group(*(np.concatenate(c) for c in zip(*held)))
+                held.clear()
+                yield from rows(PAIR, pairs)
+                yield from rows(STAR, stars)
 
         for batch in batches:
-            for p, s, at, names in zip(*(c.to_pylist() for c in batch.columns)):
-                if p != part:
+            for part, sigs, at, nodes in zip(*(c.to_pylist() for c in batch.columns)):
+                if part != now:
                     yield from flush()
-                    part, sigs, sids = p, [], []
-                sigs.append(np.frombuffer(s, U))
-                sids.append(np.frombuffer(names, np.int64)[np.frombuffer(at, np.uint32)])
+                    now = part
+                names, at = np.frombuffer(nodes, np.int64).reshape(-1, 2), np.frombuffer(at, np.uint32)
+                if sigs:
+                    held.append((np.frombuffer(sigs, U), names[at & ~_LEADS], at >= _LEADS))
+                else:
+                    yield from rows(LOCAL, names[at].reshape(-1, 4))
         yield from flush()
 
-    return blobs.mapInArrow(run, "kind int, a long, b long")
+    dealt = blobs.repartition(max(1, parts // 4), "part").sortWithinPartitions("part")
+    return dealt.mapInArrow(run, "kind int, a long, a2 long, b long, b2 long")
+
 
+# --- Pairs to links ----------------------------------------------------------
 
-def _sketch_filter(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs whose sketches do not exclude a link."""
+def _near(pairs: DataFrame) -> DataFrame:
+    """Adds near: the sketches x and y of sets with n and m elements do not exclude a link."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b, n, m, x, y = (c.to_pylist() for c in batch.columns)
+            n, m, x, y = (batch.column(c).to_pylist() for c in ("n", "m", "x", "y"))
             most = [most_different(i, j) for i, j in zip(n, m)]
-            keep = [abs(i - j) <= k and sketch_difference(u, v) <= k for i, j, k, u, v in zip(n, m, most, x, y)]
-            chosen = pa.array(keep, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(chosen), batch.column(1).filter(chosen)], ["a", "b"])
+            near = [abs(i - j) <= k and sketch_difference(u, v) <= k for i, j, k, u, v in zip(n, m, most, x, y)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("a", "b", "star")), pa.array(near, pa.bool_())], ["a", "b", "star", "near"])
 
-    left = sets.select(F.col("sid").alias("a"), F.col("n").alias("n"), F.col("sketch").alias("x"))
-    right = sets.select(F.col("sid").alias("b"), F.col("n").alias("m"), F.col("sketch").alias("y"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "n", "m", "x", "y").mapInArrow(run, "a long, b long")
+    return pairs.select("a", "b", "star", "n", "m", "x", "y").mapInArrow(run, "a long, b long, star boolean, near boolean")
+
+
+def _are_linked(u: np.ndarray, v: np.ndarray) -> bool:
+    both = len(np.intersect1d(u, v, assume_unique=True))
+    return DENOMINATOR * both >= NUMERATOR * (len(u) + len(v) - both)
 
 
 def _verified(pairs: DataFrame, arrays: DataFrame) -> DataFrame:
-    """Pairs that link, by the sizes of intersection and union."""
+    """Pairs (a, b) that link, by the sizes of intersection and union."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b, x, y = batch.columns
-            keep = []
-            for u, v in zip(x.to_pylist(), y.to_pylist()):
-                u, v = np.frombuffer(u, U), np.frombuffer(v, U)
-                both = len(np.intersect1d(u, v, assume_unique=True))
-                keep.append(DENOMINATOR * both >= NUMERATOR * (len(u) + len(v) - both))
-            chosen = pa.array(keep, pa.bool_())
+            chosen = pa.array([_are_linked(np.frombuffer(u, U), np.frombuffer(v, U)) for u, v in zip(x.to_pylist(), y.to_pylist())], pa.bool_())
             yield pa.RecordBatch.from_arrays([a.filter(chosen), b.filter(chosen)], ["a", "b"])
 
     left = arrays.select(F.col("sid").alias("a"), F.col("data").alias("x"))
@@ -342,99 +440,158 @@ def _verified(pairs: DataFrame, arrays: DataFrame) -> DataFrame:
 
 
 def _arrays(docs: DataFrame, needed: DataFrame) -> DataFrame:
-    """The sets themselves of the needed names, from the text of one document each."""
+    """The sets themselves of the needed (sid, rep), from the text of one document each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            wanted = batch.column(1).to_pylist()
-            rows = [(w, s.tobytes()) for w, s in zip(wanted, shingle_sets(batch.column(0))) if len(s) and fingerprint(s) == w]
+            wanted = zip(*(batch.column(c).to_pylist() for c in (1, 2, 3)))
+            rows = [(sid, s.tobytes()) for (sid, *names), s in zip(wanted, shingle_sets(batch.column(0))) if len(s) and fingerprint(s) == tuple(names)]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], ["sid", "data"])
 
-    named = needed.select(F.col("rep.id").alias("_id"), F.col("rep.h").alias("_h"), "sid")
+    named = needed.select(F.col("rep.id").alias("_id"), F.col("rep.h").alias("_h"), "sid", "one", "two")
     joined = docs.join(named, F.col("id").eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_h")))
-    return joined.select("text", "sid").mapInArrow(run, "sid long, data binary").dropDuplicates(["sid"])
-
-
-def _across(members: DataFrame, labels: DataFrame, sets: DataFrame, closest: bool) -> DataFrame:
-    """Pairs of large groups' members in different components that the sketches do not exclude; or of each block pair's member only the closest."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        lo, hi = pdf["lo"].iloc[0], pdf["hi"].iloc[0]
-        rows = pdf.sort_values("sid")
-        x, y = rows[rows["mine"] == lo], rows[rows["mine"] == hi]
-        if x.empty or y.empty:
-            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-        bits, shortest = {}, min(rows["sketch"].map(len)) * 8
-        for r in rows.itertuples():
-            parity = np.unpackbits(np.frombuffer(r.sketch, np.uint8), bitorder="little")
-            bits[r.sid] = np.bitwise_xor.reduce(parity.reshape(shortest, -1), axis=1).astype(np.float32)
-        u, v = (np.stack([bits[k] for k in z["sid"]]) for z in (x, y))
-        different = u.sum(1)[:, None] + v.sum(1)[None, :] - 2 * (u @ v.T)
-        n, m = x["n"].to_numpy()[:, None], y["n"].to_numpy()[None, :]
-        sids, others = x["sid"].to_numpy(), y["sid"].to_numpy()
-        keep = (different <= most_different(n, m)) & (abs(n - m) <= most_different(n, m)) & (x["component"].to_numpy()[:, None] != y["component"].to_numpy()[None, :])
-        if lo == hi:
-            keep &= sids[:, None] < others[None, :]
-        if closest:
-            apart = np.where(keep, different - most_different(n, m), np.inf)
-            best = np.zeros_like(keep)
-            best[np.arange(len(x)), apart.argmin(axis=1)] = True
-            best[apart.argmin(axis=0), np.arange(len(y))] = True
-            keep &= best
-        i, j = np.nonzero(keep)
-        return pd.DataFrame({"a": np.minimum(sids[i], others[j]), "b": np.maximum(sids[i], others[j])})
-
-    labelled = members.join(labels.select(F.col("node").alias("sid"), "component"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
-    open_groups = labelled.groupBy("group").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("group")
-    rest = labelled.join(open_groups, "group").join(sets.select("sid", "n", "sketch"), "sid")
-    return block_pairs(rest, "group", "sid", BLOCK).groupBy("group", "lo", "hi").applyInPandas(run, "a long, b long").distinct()
-
-
-def _open_pairs(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs whose ends are not in one component yet."""
-    for end in ("a", "b"):
-        pairs = pairs.join(labels.select(F.col("node").alias(end), F.col("component").alias(f"_{end}")), end, "left")
-    return pairs.where(F.coalesce("_a", "a") != F.coalesce("_b", "b")).select("a", "b")
-
-
-def similar_components(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Columns id, h (hash of the text), sid (name of the set, null if empty), n and component (name of one set of it)."""
+    return joined.select("text", "sid", "one", "two").mapInArrow(run, "sid long, data binary").dropDuplicates(["sid"])
+
+
+# --- Covers to links ---------------------------------------------------------
+
+def _parities(sets: list[np.ndarray], bits: int) -> np.ndarray:
+    out = np.zeros((len(sets), 1 << bits), dtype=np.float32)
+    for row, s in zip(out, sets):
+        row[:] = np.bincount((s >> U(64 - bits)).astype(np.int64), minlength=1 << bits) & 1
+    return out
+
+
+def joining_links(left: list[tuple[int, int, bytes]], right: list[tuple[int, int, bytes]] | None) -> list[tuple[int, int]]:
+    """Links between sets (sid, component, data) of two blocks, or within one, that join their components: for each two
+    components with a link, one link or a way over others. The closest pairs by sketch are verified first."""
+    same = right is None
+    right = left if same else right
+    u, v = ([np.frombuffer(r[2], U) for r in rows] for rows in (left, right))
+    bits = max(6, (4 * max(map(len, u + v)) - 1).bit_length())
+    p, q = _parities(u, bits), _parities(v, bits)
+    n, m = np.array([len(s) for s in u]), np.array([len(s) for s in v])
+    slack = most_different(n[:, None], m[None, :]) - (p.sum(1)[:, None] + q.sum(1)[None, :] - 2 * (p @ q.T))
+    del p, q
+    most = most_different(n[:, None], m[None, :])
+    parts = [np.array([r[1] for r in rows]) for rows in (left, right)]
+    near = (slack >= 0) & (abs(n[:, None] - m[None, :]) <= most) & (parts[0][:, None] != parts[1][None, :])
+    if same:
+        near &= np.arange(len(u))[:, None] < np.arange(len(v))[None, :]
+    i, j = np.nonzero(near)
+    order = np.argsort(-slack[i, j], kind="stable")
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (y := root.get(x, x)) != x:
+            root[x] = root.get(y, y)
+            x = y
+        return x
+
+    out = []
+    for a, b in zip(i[order].tolist(), j[order].tolist()):
+        x, y = find(left[a][1]), find(right[b][1])
+        if x != y and _are_linked(u[a], v[b]):
+            root[max(x, y)] = min(x, y)
+            out.append((left[a][0], right[b][0]))
+    return out
+
+
+def _covers(found: DataFrame) -> DataFrame:
+    """Columns cover and sid: all sets of groups with the same least member, its local stars included."""
+    star = found.where(F.col("kind") == STAR).select("a", "b")
+    local = found.where(F.col("kind") == LOCAL).select("a", "b")
+    through = star.join(local.select(F.col("a").alias("b"), F.col("b").alias("far")), "b").select("a", F.col("far").alias("b"))
+    rows = star.unionByName(local).unionByName(through)
+    return rows.unionByName(rows.select("a", F.col("a").alias("b"))).distinct().select(F.col("a").alias("cover"), F.col("b").alias("sid"))
+
+
+def _across(covers: DataFrame, labels: DataFrame, sets: DataFrame, arrays: DataFrame) -> DataFrame:
+    """Links (a, b) that join the components met in a cover."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for blocks in batch.column(0).to_pylist():
+                rows = [[(r["sid"], r["component"], r["data"]) for r in b["members"]] for b in blocks]
+                links = joining_links(rows[0], rows[1] if len(rows) > 1 else None)
+                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    members = covers.join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
+    members = stored(members.join(sets.select("sid", "n"), "sid"), "members")
+    sizes = members.groupBy("cover").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("rows"), F.sum("n").alias("elements"))
+    blocks = F.ceil(F.greatest(F.col("rows") / BLOCK, F.col("elements") * 8 / BLOCK_BYTES)).cast("int")
+    dealt = members.join(sizes.where("x <> y").select("cover", blocks.alias("blocks")), "cover")
+    dealt = dealt.withColumn("mine", F.pmod(F.xxhash64(F.lit(3), "sid"), F.col("blocks")).cast("int")).join(arrays, "sid")
+    packed = dealt.groupBy("cover", "mine").agg(F.first("blocks").alias("blocks"), F.collect_list(F.struct("sid", "component", "data")).alias("members"))
+    # One row for each block and partner; both blocks of a pair meet in one row.
+    other = packed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    keyed = other.select("cover", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"), F.struct("mine", "members").alias("block"))
+    return keyed.groupBy("cover", "lo", "hi").agg(F.collect_list("block").alias("blocks")).where("size(blocks) = 2 OR lo = hi").select("blocks").mapInArrow(run, "a long, b long")
+
+
+# --- The join ----------------------------------------------------------------
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).distinct()
+
+
+def _sketched(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b, star) of set numbers, with their sketches."""
+    left = sets.select(F.col("sid").alias("a"), "n", F.col("sketch").alias("x"))
+    right = sets.select(F.col("sid").alias("b"), F.col("n").alias("m"), F.col("sketch").alias("y"))
+    return pairs.join(left, "a").join(right, "b")
+
+
+def similar_sets(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> tuple[DataFrame, DataFrame]:
+    """Rows (id, h: hash of the text, one and two: name of the set, n) and sets (one, two, sid, rep, least, component, _n: rows)."""
     spark = docs.sparkSession
-    arrow_batches(spark, ROWS)
+    shuffled = int(spark.conf.get("spark.sql.shuffle.partitions"))
     source = docs.select(F.col(id_column).alias("id"), F.xxhash64(text_column).alias("h"), F.col(text_column).alias("text"))
     rows = stored(_sets(source), "sets")
-    sets = stored(rows.where("sid is not null").groupBy("sid").agg(F.min(F.struct("id", "h")).alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "distinct")
-    total = sets.agg(F.sum("n")).first()[0] or 0
-    parts = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), total * 2 // STEP)
-    blobs = _signed(source, parts).repartition(max(1, parts // 4), "part").sortWithinPartitions("part")
-    found = stored(_grouped(blobs), "candidates")
-    groups = stored(found.where("kind = 1").select(F.col("a").alias("group"), F.col("b").alias("sid")).distinct(), "groups")
-    star = groups.join(groups.groupBy("group").agg(F.min("sid").alias("a")), "group").where("a <> sid").select("a", F.col("sid").alias("b"))
-    pairs = stored(_sketch_filter(found.where("kind = 0").select("a", "b").unionByName(star).distinct(), sets), "pairs")
-
-    ends = lambda p: p.select(F.col("a").alias("sid")).unionByName(p.select(F.col("b").alias("sid"))).distinct()
-    arrays = stored(_arrays(source, ends(pairs).join(sets.select("sid", "rep"), "sid")), "arrays")
-    links = stored(_verified(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), arrays), "links")
+    rep = F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "h")).alias("rep")
+    sets = rows.where("one is not null").groupBy("one", "two").agg(rep, F.min("id").alias("least"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.count("*").alias("_n"))
+    sets = stored(sets.withColumn("sid", F.monotonically_increasing_id()), "distinct")  # fixed once it is written
+
+    elements = sets.agg(F.sum("n")).first()[0] or 0
+    parts = max(4 * shuffled, elements * 2 // STEP)
+    found = _candidates(_signed_texts(source, parts), parts).withColumn("star", F.col("kind") != PAIR)
+    found = found.groupBy("a", "a2", "b", "b2").agg(F.max("star").alias("star"))
+    left = sets.select(F.col("one").alias("a"), F.col("two").alias("a2"), F.col("sid").alias("i"), "n", F.col("sketch").alias("x"))
+    right = sets.select(F.col("one").alias("b"), F.col("two").alias("b2"), F.col("sid").alias("j"), F.col("n").alias("m"), F.col("sketch").alias("y"))
+    named = found.join(left, ["a", "a2"]).join(right, ["b", "b2"]).select(F.col("i").alias("a"), F.col("j").alias("b"), "star", "n", "m", "x", "y")
+    pairs = stored(_near(named).where("near OR star"), "pairs")
+
+    hot = stored(_ends(pairs.where("star")), "hot")
+    needed = _ends(pairs.where("near")).unionByName(hot).distinct()
+    arrays = stored(_arrays(source, sets.join(needed, "sid").select("sid", "rep", "one", "two")), "arrays")
+    links = stored(_verified(pairs.where("near").select("a", "b"), arrays), "links")
+    labels = components(links)
+
+    again = arrays.join(hot, "sid").join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
+    parts = 4 * shuffled
+    found = stored(_candidates(_signed_sets(again, parts), parts), "candidates")
+    apart = found.where("a2 <> b2").select("a", "b").distinct().withColumn("star", F.lit(False))
+    links = stored(links.unionByName(_verified(_near(_sketched(apart, sets)).where("near").select("a", "b"), arrays)), "links")
     labels = components(links)
-    links = stored(links.unionByName(_verified(_open_pairs(pairs, labels), arrays)), "links")
+
+    covers = _covers(found)
+    links = stored(links.unionByName(_across(covers, labels, sets, arrays)), "links")
     labels = components(links)
-    # First the closest pairs, which join nearly all that belongs together, then all pairs that are still open.
-    for closest in (True, False):
-        across = stored(_across(groups, labels, sets, closest), "across")
-        if across.isEmpty():
-            break
-        arrays = stored(_arrays(source, ends(across).join(sets.select("sid", "rep"), "sid")), "arrays")
-        links = stored(links.unionByName(_verified(across, arrays)), "links")
-        labels = components(links)
-    return rows.select("id", "h", "sid", "n").join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
+    of_sets = sets.join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
+    return rows, stored(of_sets.select("one", "two", "sid", "rep", "least", "component", "_n"), "labelled")
 
 
 def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """For each document its id, set size and the smallest id of its component."""
-    rows = stored(similar_components(docs, id_column, text_column), "components")
-    least = rows.where("component is not null").groupBy("component").agg(F.min("id").alias("least"))
-    out = rows.join(least, "component", "left")
-    return out.select(F.col("id").alias(id_column), F.col("n").alias("n_shingles"), F.coalesce("least", "id").alias("component_id"))
+    with scratch(docs.sparkSession):
+        rows, sets = similar_sets(docs, id_column, text_column)
+        least = stored(sets.groupBy("component").agg(F.min("least").alias("name"), F.count("*").alias("_n")), "least")
+        named = stored(spread_join(sets.select("one", "two", "sid", "component", F.col("_n").alias("copies")), least, ["component"], ["sid"]), "named")
+        of_set = named.select("one", "two", "name", F.col("copies").alias("_n"))
+        linked = spread_join(rows.where("one is not null").select("id", "h", "one", "two", "n"), of_set, ["one", "two"], ["id", "h"])
+        alone = rows.where("one is null").select("id", "n", F.col("id").alias("name"))
+        out = linked.select("id", "n", "name").unionByName(alone)
+        return stored(out.select(F.col("id").alias(id_column), F.col("n").alias("n_shingles"), F.col("name").alias("component_id")), "components", keep=True)
 
 
 def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -442,9 +599,11 @@ def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
 
     Documents with empty sets stay. Rows equal in id and text are one document.
     """
-    rows = similar_components(docs, id_column, text_column)
-    first = rows.groupBy(F.coalesce("component", F.xxhash64("id", "h")).alias("c"), F.col("component").isNull()).agg(F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "h")).alias("keep"))
-    first = first.select(F.col("keep.id").alias("__id"), F.col("keep.h").alias("__h")).distinct()
-    keyed = docs.withColumn("__key", F.xxhash64(text_column))
-    kept = keyed.join(first, F.col(id_column).eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__h")), "left_semi")
-    return kept.dropDuplicates([id_column, "__key"]).drop("__key")
+    with scratch(docs.sparkSession):
+        rows, sets = similar_sets(docs, id_column, text_column)
+        first = sets.groupBy("component").agg(F.min("rep").alias("rep")).select("rep.id", "rep.h")
+        kept = first.unionByName(rows.where("one is null").select("id", "h").distinct())
+        kept = stored(kept.select(F.xxhash64("id", "h").alias("__k"), F.col("id").alias("__id"), F.col("h").alias("__h")), "kept", keep=True)
+    keyed = docs.withColumn("__t", F.xxhash64(text_column)).withColumn("__k", F.xxhash64(id_column, "__t"))
+    chosen = keyed.join(kept.withColumnRenamed("__k", "__k2"), (F.col("__k") == F.col("__k2")) & F.col(id_column).eqNullSafe(F.col("__id")) & (F.col("__t") == F.col("__h")), "left_semi")
+    return chosen.dropDuplicates(["__k", id_column, "__t"]).drop("__k", "__t")
