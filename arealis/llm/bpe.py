@@ -18,7 +18,6 @@ largest text plus a bounded cache.
 
 from __future__ import annotations
 
-import gc
 import hashlib
 import json
 import re
@@ -30,13 +29,13 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from arealis.llm.common import arrow_batches
+from arealis.llm.common import by_bytes, no_collection
 
 #: The split pattern of the byte-level pre-tokenizer (a fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-#: Pieces that a worker keeps; beyond it only the short ones, which are the frequent ones, stay.
-CACHE_PIECES, SHORT = 600_000, 9
+#: Pieces that a worker keeps, and the longest of them; beyond it only the short ones, which are the frequent ones, stay.
+CACHE_PIECES, LONG, SHORT = 600_000, 64, 9
 
 _AFTER_SPACE, _CUT = re.compile(r"\s "), re.compile(r"(?<=\S) ")
 _ASCII_SPACES = [chr(c) + " " for c in (*range(9, 14), *range(28, 32))]
@@ -70,6 +69,7 @@ class TrieEncoder:
         self.rank = {(raw(a), raw(b)): k for k, (a, b) in enumerate(merges)}
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.tokens = {i: s for s, i in self.ids.items()} | {i: s.encode() for s, i in self.special.items()}
+        self.size = {i: len(t) for t, i in self.ids.items()}
         #: For each id: whether merging its own bytes gives it (found when first met).
         self.usable: list[bool | None] = [None] * (max(self.tokens) + 1)
         self.parts = {a + b: (a, b) for a, b in self.rank}
@@ -155,7 +155,7 @@ class TrieEncoder:
         """Encode distinct words: sorted order is the depth-first order of their trie."""
         out: dict[str, tuple[int, ...]] = {}
         usable, checked, state, known, ends = self.usable, self._checked, self._state, self.follows.get, self.finder.iter
-        path: list[tuple[int, tuple[int, ...]]] = [(0, ())]  # last token and ids of each prefix on the way down
+        last = [0]  # of each prefix on the way down, the last token; the token's length leads back to the prefix before it
         before = ""
         for word, text in sorted((w.encode("utf-8", "surrogatepass").decode("latin-1"), w) for w in set(words)):
             same = 0
@@ -163,7 +163,7 @@ class TrieEncoder:
                 if a != b:
                     break
                 same += 1
-            del path[same + 1 :]
+            del last[same + 1 :]
             done = same
             for end, (size, token) in ends(word):
                 if end < done:
@@ -171,16 +171,19 @@ class TrieEncoder:
                 start = end + 1 - size
                 if not (usable[token] or usable[token] is None and checked(token)):
                     continue
-                last, seen = path[start]
                 if start:
-                    pair = last << 32 | token
-                    if not (known(pair) if pair in self.follows else state(last, token, pair)):
+                    pair = last[start] << 32 | token
+                    if not (known(pair) if pair in self.follows else state(last[start], token, pair)):
                         continue
-                path.append((token, (*seen, token)))
+                last.append(token)
                 done = end + 1
             if done != len(word):
                 raise ValueError(f"no token ends at byte {done + 1} of {text!r}")
-            out[text] = path[done][1]
+            ids = []
+            while done:
+                ids.append(last[done])
+                done -= self.size[last[done]]
+            out[text] = tuple(reversed(ids))
             before = word
         return out
 
@@ -214,14 +217,21 @@ class PieceCache:
         self.after: dict[str, object] = {}  # of pieces after a cut, without their space
         self.whole: dict[str, object] = {}  # of all others
 
-    def _add(self, cache: dict, missing: set[str], head: str) -> None:
+    def _fill(self, cache: dict, missing: set[str], every: Callable[[], set[str]], head: str) -> dict[str, object]:
+        """Put the values of missing pieces into the cache; returns those of pieces that are too long for it."""
         if len(cache) + len(missing) > self.limit:
             short = {p: v for p, v in cache.items() if len(p) < SHORT}
             cache.clear()
             if len(short) < self.limit // 2:
                 cache.update(short)
+            missing = every()
         todo = [p for p in missing if p not in cache]
-        cache.update(zip(todo, self.compute([head + p for p in todo])))
+        values = dict(zip(todo, self.compute([head + p for p in todo])))
+        long = {p: v for p, v in values.items() if len(p) > LONG}
+        for p in long:
+            del values[p]
+        cache.update(values)
+        return long
 
     def lookup(self, texts: list[str]) -> Iterator[list]:
         """For each text the values of its pieces, in order."""
@@ -238,15 +248,13 @@ class PieceCache:
             if None in (found := list(map(get, parts[1:]))):
                 after.update(p for p, v in zip(parts[1:], found) if v is None)
             split.append(parts)
-        if whole:
-            wanted = {parts[0] for parts in split} if len(self.whole) + len(whole) > self.limit else whole
-            self._add(self.whole, wanted, "")
-        if after:
-            wanted = {p for parts in split for p in parts[1:]} if len(self.after) + len(after) > self.limit else after
-            self._add(self.after, wanted, " ")
+        first = self._fill(self.whole, whole, lambda: {parts[0] for parts in split}, "") if whole else {}
+        rest = self._fill(self.after, after, lambda: {p for parts in split for p in parts[1:]}, " ") if after else {}
         for parts in split:
             found = list(map(get, parts))
-            found[0] = self.whole[parts[0]]
+            found[0] = first[parts[0]] if parts[0] in first else self.whole[parts[0]]
+            if rest and None in found:
+                found = [rest[p] if v is None else v for p, v in zip(parts, found)]
             yield found
 
 
@@ -256,18 +264,6 @@ def encoder(path: str) -> TrieEncoder:
     return TrieEncoder(path)
 
 
-def by_bytes(texts: list[str], limit: int = 4_000_000) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about this many characters, so that no step holds many long texts."""
-    start = size = 0
-    for i, t in enumerate(texts):
-        if i > start and size + len(t) > limit:
-            yield start, i
-            start, size = i, 0
-        size += len(t)
-    if start < len(texts):
-        yield start, len(texts)
-
-
 _KEPT: dict[tuple[str, str], PieceCache] = {}
 
 
@@ -295,12 +291,10 @@ def found_values(texts: list[str], cache: PieceCache, coder: TrieEncoder, of_spe
 
 def encode_decode(docs: DataFrame, tokenizer: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """For each document: its id, number of tokens, and digests of its ids and of the text decoded from them."""
-    arrow_batches(docs.sparkSession)
     source = docs.select(docs[id_column], docs[text_column])
     kind = dict(source.dtypes)[id_column]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gc.disable()  # there are no cycles, and a pass over a large cache is slow
         coder = encoder(tokenizer)
         tokens = coder.tokens
 
@@ -309,16 +303,16 @@ def encode_decode(docs: DataFrame, tokenizer: str, id_column: str = "doc_id", te
                 yield ",".join(map(str, ids)), b"".join([tokens[i] for i in ids]), len(ids)
 
         cache = kept("encode_decode", tokenizer, lambda: PieceCache(values))
-        for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            n, ids, decoded = [], [], []
-            for a, b in by_bytes(texts):
-                for found in found_values(texts[a:b], cache, coder, lambda i: (str(i), tokens[i], 1)):
-                    parts, raw, counts = zip(*found) if found else ((), (), ())
-                    n.append(sum(counts))
-                    ids.append(hashlib.sha256(",".join(parts).encode()).hexdigest())
-                    decoded.append(hashlib.sha256(b"".join(raw).decode("utf-8", "replace").encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())], ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        with no_collection():
+            for batch in batches:
+                n, ids, decoded = [], [], []
+                for texts in by_bytes(batch.column(1)):
+                    for found in found_values(texts, cache, coder, lambda i: (str(i), tokens[i], 1)):
+                        parts, raw, counts = zip(*found) if found else ((), (), ())
+                        n.append(sum(counts))
+                        ids.append(hashlib.sha256(",".join(parts).encode()).hexdigest())
+                        decoded.append(hashlib.sha256(b"".join(raw).decode("utf-8", "replace").encode()).hexdigest())
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())], ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     out = source.mapInArrow(run, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
     return out.withColumnRenamed("id", id_column)
