@@ -16,9 +16,9 @@ empty table gives no rows. Columns beyond id and text are not read.
 
 from __future__ import annotations
 
-import gc
-import os
+import sys
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -29,8 +29,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from arealis.llm.bpe import PieceCache, by_bytes
-from arealis.llm.common import arrow_batches, stored
+from arealis.llm.bpe import PieceCache
+from arealis.llm.common import by_bytes, no_collection
+from arealis.llm.token_counts import Library, library
+from arealis.scratch import stored
 
 #: One run of the plan: ranks lo..hi-1 of a length go to sequences from ``base`` on, ``each`` to a sequence, from ``place`` on.
 PLAN_COLUMNS = ("length", "lo", "hi", "base", "each", "place")
@@ -99,48 +101,43 @@ def plan_runs(counts: dict[int, int], size: int) -> np.ndarray:
     return np.array(sorted(rows), dtype=np.int64).reshape(-1, len(PLAN_COLUMNS))
 
 
-@lru_cache(maxsize=2)
-def _ids(tokenizer: str) -> tuple[PieceCache, object, tuple[str, ...]]:
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    model = Tokenizer.from_file(tokenizer)
-    model.no_padding()
-    model.no_truncation()
+def _raw(ids: list[int]) -> bytes:
+    """Ids as little-endian unsigned 32-bit numbers."""
+    out = array("I", ids)
+    if out.itemsize != 4 or sys.byteorder != "little":
+        return np.array(ids, dtype="<u4").tobytes()
+    return out.tobytes()
 
-    def encode(texts: list[str]) -> Iterator[bytes]:
-        for e in model.encode_batch_fast(texts, add_special_tokens=False):
-            yield np.array(e.ids, dtype="<u4").tobytes()
 
-    return PieceCache(encode), encode, tuple(t.content for t in model.get_added_tokens_decoder().values())
+@lru_cache(maxsize=2)
+def _coder(tokenizer: str) -> tuple[Library, PieceCache]:
+    coder = library(tokenizer)
+    return coder, PieceCache(lambda pieces: map(_raw, coder.pieces(pieces)))
 
 
 def token_bytes(texts: list[str], tokenizer: str) -> Iterator[bytes]:
     """The ids of each text as little-endian unsigned 32-bit numbers."""
-    cache, encode, specials = _ids(tokenizer)
-    alone = [any(s in t for s in specials) for t in texts]
-    split = cache.lookup([t for t, a in zip(texts, alone) if not a])
-    for t, a in zip(texts, alone):
-        yield next(iter(encode([t]))) if a else b"".join(next(split))
+    coder, cache = _coder(tokenizer)
+    if coder.by_pieces:
+        return map(b"".join, coder.found(texts, cache, lambda i: _raw([i])))
+    return map(_raw, coder.whole(texts))
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, size: int, end_id: int, id_column: str, text_column: str) -> DataFrame:
     """Pieces of at most ``size`` tokens, each with its rank among the equally long ones of its task."""
-    arrow_batches(docs.sparkSession)
     source = docs.select(docs[id_column], docs[text_column])
     kind = dict(source.dtypes)[id_column]
-    end = np.array([end_id], dtype="<u4").tobytes()
+    end = _raw([end_id])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gc.disable()  # there are no cycles, and a pass over a large cache is slow
         task = TaskContext.get().partitionId()
         seen: Counter[int] = Counter()
-        for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            of, piece, start, length, crc, rank = [], [], [], [], [], []
-            at = 0
-            for a, b in by_bytes(texts):
-                for ids in token_bytes(texts[a:b], tokenizer):
+        longs = lambda x: pa.array(x, pa.int64())
+        with no_collection():
+            for batch in batches:
+                of, piece, start, length, crc, rank = [], [], [], [], [], []
+                texts = (t for some in by_bytes(batch.column(1)) for t in token_bytes(some, tokenizer))
+                for at, ids in enumerate(texts):
                     ids += end
                     n = len(ids) // 4
                     cuts = [0, *range(n % size or size, n + 1, size)]
@@ -152,12 +149,10 @@ def token_pieces(docs: DataFrame, tokenizer: str, size: int, end_id: int, id_col
                         crc.append(zlib.crc32(ids[4 * x : 4 * y]))
                         rank.append(seen[y - x])
                         seen[y - x] += 1
-                    at += 1
-            longs = lambda x: pa.array(x, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(longs(of)), pa.array(piece, pa.int32()), longs(start), longs(length), longs(crc), longs(rank), pa.array([task] * len(of), pa.int32())],
-                ["id", "piece", "start", "length", "ids_crc32", "local_rank", "task"],
-            )
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(longs(of)), pa.array(piece, pa.int32()), longs(start), longs(length), longs(crc), longs(rank), pa.array([task] * len(of), pa.int32())],
+                    ["id", "piece", "start", "length", "ids_crc32", "local_rank", "task"],
+                )
 
     return source.mapInArrow(run, f"id {kind}, piece int, start long, length long, ids_crc32 long, local_rank long, task int")
 

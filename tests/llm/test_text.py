@@ -4,12 +4,13 @@ import hashlib
 import os
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
 import pytest
 
-from arealis.llm.bpe import TrieEncoder, encode_decode
+from arealis.llm.bpe import PieceCache, TrieEncoder, encode_decode
 from arealis.llm.html_extract import extract_pages, main_text
 from arealis.llm.packing import best_two_fit, pack
 from arealis.llm.quality_rules import quality_rules
@@ -43,6 +44,28 @@ def test_trie_states_equal_merging():
     assert all([coder.tokens[i] for i in got[w]] == coder._merged(w.encode()) for w in words)
 
 
+def test_long_words(library):
+    """A word of a million letters, in time and memory proportional to its length."""
+    rng = random.Random(4)
+    coder = TrieEncoder(tokenizer_path())
+    word = "".join(rng.choice("abcdefghij") for _ in range(1_000_000))
+    assert list(coder.encode_words([word])[word]) == ids_of(library, word)
+    tracemalloc.start()
+    coder.encode_words([word[:100_000], word[:100_000] + "x", "a" * 100_000])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 50_000_000  # ten times as much for a million
+
+
+def test_long_pieces_are_not_kept():
+    seen = []
+    cache = PieceCache(lambda pieces: [seen.append(p) or len(p) for p in pieces])
+    texts = ["a " + "b" * 100 + " c", "b" * 100 + " c a"]
+    for _ in range(2):
+        assert [sum(v) for v in cache.lookup(texts)] == [len(t) for t in texts]
+    assert all(len(p) <= 64 for p in [*cache.after, *cache.whole]) and seen.count(" c") == 1 and seen.count(" " + "b" * 100) == 2
+
+
 def test_encode_decode(spark, library):
     texts = samples()
     rows = encode_decode(spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)] + [(None, "x", 1)], "doc_id long, text string, n_tokens int"), tokenizer_path()).collect()
