@@ -1,29 +1,31 @@
 """Quality classifier: pooled random-indexing vectors and a small network.
 
 Each token has a fixed sparse ternary index vector, made from its hash. A word
-vector is the sum of the index vectors around the word's occurrences. A
-document is the mean and the spread of its words' vectors. A two-layer network
-turns that into a logit, which a temperature, fitted on rows kept apart, makes
-a calibrated probability.
-
-Vectors, network and temperature are fitted on at most ``sample_rows`` labelled
-rows, the first by a hash of their id; scoring reads every whole text. The
-model has a fixed size (hash buckets times dimensions), so it can be sent to
-all tasks. Words that the vocabulary's hash puts together share a vector.
+vector is the sum of the index vectors around the word's occurrences in all
+documents: tasks add up what they read, and the sums of hash buckets, a matrix
+of fixed size, are added over tasks. They are whole numbers, so the result does
+not depend on the partitions. A document is the mean and the spread of its
+words' vectors. A two-layer network turns that into a logit, which a
+temperature, fitted on rows kept apart, makes a calibrated probability.
+
+Network and temperature are fitted on at most ``sample_rows`` labelled rows, the
+first by a hash of their id; only their pooled vectors, of fixed size, reach the
+driver. With fewer than ``LEAST_APART`` rows kept apart the temperature is 1.
+Vectors and scores read every whole text.
 
 Defined results: a null or empty text has a zero vector and gets the score of
 that; with no labelled row, or one class only, every score is the share of
 label 1 (1.0 without rows), so that nothing is rejected unseen; repeated rows
-get equal scores; a null id is never a training row. Only id and text are read
-from the documents.
+get equal scores; a null id is never a training row, nor is an id with both
+labels; documents that share a labelled id are rows of their own. Only id and
+text are read from the documents.
 """
 
 from __future__ import annotations
 
-import gc
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,10 +33,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arealis.llm.common import arrow_batches, is_fold
+from arealis.llm.common import by_bytes, is_fold, no_collection
+from arealis.scratch import scratch, stored
 
 #: Bounds of the fit and the size of the model.
 SAMPLE_ROWS, BUCKETS, DIMENSIONS, HIDDEN, WINDOW = 4000, 1 << 14, 64, 32, 2
+#: Rows that the temperature needs; tokens in one step of the sums, buckets in one of their rows.
+LEAST_APART, STEP_TOKENS, BLOCK = 20, 100_000, 256
 
 #: Words that a worker keeps the vectors of.
 CACHE_WORDS = 300_000
@@ -67,28 +72,94 @@ def words_of(text: str) -> list[str]:
     return text.split()
 
 
-def fit_vectors(texts: list[str]) -> np.ndarray:
-    """Random indexing: sum index vectors of the tokens around each bucket, then scale to unit length."""
-    index = index_vectors()
-    total = np.zeros_like(index)
-    for text in texts:
-        words = words_of(text)
-        if not words:
-            continue
-        ids, inverse = np.unique(words, return_inverse=True)
-        buckets = np.array([word_buckets(w) for w in ids.tolist()], dtype=np.int64)[inverse]
-        around = index[buckets].sum(axis=1)
-        padded = np.zeros((len(words) + 2 * WINDOW, around.shape[1]), dtype=np.float32)
-        padded[WINDOW:-WINDOW] = around
-        near = sum(padded[k : k + len(words)] for k in range(2 * WINDOW + 1))
+class ContextSums:
+    """Sums of the index vectors around the occurrences of each bucket."""
+
+    def __init__(self) -> None:
+        self.index = index_vectors()
+        self.total = np.zeros(self.index.shape, dtype=np.int64)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str | None, int] = {None: 0}  # None stands between texts
+        self.buckets: list[tuple[int, int, int]] = [(0, 0, 0)]
+        self.around = np.zeros((1 << 14, self.index.shape[1]), dtype=np.float32)
+
+    def _places(self, words: list[str | None]) -> np.ndarray:
+        found = list(map(self.known.get, words))
+        if None in found:
+            for w in dict.fromkeys(w for w, i in zip(words, found) if i is None):
+                place = self.known[w] = len(self.buckets)
+                if place == len(self.around):
+                    self.around = np.concatenate([self.around, np.zeros_like(self.around)])
+                self.buckets.append(word_buckets(w))
+                self.around[place] = self.index[list(self.buckets[-1])].sum(axis=0)
+            found = list(map(self.known.__getitem__, words))
+        return np.array(found)
+
+    def _add(self, places: np.ndarray, first: int, last: int) -> None:
+        """The windows around the places from first to last; the others are only seen."""
+        n = len(places)
+        sums = np.zeros((n + 2 * WINDOW + 1, self.index.shape[1]), dtype=np.float32)
+        np.cumsum(self.around[places], axis=0, out=sums[WINDOW + 1 : WINDOW + 1 + n])
+        sums[WINDOW + 1 + n :] = sums[WINDOW + n]
+        near = (sums[2 * WINDOW + 1 :] - sums[:n])[first:last]
+        own = places[first:last]
+        order = np.argsort(own, kind="stable")
+        starts = np.flatnonzero(np.diff(own[order], prepend=-1))
+        word = own[order][starts]
+        by_word = np.add.reduceat(near[order], starts, axis=0).astype(np.int64)
+        buckets = np.array(self.buckets)[word[word > 0]]
         for column in range(3):
-            order = np.argsort(buckets[:, column], kind="stable")
-            keys = buckets[order, column]
-            starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-            total[keys[starts]] += np.add.reduceat(near[order], starts, axis=0)
-    norm = np.linalg.norm(total, axis=1, keepdims=True)
-    # A bucket's own index vector keeps unseen and rare tokens apart from each other.
-    return np.where(norm > 0, total / np.maximum(norm, 1e-9), 0) * 0.5 + index / np.sqrt(6) * 0.5
+            np.add.at(self.total, buckets[:, column], by_word[word > 0])
+
+    def add(self, texts: list[str]) -> None:
+        gap: list[str | None] = [None] * WINDOW
+        words = list(gap)
+        for text in texts:
+            words += words_of(text)
+            words += gap
+        for k in range(0, len(words), STEP_TOKENS):
+            if len(self.buckets) > CACHE_WORDS:
+                self._forget()
+            low = max(0, k - WINDOW)
+            self._add(self._places(words[low : k + STEP_TOKENS + WINDOW]), k - low, k - low + STEP_TOKENS)
+
+    def vectors(self) -> np.ndarray:
+        """Sums of unit length, mixed with each bucket's own index vector, which keeps rare words apart."""
+        norm = np.linalg.norm(self.total, axis=1, keepdims=True)
+        return (np.where(norm > 0, self.total / np.maximum(norm, 1e-9), 0) * 0.5 + self.index / np.sqrt(6) * 0.5).astype(np.float32)
+
+
+def corpus_vectors(docs: DataFrame, text_column: str) -> np.ndarray:
+    """Vectors of all buckets from all documents."""
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = ContextSums()
+        with no_collection():
+            for batch in batches:
+                for texts in by_bytes(batch.column(0)):
+                    sums.add(texts)
+        blocks = range(0, BUCKETS, BLOCK)
+        kind = np.int32 if np.abs(sums.total).max() < 1 << 31 else np.int64
+        yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int32()), pa.array([sums.total[b : b + BLOCK].astype(kind).tobytes() for b in blocks], pa.binary())], ["block", "sums"])
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, sums in zip(*(c.to_pylist() for c in batch.columns)):
+                part = np.frombuffer(sums, np.int32 if len(sums) == BLOCK * DIMENSIONS * 4 else np.int64)
+                found[block] = found[block] + part if block in found else part.astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int32()), pa.array([x.tobytes() for x in found.values()], pa.binary())], ["block", "sums"])
+
+    schema = "block int, sums binary"
+    # Each task sends one matrix, so there should be no more tasks than the cluster can keep busy.
+    tasks = 8 * docs.sparkSession.sparkContext.defaultParallelism
+    sums = docs.select(text_column).coalesce(tasks).mapInArrow(partial, schema).repartition(BUCKETS // BLOCK, "block").mapInArrow(added, schema)
+    out = ContextSums()
+    for row in sums.collect():  # the size of the model
+        out.total[row["block"] : row["block"] + BLOCK] += np.frombuffer(row["sums"], np.int64).reshape(-1, DIMENSIONS)
+    return out.vectors()
 
 
 class Pooler:
@@ -155,7 +226,7 @@ class Network:
 
 
 def fit_network(x: np.ndarray, y: np.ndarray, epochs: int = 150, batch: int = 64, rate: float = 3e-3, decay: float = 1e-3) -> Network:
-    """Adam on the cross-entropy; the last fifth of the rows sets the temperature."""
+    """Adam on the cross-entropy; the last fifth of the rows sets the temperature and nothing else."""
     rng = np.random.Generator(np.random.PCG64(7))
     order = rng.permutation(len(x))
     x, y = x[order].astype(np.float32), y[order].astype(np.float32)
@@ -181,8 +252,9 @@ def fit_network(x: np.ndarray, y: np.ndarray, epochs: int = 150, batch: int = 64
                 second[k] = 0.999 * second[k] + 0.001 * g * g
                 parameters[k] -= rate * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)
     net.w1, net.b1, net.w2, net.b2 = parameters[0], parameters[1], parameters[2], float(parameters[3][0])
-    held = slice(cut, None) if len(x) - cut >= 20 else slice(0, None)
-    logits, truth = net.logits(x[held]).astype(np.float64), y[held]
+    if len(x) - cut < LEAST_APART:
+        return net
+    logits, truth = net.logits(x[cut:]).astype(np.float64), y[cut:]
 
     def loss(t: float) -> float:
         return float(np.mean(np.logaddexp(0, logits / t) - truth * logits / t))
@@ -203,67 +275,88 @@ class QualityModel:
         return self.network.probabilities(pooler.batch(texts))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held_out: int, rows: int, id_column: str, text_column: str) -> list[tuple[str, int]]:
-    """Text and label of at most ``rows`` labelled documents outside the fold, the first by a hash of the id."""
+def labelled(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held_out: int, rows: int, id_column: str, text_column: str) -> DataFrame:
+    """_id, _text and _label of the documents of ``rows`` labelled ids outside the fold, the first by their hash."""
     known = labels.where(F.col(label).isin(0, 1) & F.col(id_column).isNotNull() & ~is_fold(id_column, modulus, held_out))
-    chosen = known.select(F.col(id_column).alias("_id"), F.col(label).cast("int").alias("_label")).dropDuplicates(["_id"])
-    chosen = chosen.orderBy(F.xxhash64("_id"), "_id").limit(rows)
-    found = docs.select(F.col(id_column).alias("_id"), F.col(text_column).alias("_text")).join(F.broadcast(chosen), "_id")
-    return [(r["_text"] or "", r["_label"]) for r in found.orderBy(F.xxhash64("_id"), "_id", "_text").limit(rows).collect()]
+    known = known.groupBy(F.col(id_column).alias("_id")).agg(F.min(label).cast("int").alias("_label"), F.max(label).cast("int").alias("_other"))
+    chosen = known.where("_label = _other").drop("_other").orderBy(F.xxhash64("_id"), "_id").limit(rows)
+    return docs.select(F.col(id_column).alias("_id"), F.col(text_column).alias("_text")).join(F.broadcast(chosen), "_id")
+
+
+def features_of(rows: DataFrame, compute: Callable[[list[str]], list[bytes]], most_rows: int, most_bytes: int) -> list[tuple[bytes, int]]:
+    """Features, made in tasks, and labels of the first rows by a hash of the id, within both bounds."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [x for texts in by_bytes(batch.column(1)) for x in compute(texts)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(made, pa.binary())], ["place", "label", "features"])
+
+    with scratch(rows.sparkSession):
+        found = rows.select(F.xxhash64("_id").alias("place"), "_text", "_label").mapInArrow(run, "place long, label int, features binary")
+        found = stored(found, "features")
+        order = [F.col("place"), F.xxhash64("features")]
+        sizes = found.select("place", F.length("features").alias("n")).orderBy(*order).limit(most_rows).collect()
+        total = np.cumsum([r["n"] for r in sizes])
+        n = int((total <= most_bytes).sum())
+        return [(bytes(r["features"]), r["label"]) for r in found.orderBy(*order).limit(n).collect()] if n else []
+
 
+def fit_quality(docs: DataFrame, labels: DataFrame, sample_rows: int, id_column: str, text_column: str) -> QualityModel:
+    vectors = corpus_vectors(docs, text_column)
+    shared = docs.sparkSession.sparkContext.broadcast(vectors)
 
-def fit_quality(sample: list[tuple[str, int]]) -> QualityModel:
-    texts, y = [t for t, _ in sample], np.array([k for _, k in sample])
+    def pooled(texts: list[str]) -> list[bytes]:
+        return [x.tobytes() for x in Pooler(shared.value).batch(texts)]
+
+    rows = labelled(docs, labels, "quality", 4, 2, sample_rows, id_column, text_column)
+    sample = features_of(rows, pooled, sample_rows, sample_rows * (2 * DIMENSIONS + 2) * 4)
+    y = np.array([k for _, k in sample])
     if not len(y) or y.min() == y.max():
-        return QualityModel(np.zeros((1, 1), np.float32), None, float(y.mean()) if len(y) else 1.0)
-    vectors = fit_vectors(texts).astype(np.float32)
-    return QualityModel(vectors, fit_network(Pooler(vectors).batch(texts), y))
+        return QualityModel(vectors, None, float(y.mean()) if len(y) else 1.0)
+    return QualityModel(vectors, fit_network(np.stack([np.frombuffer(x, np.float32) for x, _ in sample]), y))
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, threshold: float = 0.7, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Score and verdict for each document; labels of the fold crc32(id) mod 4 = 2 are never learned from."""
-    spark = docs.sparkSession
-    arrow_batches(spark)
-    model = fit_quality(labelled_sample(docs, labels, "quality", 4, 2, sample_rows, id_column, text_column))
-    source = docs.select(F.col(id_column).alias("_id"), F.col(text_column).alias("_text"))
-    scored = with_scores(source, spark.sparkContext.broadcast(model), Pooler)
+    model = docs.sparkSession.sparkContext.broadcast(fit_quality(docs, labels, sample_rows, id_column, text_column))
+    scored = with_scores(docs.select(F.col(id_column).alias("_id"), F.col(text_column).alias("_text")), model, Pooler)
     return scored.select(
         F.col("_id").alias(id_column), is_fold("_id", 4, 2).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted")
     )
 
 
+def quality_filter(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, threshold: float = 0.7, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """All columns of the documents with a score of at least ``threshold``."""
+    model = docs.sparkSession.sparkContext.broadcast(fit_quality(docs, labels, sample_rows, id_column, text_column))
+    return filtered(docs, model, Pooler, lambda s: s >= threshold, text_column)
+
+
+def _scored(texts: pa.Array, fitted, cache) -> np.ndarray:
+    parts = [fitted.scores(some, cache) for some in by_bytes(texts)]
+    return np.concatenate(parts) if parts else np.zeros(0)
+
+
 def filtered(docs: DataFrame, model, helper, keep, text_column: str) -> DataFrame:
     """The rows whose score ``keep`` accepts, in one pass and with all columns; ``model`` is a broadcast variable."""
     place = docs.columns.index(text_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gc.disable()
-        fitted = model.value
-        cache = helper(fitted.vectors)
-        for batch in batches:
-            yield batch.filter(pa.array(keep(fitted.scores(batch.column(place).to_pylist(), cache))))
+        cache = helper(model.value.vectors)
+        with no_collection():
+            for batch in batches:
+                yield batch.filter(pa.array(keep(_scored(batch.column(place), model.value, cache)), pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 
 
-def quality_filter(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, threshold: float = 0.7, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """All columns of the documents with a score of at least ``threshold``."""
-    spark = docs.sparkSession
-    arrow_batches(spark)
-    model = fit_quality(labelled_sample(docs, labels, "quality", 4, 2, sample_rows, id_column, text_column))
-    return filtered(docs, spark.sparkContext.broadcast(model), Pooler, lambda s: s >= threshold, text_column)
-
-
 def with_scores(source: DataFrame, model, helper) -> DataFrame:
-    """Id and score of each row; ``model`` is a broadcast variable, ``helper`` makes each task's cache."""
+    """Id and score of each row (_id, _text); ``model`` is a broadcast variable, ``helper`` makes each task's cache."""
     kind = dict(source.dtypes)["_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gc.disable()
-        fitted = model.value
-        cache = helper(fitted.vectors)
-        for batch in batches:
-            scores = fitted.scores(batch.column(1).to_pylist(), cache)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], ["_id", "score"])
+        cache = helper(model.value.vectors)
+        with no_collection():
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_scored(batch.column(1), model.value, cache), pa.float64())], ["_id", "score"])
 
     return source.mapInArrow(run, f"_id {kind}, score double")

@@ -1,22 +1,24 @@
 """Toxicity: a factorization machine over hashed terms.
 
-Terms of a document are its distinct words and word beginnings, hashed. The
-machine's inputs are terms that are clearly more frequent in toxic rows, terms
-that are so in the toxic rows that these leave unexplained (again, until none is
-found), frequent terms that separate the classes among the rows of another term,
-and terms that are clearly more frequent in clean rows. The machine learns a
-weight for each and a vector whose products weigh pairs of terms, so that two
-terms that are harmless alone can count together.
-
-The machine is fitted on at most ``sample_rows`` labelled rows, the first by a
-hash of their id, equal texts counting once; scoring reads every whole text.
-The model has at most ``MAX_TERMS`` inputs, so it can be sent to all tasks.
+Terms of a document are its distinct words and word beginnings, as 32-bit
+hashes. The machine's inputs are terms that are clearly more frequent in toxic
+rows, terms that are so in the toxic rows that these leave unexplained (again,
+until none is found), terms that separate the classes among the rows of another
+term, and terms that are clearly more frequent in clean rows. The machine
+learns a weight for each and a vector whose products weigh pairs of terms, so
+that two terms that are harmless alone can count together. (With all terms as
+inputs the machine learns its sample by heart: the README has figures.)
+
+The machine is fitted on at most ``sample_rows`` labelled rows and
+``SAMPLE_BYTES`` of their terms, the first by a hash of their id; only terms
+reach the driver. Rows with equal terms count once, toxic if half of them are.
+Scoring reads every whole text.
 
 Defined results: a null or empty text has no terms and gets the machine's
 constant, as does a text without a known term; with no labelled row, or one
 class only, every score is the share of label 1 (0.0 without rows); repeated
-rows get equal scores; a null id is never a training row. Only id and text are
-read from the documents.
+rows get equal scores; a null id is never a training row, nor is an id with
+both labels. Only id and text are read from the documents.
 """
 
 from __future__ import annotations
@@ -29,13 +31,13 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arealis.llm.common import arrow_batches, is_fold
-from arealis.llm.quality_model import filtered, labelled_sample, with_scores
+from arealis.llm.common import is_fold
+from arealis.llm.quality_model import features_of, filtered, labelled, with_scores
 
-#: Bounds of the fit and the size of the model.
-SAMPLE_ROWS, TERM_BITS, MAX_TERMS, FACTORS = 8000, 22, 4096, 8
-#: Least standard scores of a term among all rows (or those of another term), and among rows that no chosen term explains.
-ALONE, LEFT_OPEN = 5.0, 4.5
+#: Bounds of the fit, and factors of the machine.
+SAMPLE_ROWS, SAMPLE_BYTES, FACTORS = 8000, 1 << 28, 8
+#: Least rows of a term; least standard scores of a term among all rows (or those of another term), and among rows that no chosen term explains.
+LEAST, ALONE, LEFT_OPEN = 3, 5.0, 4.5
 #: Shortest and longest word beginning that is a term.
 PREFIXES = (3, 10)
 CACHE_WORDS = 300_000
@@ -45,7 +47,7 @@ _WORD = re.compile(r"[^\W\d_]+")
 
 def word_terms(word: str) -> list[int]:
     """Hashes of a lower-case word and its beginnings."""
-    raw = lambda s: zlib.crc32(s.encode("utf-8", "surrogatepass")) >> (32 - TERM_BITS)
+    raw = lambda s: zlib.crc32(s.encode("utf-8", "surrogatepass"))
     return [raw(word + "$"), *(raw(word[:k]) for k in range(PREFIXES[0], min(PREFIXES[1], len(word)) + 1))]
 
 
@@ -105,39 +107,40 @@ def text_terms(text: str) -> np.ndarray:
     return np.unique(np.fromiter((t for w in words for t in word_terms(w)), dtype=np.uint32))
 
 
-def choose_terms(rows: list[np.ndarray], y: np.ndarray) -> np.ndarray:
-    """Inputs of the machine: terms that separate the classes alone, in rows that others leave open, or in a pair."""
-    least = 3 if (y == 1).sum() < 200 else 5
+def _counts(rows: list[np.ndarray], chosen: np.ndarray, size: int) -> np.ndarray:
+    """How many of the chosen rows have each term."""
+    some = [rows[k] for k in np.flatnonzero(chosen)]
+    return np.bincount(np.concatenate(some), minlength=size) if some else np.zeros(size, dtype=np.int64)
+
+
+def choose_terms(rows: list[np.ndarray], y: np.ndarray, size: int) -> np.ndarray:
+    """Inputs of the machine, of terms numbered below ``size``: those that separate the classes alone, in rows that others leave open, or in a pair."""
     chosen = spoken = np.zeros(0, dtype=np.int64)
+    taken, decides = np.zeros(size, dtype=bool), np.zeros(size, dtype=bool)
     explained = np.zeros(len(rows), dtype=bool)
-    taken, decides = np.zeros(1 << TERM_BITS, dtype=bool), np.zeros(1 << TERM_BITS, dtype=bool)
+    clean = _counts(rows, y == 0, size)
     bound = ALONE
-    while (y[~explained] == 1).sum() >= least and (y[~explained] == 0).any():
-        counts = [np.zeros(1 << TERM_BITS, dtype=np.int32) for _ in range(2)]
-        for terms, label, skip in zip(rows, y, explained):
-            if not skip:
-                counts[int(label)][terms] += 1
-        n0, n1 = int((y[~explained] == 0).sum()), int((y[~explained] == 1).sum())
-        term = np.flatnonzero((counts[1] + counts[0] >= least) & ~taken)
-        z = _separation(counts[1][term], n1, counts[0][term], n0)
-        strong = np.flatnonzero((z > bound) & (counts[1][term] >= least) & (counts[1][term] * n0 > 2 * counts[0][term] * n1))
+    while (n1 := int((open_rows := (y == 1) & ~explained).sum())) >= LEAST and len(y) - y.sum() > 0:
+        n0, toxic = int((y == 0).sum()), _counts(rows, open_rows, size)
+        term = np.flatnonzero((toxic + clean >= LEAST) & ~taken)
+        z = _separation(toxic[term], n1, clean[term], n0)
+        strong = np.flatnonzero((z > bound) & (toxic[term] >= LEAST) & (toxic[term] * n0 > 2 * clean[term] * n1))
         found = term[strong[np.argsort(-z[strong], kind="stable")]]
         if not len(chosen):
-            clean = np.flatnonzero((z < -ALONE) & (counts[0][term] * n1 > 2 * counts[1][term] * n0))
-            spoken = term[clean[np.argsort(z[clean], kind="stable")]]
+            weak = np.flatnonzero((z < -ALONE) & (clean[term] * n1 > 2 * toxic[term] * n0))
+            spoken = term[weak[np.argsort(z[weak], kind="stable")]]
         if not len(found):
             break
         chosen = np.concatenate([chosen, found])
         taken[found] = True
-        decides[found[counts[1][found] > counts[0][found]]] = True
+        decides[found[toxic[found] > clean[found]]] = True
         # Toxic rows with a chosen term are explained in the next round; others, and all clean rows, stay.
-        explained |= (y == 1) & np.array([taken[r].any() for r in rows])
+        explained |= (y == 1) & np.array([taken[r].any() for r in rows], dtype=bool)
         bound = LEFT_OPEN
     # Pairs are looked for in all rows but the toxic ones with a term that is mostly in such rows.
-    explained = (y == 1) & np.array([decides[r].any() for r in rows], dtype=bool)
-    paired = _paired_terms([r for r, skip in zip(rows, explained) if not skip], y[~explained], decides, least)
-    out = np.concatenate([chosen, paired, spoken])
-    return out[np.sort(np.unique(out, return_index=True)[1])][:MAX_TERMS]
+    left = ~((y == 1) & np.array([decides[r].any() for r in rows], dtype=bool))
+    out = np.concatenate([chosen, _paired_terms(rows, y, left, decides, size), spoken])
+    return out[np.sort(np.unique(out, return_index=True)[1])]
 
 
 def _separation(a: np.ndarray, n1: np.ndarray, b: np.ndarray, n0: np.ndarray) -> np.ndarray:
@@ -147,57 +150,65 @@ def _separation(a: np.ndarray, n1: np.ndarray, b: np.ndarray, n0: np.ndarray) ->
     return (a / np.maximum(n1, 1) - b / np.maximum(n0, 1)) / spread
 
 
-def _paired_terms(rows: list[np.ndarray], y: np.ndarray, decides: np.ndarray, least: int) -> np.ndarray:
-    """Of the most frequent terms, those that separate the classes among the rows of another, and the other so too."""
-    total, toxic = np.zeros(1 << TERM_BITS, dtype=np.int32), np.zeros(1 << TERM_BITS, dtype=np.int32)
-    sign = np.zeros(1 << TERM_BITS, dtype=np.uint64)
-    for r, label, mark in zip(rows, y, np.random.Generator(np.random.PCG64(13)).integers(1, 1 << 63, len(rows), dtype=np.uint64)):
-        total[r] += 1
-        sign[r] += mark
-        if label:
-            toxic[r] += 1
-    term = np.flatnonzero((toxic >= least) & (total < len(rows)) & ~decides)
+def _paired_terms(rows: list[np.ndarray], y: np.ndarray, left: np.ndarray, decides: np.ndarray, size: int, tile: int = 1024) -> np.ndarray:
+    """Terms that separate the classes among the left rows of another term, and the other so too."""
+    use = np.flatnonzero(left)
+    toxic = _counts(rows, left & (y == 1), size)
+    total = toxic + _counts(rows, left & (y == 0), size)
+    sign = np.zeros(size, dtype=np.uint64)
+    for k, mark in zip(use, np.random.Generator(np.random.PCG64(13)).integers(1, 1 << 63, len(use), dtype=np.uint64)):
+        sign[rows[k]] += mark
+    term = np.flatnonzero((toxic >= LEAST) & (total < len(use)) & ~decides)
     term = term[np.sort(np.unique(sign[term], return_index=True)[1])]  # beginnings of a word mostly have the same rows
-    term = term[np.argsort(-total[term], kind="stable")][:MAX_TERMS]
     if len(term) < 2:
         return term[:0]
-    place = np.full(1 << TERM_BITS, -1, dtype=np.int32)
+    place = np.full(size, -1, dtype=np.int64)
     place[term] = np.arange(len(term))
-    both = [np.zeros((len(term), len(term)), dtype=np.float32) for _ in range(2)]
+    held = [np.sort(place[rows[k]][place[rows[k]] >= 0]) for k in use]
+
+    def present(low: int) -> np.ndarray:
+        x = np.zeros((len(held), tile), dtype=np.float32)
+        for row, h in zip(x, held):
+            row[h[np.searchsorted(h, low) : np.searchsorted(h, low + tile)] - low] = 1
+        return x
+
+    n = [np.zeros(-(-len(term) // tile) * tile) for _ in range(2)]
     for label in range(2):
-        mine = np.flatnonzero(y == label)
-        for start in range(0, len(mine), 512):
-            x = np.zeros((len(mine[start : start + 512]), len(term)), np.float32)
-            for i, k in enumerate(mine[start : start + 512]):
-                found = place[rows[k]]
-                x[i, found[found >= 0]] = 1
-            both[label] += x.T @ x
-    n = [m.diagonal().astype(np.float64) for m in both]
-    best = np.zeros(len(term))
-    for start in range(0, len(term), 256):
-        part = slice(start, start + 256)
-        a, b = (m[part].astype(np.float64) for m in (both[1], both[0]))
-        here = _separation(a, n[1][part, None], b, n[0][part, None])
-        there = _separation(a, n[1][None], b, n[0][None])
-        weak = np.where(a >= least, np.minimum(here, there), 0)
-        best[part] = weak.max(axis=1)
-    strong = np.flatnonzero(best > ALONE)
+        n[label][: len(term)] = (toxic if label else total - toxic)[term]
+    best, is_toxic = np.zeros(len(n[0])), y[use] == 1
+    for i in range(0, len(term), tile):
+        a = present(i)
+        for j in range(i, len(term), tile):
+            b = a if i == j else present(j)
+            both1, both0 = (a[rows_].T @ b[rows_] for rows_ in (is_toxic, ~is_toxic))
+            here = _separation(both1, n[1][i : i + tile, None], both0, n[0][i : i + tile, None])
+            there = _separation(both1, n[1][None, j : j + tile], both0, n[0][None, j : j + tile])
+            weak = np.where(both1 >= LEAST, np.minimum(here, there), 0)
+            if i == j:
+                np.fill_diagonal(weak, 0)
+            best[i : i + tile] = np.maximum(best[i : i + tile], weak.max(axis=1))
+            best[j : j + tile] = np.maximum(best[j : j + tile], weak.max(axis=0))
+    strong = np.flatnonzero(best[: len(term)] > ALONE)
     return term[strong[np.argsort(-best[strong], kind="stable")]]
 
 
-def fit_toxicity(sample: list[tuple[str, int]], epochs: int = 30, batch: int = 64, rate: float = 0.02, decay: float = 1e-4) -> FactorizationMachine:
-    """Adam on the cross-entropy of the machine's logit."""
-    sample = list(dict(sample).items())  # equal texts once: copies would count as evidence
-    y = np.array([k for _, k in sample], dtype=np.float32)
+def fit_toxicity(sample: list[tuple[np.ndarray, int]], epochs: int = 30, batch: int = 64, rate: float = 0.02, decay: float = 1e-4) -> FactorizationMachine:
+    """Adam on the cross-entropy of the machine's logit, from rows of terms and their labels."""
+    labels: dict[bytes, list[int]] = {}
+    for terms, label in sample:
+        labels.setdefault(terms.tobytes(), []).append(label)
+    y = np.array([float(2 * sum(k) >= len(k)) for k in labels.values()], dtype=np.float32)
     if not len(y) or y.min() == y.max():
         return FactorizationMachine({}, 0.0, np.zeros(0), np.zeros((0, FACTORS)), float(y.mean()) if len(y) else 0.0)
-    rows = [text_terms(text) for text, _ in sample]
-    chosen = choose_terms(rows, y)
-    terms = {int(t): i for i, t in enumerate(chosen)}
-    place = np.full(1 << TERM_BITS, -1, dtype=np.int32)
+    rows = [np.frombuffer(k, np.uint32) for k in labels]
+    known, flat = np.unique(np.concatenate(rows), return_inverse=True)
+    rows = np.split(flat, np.cumsum([len(r) for r in rows])[:-1])
+    chosen = choose_terms(rows, y, len(known))
+    terms = {int(known[t]): i for i, t in enumerate(chosen)}
+    place = np.full(len(known), -1, dtype=np.int32)
     place[chosen] = np.arange(len(chosen))
     active = [np.sort(place[r][place[r] >= 0]) for r in rows]
-    del rows, sample
+    del rows, flat, sample, labels
     rng = np.random.Generator(np.random.PCG64(11))
     w, v = np.zeros(len(terms), np.float32), rng.normal(0, 0.01, (len(terms), FACTORS)).astype(np.float32)
     constant = np.array([np.log(y.mean() / (1 - y.mean()))], np.float32)
@@ -221,13 +232,16 @@ def fit_toxicity(sample: list[tuple[str, int]], epochs: int = 30, batch: int = 6
     return FactorizationMachine(terms, float(parameters[0][0]), parameters[1].astype(np.float64), parameters[2].astype(np.float64))
 
 
+def _fitted(docs: DataFrame, labels: DataFrame, sample_rows: int, id_column: str, text_column: str) -> FactorizationMachine:
+    rows = labelled(docs, labels, "toxic", 5, 0, sample_rows, id_column, text_column)
+    sample = features_of(rows, lambda texts: [text_terms(t).tobytes() for t in texts], sample_rows, SAMPLE_BYTES)
+    return fit_toxicity([(np.frombuffer(x, np.uint32), label) for x, label in sample])
+
+
 def toxicity_scores(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, threshold: float = 0.5, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Score and verdict for each document; labels of the fold crc32(id) mod 5 = 0 are never learned from."""
-    spark = docs.sparkSession
-    arrow_batches(spark)
-    model = fit_toxicity(labelled_sample(docs, labels, "toxic", 5, 0, sample_rows, id_column, text_column))
-    source = docs.select(F.col(id_column).alias("_id"), F.col(text_column).alias("_text"))
-    scored = with_scores(source, spark.sparkContext.broadcast(model), TermCache)
+    model = docs.sparkSession.sparkContext.broadcast(_fitted(docs, labels, sample_rows, id_column, text_column))
+    scored = with_scores(docs.select(F.col(id_column).alias("_id"), F.col(text_column).alias("_text")), model, TermCache)
     return scored.select(
         F.col("_id").alias(id_column), is_fold("_id", 5, 0).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted")
     )
@@ -235,7 +249,5 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPL
 
 def toxicity_filter(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, threshold: float = 0.5, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """All columns of the documents with a score below ``threshold``."""
-    spark = docs.sparkSession
-    arrow_batches(spark)
-    model = fit_toxicity(labelled_sample(docs, labels, "toxic", 5, 0, sample_rows, id_column, text_column))
-    return filtered(docs, spark.sparkContext.broadcast(model), TermCache, lambda s: s < threshold, text_column)
+    model = docs.sparkSession.sparkContext.broadcast(_fitted(docs, labels, sample_rows, id_column, text_column))
+    return filtered(docs, model, TermCache, lambda s: s < threshold, text_column)

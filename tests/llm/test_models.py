@@ -4,7 +4,7 @@ import random
 import zlib
 
 from arealis.llm.quality_model import quality_filter, quality_scores
-from arealis.llm.toxicity import TermCache, fit_toxicity, toxicity_filter, toxicity_scores
+from arealis.llm.toxicity import TermCache, fit_toxicity, text_terms, toxicity_filter, toxicity_scores
 
 
 def corpus(n=400):
@@ -63,7 +63,7 @@ def test_toxic_only_in_pairs():
         text += (["quoral", "zibnet"], ["quoral"], ["zibnet"], ["quoral"], ["zibnet"], ["quoral"], ["zibnet"], ["quoral"])[k % 8]
         rng.shuffle(text)
         rows.append((" ".join(text), int(k % 8 == 0)))
-    model = fit_toxicity(rows[:1000])
+    model = fit_toxicity([(text_terms(t), x) for t, x in rows[:1000]])
     scores = model.scores([t for t, _ in rows[1000:]], TermCache(model.vectors))
     assert [int(s >= 0.5) for s in scores] == [x for _, x in rows[1000:]]
 
@@ -78,7 +78,7 @@ def test_toxic_words_behind_others():
         text = rng.choices(words, k=20)
         text += [rng.choice(kinds[0]), rng.choice(kinds[1])] if k % 16 == 0 else [rng.choice(["slurone", "slurtwo"])] if k % 16 < 3 else [rng.choice(kinds[k % 2])] if k % 16 < 13 else []
         rows.append((" ".join(text), int(k % 16 < 3), k % 16 == 0))
-    model = fit_toxicity([r[:2] for r in rows[:8000]])
+    model = fit_toxicity([(text_terms(r[0]), r[1]) for r in rows[:8000]])
     held = list(zip(model.scores([r[0] for r in rows[8000:]], TermCache(model.vectors)), rows[8000:]))
     assert sum(s >= 0.5 for s, r in held if r[2]) >= 0.9 * sum(r[2] for _, r in held)
     assert sum(s >= 0.5 for s, r in held if not r[1]) <= 0.01 * len(held)
