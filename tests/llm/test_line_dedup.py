@@ -30,9 +30,35 @@ def test_same_as_brute_force(spark, seed=0):
     assert len(got) == len([r for r in rows if r[0] is not None])
     originals = dict(r for r in rows if r[0] is not None)
     for r in got:
+        assert r["n_lines"] == 1 and r["n_lines_"] == (0 if originals[r["doc_id"]] is None else originals[r["doc_id"]].count("\n") + 1)
         assert r["text"] == (None if originals[r["doc_id"]] is None else want[r["doc_id"], originals[r["doc_id"]]])
     assert line_dedup(spark.createDataFrame(rows, "doc_id long, text string"), min_words=7).count() == len(rows)
 
 
+def test_blank_and_hot_lines(spark):
+    """Long runs of blank lines, a line that is in every text, and a long text, in time proportional to the lines."""
+    rng = random.Random(3)
+    passage = "\n".join(["one two three four", "", *[""] * 300, "five six seven", "eight nine ten eleven"])
+    rows = [(k, "\n".join(["the same in all", f"own {k} {rng.random()}", passage if k % 3 == 0 else "other", f"end {rng.random()}"])) for k in range(40)]
+    want = brute_force([(k, t.replace("\n" * 301, "\n.\n")) for k, t in rows], 7)
+    got = line_dedup(spark.createDataFrame(rows, "doc_id long, text string"), min_words=7).collect()
+    words = lambda t: t.replace("\n.\n", "\n").split()
+    for r in got:
+        assert words(r["text"]) == words(want[r["doc_id"], rows[r["doc_id"]][1].replace("\n" * 301, "\n.\n")])
+    assert sum(r["n_deleted"] for r in got) == 13 * 304
+    block = [f"line {k} of a very long text" for k in range(30_000)]
+    long = [(1, "\n".join(block)), (2, "\n".join(["first", *block[10_000:], "", *block[:5_000], "last"]))]
+    got = {r["doc_id"]: r for r in line_dedup(spark.createDataFrame(long, "doc_id long, text string")).collect()}
+    assert got[1]["text"] == long[0][1] and got[2]["text"] == "first\n\nlast" and got[2]["n_deleted"] == 25_000
+
+
+def test_null_ids_sort_first(spark):
+    text = "\n".join(f"some words of line {k}" for k in range(20))
+    rows = [(3, text), (None, text + "\nx"), (1, None), (2, ""), (3, text), (None, None)]
+    got = line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted([(r["doc_id"], r["text"]) for r in got], key=str) == sorted([(None, text + "\nx"), (None, None), (1, None), (2, ""), (3, ""), (3, "")], key=str)
+    assert sorted(r["n_deleted"] for r in got) == [0, 0, 0, 0, 20, 20] and sorted(r["n_lines"] for r in got) == [0, 0, 1, 20, 20, 21]
+
+
 def test_empty_table(spark):
     assert line_dedup(spark.createDataFrame([], "doc_id long, text string")).collect() == []
