@@ -2,30 +2,27 @@
 
 Two sets of sizes s <= t are similar (Jaccard >= 0.8) only if t <= 1.25 s, and
 then they differ in at most k = s / 4 elements. Sizes fall into bands; for each
-band of the smaller size, the domain of shingles is cut into parts. With a loss
-of l, there are k / (l + 1) + 1 first-level parts, so that in one of them the
-two sets differ in at most l elements; each is cut into 2 l second-level parts,
-and all subsets that leave l of these out are enumerated: one of the subsets
-holds the same elements of both. Its elements, hashed with its place, are the
-signature. With a loss of 0 a signature is a single part. Parts without
-elements say nothing; they are signed only by sets with so many of them that a
+band of the smaller size, the domain of shingles is cut into k / 2 + 1
+first-level parts, so that in one of them the two sets differ in at most one
+element; each is cut into three second-level parts, and all subsets of two of
+these are enumerated: one of the subsets holds the same elements of both. Its
+elements, hashed with its place, are the signature. (Sets with k below
+``LEAST_K`` are too small for this: there are k + 1 single parts.) Parts with few
+elements say little; they are signed only by sets with so many of them that a
 similar set could agree on no other.
 
 1. One pass makes each document's set size, a 128-bit name of its set and a
    parity sketch, whose differing bits never exceed the sets' difference. Equal
    sets are one node from here on, so copies are never expanded.
-2. All sets are signed with a loss of 0, which is cheap and weak. Small groups
-   of equal signatures give their pairs, large ones a star around their least
-   member. Pairs pass the sketch and are verified on the sets; links make
-   components.
-3. The ends of stars, and these alone, are signed again with a loss of
-   ``LOSS``, whose signatures cover twice the elements and keep sets with a
-   common passage apart. Groups within one component are dropped where they
-   are met; small ones give their pairs between components, large ones covers:
-   sets that share such groups with the same least member.
-4. Covers that still hold several components are dealt into blocks, each packed
-   into one row; for each two blocks one task compares sketches as a matrix
-   product and verifies the closest pairs first, until its components are one.
+2. One pass makes signatures, each set once per task, packed into blobs for the
+   shuffle. Small groups of equal signatures give their pairs, large ones a star
+   around their least member. Pairs pass the sketch and are verified on the
+   sets; links make components.
+3. Sets with the same center of a star are a cover. Covers that still hold
+   several components are dealt into blocks of bounded size; a task compares the
+   sketches of a block as a matrix product and verifies the closest pairs first,
+   until its components are one. Covers of several blocks that are open after
+   this have each block packed into one row, and each two blocks compared.
 
 A signature with very many sets is met by its local least members: each map
 task hands on one set and a star, so no task holds such a group. Nothing is
@@ -44,7 +41,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -56,12 +52,14 @@ from arealis.llm.graph import components
 from arealis.scratch import scratch, stored
 
 WORDS, NUMERATOR, DENOMINATOR = 5, 80, 100
-#: Elements that the second signatures may lose in a first-level part; sets of a group whose pairs are listed.
-LOSS, SMALL = 3, 16
+#: Least k for subsets of parts; sets of a group whose pairs are listed.
+LEAST_K, SMALL = 8, 16
 #: Sets and bytes of sets in a block.
 BLOCK, BLOCK_BYTES = 2048, 4_000_000
 #: Bytes of text looked at together, signatures in one step, and rows of one batch.
 CHUNK, STEP, ROWS = 2_000_000, 1_000_000, 200
+#: Sets in one step: a place among them and a mark fit into two bytes.
+STEP_SETS = 1 << 15
 
 U = np.uint64
 
@@ -176,31 +174,29 @@ def most_different(n: np.ndarray | int, m: np.ndarray | int):
 
 @lru_cache(maxsize=1)
 def bands() -> list[int]:
-    """The first size of each band; sizes of a band are within about a quarter of each other."""
+    """The first size of each band; four fifths of a size are in its band or the one before."""
     out = [1]
     while out[-1] < 1 << 40:
-        out.append(max(out[-1] + 1, out[-1] * 5 // 4))
+        out.append(out[-1] * 5 // 4 + 1)
     return out
 
 
 @lru_cache(maxsize=None)
-def parts_of_band(i: int, loss: int) -> tuple[int, int, np.ndarray]:
+def parts_of_band(i: int) -> tuple[int, int, np.ndarray]:
     """For pairs whose smaller set is in band i: first-level parts (0 if only equal sets are similar), how many of these
     may be unusable, and the subsets of second-level parts as columns."""
     largest = bands()[i + 1] - 1
     k = int(most_different(largest, largest * DENOMINATOR // NUMERATOR))
-    loss = min(loss, k)
-    second = max(1, 2 * loss)
-    chosen = list(combinations(range(second), second - loss))
-    subsets = np.zeros((second, len(chosen)), dtype=U)
-    for c, places in enumerate(chosen):
-        subsets[list(places), c] = 1
-    spare = 0 if loss else 3 + k * 7 // 100
-    return (k // (loss + 1) + 1 + spare if k else 0), spare, subsets
-
-
-def signatures(s: np.ndarray, loss: int = 0) -> np.ndarray:
-    """All signatures of a sorted set, for its own band and those of smaller similar sets."""
+    if not k:
+        return 0, 0, np.zeros((1, 1), dtype=U)
+    if k < LEAST_K:
+        return k + 4, 3, np.ones((1, 1), dtype=U)
+    spare = 2 + k * 3 // 100
+    return k // 2 + 1 + spare, spare, np.ones((3, 3), dtype=U) - np.eye(3, dtype=U)
+
+
+def signatures(s: np.ndarray) -> np.ndarray:
+    """All signatures of a sorted set, for its own band and the one of smaller similar sets."""
     n = len(s)
     if not n:
         return s
@@ -208,7 +204,7 @@ def signatures(s: np.ndarray, loss: int = 0) -> np.ndarray:
     values = mix(s + U(0x2545F4914F6CDD1D))
     out = []
     for i in range(low, high + 1):
-        first, spare, subsets = parts_of_band(i, loss)
+        first, spare, subsets = parts_of_band(i)
         if not first:
             continue
         second = len(subsets)
@@ -219,7 +215,7 @@ def signatures(s: np.ndarray, loss: int = 0) -> np.ndarray:
         used[cell[starts].astype(np.int64)] = 1
         held = sums.reshape(first, second) @ subsets
         filled = used.reshape(first, second) @ subsets > 0
-        place = np.arange(held.size, dtype=U).reshape(held.shape) + (U(i) << U(42)) + (U(loss) << U(52))
+        place = np.arange(held.size, dtype=U).reshape(held.shape) + (U(i) << U(42))
         made = mix(held + mix(place + U(1)))
         usable = int(filled.all(axis=1).sum())
         # A similar set agrees on at least spare + 1 first-level parts; one of them is usable, or all must be signed.
@@ -247,11 +243,11 @@ def _sets(docs: DataFrame) -> DataFrame:
 
 # --- Signatures to groups ----------------------------------------------------
 #
-# A node is two longs: the name of a set in the first round, a set's number and its component in the second. Blobs hold
-# the signatures of one range of a task's sets with places in a list of nodes; a blob without signatures is a star.
+# Here a set is the first half of its name; sets that share it, if there are any, are told apart when pairs are joined
+# with the sets. Blobs hold the signatures of one range of a task's sets, six bytes each, with places in a list of
+# names; a blob without signatures is a star.
 
-_LEADS = np.uint32(1 << 31)  # marks a place whose node stands for a star of its task
-_BLOB = "part int, sigs binary, at binary, nodes binary"
+_LEADS = np.uint16(1 << 15)  # marks a place whose set stands for a star of its task
 #: Kinds of candidates: a pair, a star around the least of a group, and a star of one map task.
 PAIR, STAR, LOCAL = range(3)
 
@@ -264,11 +260,10 @@ def _new(*columns: np.ndarray) -> np.ndarray:
     return out
 
 
-def _flush(sigs: list[np.ndarray], nodes: list[tuple[int, int]], parts: int) -> Iterator[pa.RecordBatch]:
-    names = np.array(nodes, dtype=np.int64)
-    order = np.lexsort((names[:, 1], names[:, 0]))
-    names, place = names[order], np.empty(len(order), dtype=np.uint32)
-    place[order] = np.arange(len(order), dtype=np.uint32)
+def _flush(sigs: list[np.ndarray], names: np.ndarray, parts: int) -> Iterator[pa.RecordBatch]:
+    by_name = np.argsort(names)
+    names, place = names[by_name], np.empty(len(by_name), dtype=np.uint16)
+    place[by_name] = np.arange(len(by_name), dtype=np.uint16)
     sig, of = np.concatenate(sigs), np.repeat(place, [len(x) for x in sigs])
     order = np.lexsort((of, sig))
     sig, of = sig[order], of[order]
@@ -277,106 +272,88 @@ def _flush(sigs: list[np.ndarray], nodes: list[tuple[int, int]], parts: int) ->
     first = np.zeros(len(sig), dtype=bool)
     first[starts] = True
     hot = np.repeat(sizes > SMALL, sizes)
-    lead = np.repeat(of[starts], sizes)
     follows = hot & ~first
-    stars = np.unique(np.stack([lead[follows], of[follows]], axis=1), axis=0)
-    entry = np.where(hot, of | _LEADS, of)[~follows]
-    sig = sig[~follows]
+    stars = np.unique(np.stack([np.repeat(of[starts], sizes)[follows], of[follows]], axis=1), axis=0)
+    entry, sig = np.where(hot, of | _LEADS, of)[~follows], sig[~follows]
     rows = []
 
-    def blob(part: int, sigs: np.ndarray, at: np.ndarray, marks: np.ndarray) -> None:
+    def blob(part: int, sigs: bytes, at: np.ndarray, marks: np.ndarray) -> None:
         used, local = np.unique(at, return_inverse=True)
-        rows.append((part, sigs.tobytes(), (local.astype(np.uint32).reshape(at.shape) | marks).tobytes(), names[used].tobytes()))
+        rows.append((part, sigs, (local.astype(np.uint16).reshape(at.shape) | marks).tobytes(), names[used].tobytes()))
 
     cuts = np.searchsorted(((sig >> U(32)) * U(parts) >> U(32)).astype(np.int64), np.arange(parts + 1))
+    raw = sig.view(np.uint8).reshape(-1, 8)[:, 2:]
     for p in np.flatnonzero(cuts[1:] > cuts[:-1]):
         mine = entry[cuts[p] : cuts[p + 1]]
-        blob(int(p), sig[cuts[p] : cuts[p + 1]], mine & ~_LEADS, mine & _LEADS)
-    part = (mix(names[stars[:, 0], 0].view(U)) % U(parts)).astype(np.int64)
+        blob(int(p), raw[cuts[p] : cuts[p + 1]].tobytes(), mine & ~_LEADS, mine & _LEADS)
+    part = (mix(names[stars[:, 0]].view(U)) % U(parts)).astype(np.int64)
     for p in np.unique(part):
-        blob(int(p), np.zeros(0, dtype=U), stars[part == p], np.uint32(0))
+        blob(int(p), b"", stars[part == p], np.uint16(0))
     for k in range(0, len(rows), ROWS):
         columns = list(zip(*rows[k : k + ROWS]))
-        yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])], ["part", "sigs", "at", "nodes"])
-
+        yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])], ["part", "sigs", "at", "names"])
 
-def _blobs(signed: Iterator[tuple[np.ndarray, tuple[int, int]]], parts: int) -> Iterator[pa.RecordBatch]:
-    """Blobs of the signatures of nodes, for each of ``parts`` ranges of signatures."""
-    sigs, nodes, size = [], [], 0
-    for made, node in signed:
-        if len(made):
-            sigs.append(made)
-            nodes.append(node)
-            size += len(made)
-        if size > STEP:
-            yield from _flush(sigs, nodes, parts)
-            sigs, nodes, size = [], [], 0
-    if sigs:
-        yield from _flush(sigs, nodes, parts)
 
+def _signed(docs: DataFrame, parts: int) -> DataFrame:
+    """Blobs of the signatures of all texts, each set once in a task, for each of ``parts`` ranges of signatures."""
 
-def _signed_texts(docs: DataFrame, parts: int) -> DataFrame:
-    """All sets with a loss of 0, each once in a task, under their names."""
-
-    def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, tuple[int, int]]]:
-        seen: set[tuple[int, int]] = set()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        sigs, names, size = [], [], 0
         for batch in batches:
             for s in shingle_sets(batch.column(0)):
-                if len(s) and (node := fingerprint(s)) not in seen:
-                    seen.add(node)
-                    yield signatures(s), node
-
-    return docs.select("text").mapInArrow(lambda batches: _blobs(signed(batches), parts), _BLOB)
-
-
-def _signed_sets(sets: DataFrame, parts: int) -> DataFrame:
-    """Sets (sid, component, data) with a loss of LOSS."""
-
-    def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, tuple[int, int]]]:
-        for batch in batches:
-            for sid, component, data in zip(*(c.to_pylist() for c in batch.columns)):
-                yield signatures(np.frombuffer(data, U), LOSS), (sid, component)
-
-    return sets.select("sid", "component", "data").mapInArrow(lambda batches: _blobs(signed(batches), parts), _BLOB)
-
-
-def _group(sig: np.ndarray, nodes: np.ndarray, leads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs and stars of the groups of equal signatures, as rows (a, a2, b, b2)."""
-    order = np.lexsort((nodes[:, 1], nodes[:, 0], sig))
-    sig, nodes, leads = sig[order], nodes[order], leads[order]
-    runs = np.flatnonzero(_new(sig, nodes[:, 0], nodes[:, 1]))
+                if not len(s) or (name := fingerprint(s)[0]) in seen:
+                    continue
+                seen.add(name)
+                made = signatures(s)
+                if len(made):
+                    sigs.append(made)
+                    names.append(name)
+                    size += len(made)
+                if size > STEP or len(names) == STEP_SETS:
+                    yield from _flush(sigs, np.array(names, dtype=np.int64), parts)
+                    sigs, names, size = [], [], 0
+        if sigs:
+            yield from _flush(sigs, np.array(names, dtype=np.int64), parts)
+
+    return docs.select("text").mapInArrow(run, "part int, sigs binary, at binary, names binary")
+
+
+def _group(sig: np.ndarray, names: np.ndarray, leads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs and stars of the groups of equal signatures, as rows (a, b)."""
+    order = np.lexsort((names, sig))
+    sig, names, leads = sig[order], names[order], leads[order]
+    runs = np.flatnonzero(_new(sig, names))
     leads = np.logical_or.reduceat(leads, runs)
-    sig, nodes = sig[runs], nodes[runs]
+    sig, names = sig[runs], names[runs]
     starts = np.flatnonzero(_new(sig))
     sizes = np.diff(np.r_[starts, len(sig)])
     leading = np.logical_or.reduceat(leads, starts)
-    varied = np.logical_or.reduceat(nodes[:, 1] != np.repeat(nodes[starts, 1], sizes), starts)
-    keep = (sizes > 1) & (varied | leading)
-    name = np.add.reduceat(mix(nodes[:, 0].view(U)), starts) + sizes.astype(U) + leading.astype(U) * U(1 << 40)
-    _, once = np.unique(name, return_index=True)  # equal groups say the same
-    keep &= np.isin(np.arange(len(starts)), once)
+    key = np.add.reduceat(mix(names.view(U)), starts) + sizes.astype(U) + leading.astype(U) * U(1 << 40)
+    keep = np.zeros(len(starts), dtype=bool)
+    keep[np.unique(key, return_index=True)[1]] = True  # equal groups say the same
+    keep &= sizes > 1
     listed = np.repeat(keep & ~leading & (sizes <= SMALL), sizes)
     group = np.repeat(np.arange(len(starts)), sizes)[listed]
-    x, pairs = nodes[listed], [np.zeros((0, 4), np.int64)]
+    x, pairs = names[listed], [np.zeros((0, 2), np.int64)]
     for d in range(1, SMALL):
         same = (group[d:] == group[:-d]) if d < len(group) else np.zeros(0, dtype=bool)
         if not same.any():
             break
-        same &= x[d:, 1] != x[:-d, 1]
-        pairs.append(np.concatenate([x[:-d][same], x[d:][same]], axis=1))
+        pairs.append(np.stack([x[:-d][same], x[d:][same]], axis=1))
     starred = np.repeat(keep & (leading | (sizes > SMALL)), sizes)
-    center = np.repeat(nodes[starts], sizes, axis=0)
-    starred &= center[:, 0] != nodes[:, 0]
-    return np.unique(np.concatenate(pairs), axis=0), np.unique(np.concatenate([center[starred], nodes[starred]], axis=1), axis=0)
+    starred[starts] = False
+    center = np.repeat(names[starts], sizes)
+    return np.unique(np.concatenate(pairs), axis=0), np.unique(np.stack([center[starred], names[starred]], axis=1), axis=0)
 
 
 def _candidates(blobs: DataFrame, parts: int) -> DataFrame:
-    """Rows (kind, a, a2, b, b2) of all groups of equal signatures."""
+    """Rows (kind, a, b) of all groups of equal signatures."""
 
     def rows(kind: int, found: np.ndarray) -> Iterator[pa.RecordBatch]:
         for k in range(0, len(found), 50_000):
             some = found[k : k + 50_000]
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), kind, np.int32)), *(pa.array(some[:, c]) for c in range(4))], ["kind", "a", "a2", "b", "b2"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), kind, np.int32)), pa.array(some[:, 0]), pa.array(some[:, 1])], ["kind", "a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -390,34 +367,37 @@ def _candidates(blobs: DataFrame, parts: int) -> DataFrame:
                 yield from rows(STAR, stars)
 
         for batch in batches:
-            for part, sigs, at, nodes in zip(*(c.to_pylist() for c in batch.columns)):
+            for part, sigs, at, names in zip(*(c.to_pylist() for c in batch.columns)):
                 if part != now:
                     yield from flush()
                     now = part
-                names, at = np.frombuffer(nodes, np.int64).reshape(-1, 2), np.frombuffer(at, np.uint32)
+                names, at = np.frombuffer(names, np.int64), np.frombuffer(at, np.uint16)
                 if sigs:
-                    held.append((np.frombuffer(sigs, U), names[at & ~_LEADS], at >= _LEADS))
+                    sig = np.zeros((len(at), 8), dtype=np.uint8)
+                    sig[:, 2:] = np.frombuffer(sigs, np.uint8).reshape(-1, 6)
+                    held.append((sig.view(U)[:, 0], names[at & ~_LEADS], at >= _LEADS))
                 else:
-                    yield from rows(LOCAL, names[at].reshape(-1, 4))
+                    yield from rows(LOCAL, names[at].reshape(-1, 2))
         yield from flush()
 
     dealt = blobs.repartition(max(1, parts // 4), "part").sortWithinPartitions("part")
-    return dealt.mapInArrow(run, "kind int, a long, a2 long, b long, b2 long")
+    return dealt.mapInArrow(run, "kind int, a long, b long")
 
 
 # --- Pairs to links ----------------------------------------------------------
 
 def _near(pairs: DataFrame) -> DataFrame:
     """Adds near: the sketches x and y of sets with n and m elements do not exclude a link."""
+    names = ["a", "b", "star", "local"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, m, x, y = (batch.column(c).to_pylist() for c in ("n", "m", "x", "y"))
             most = [most_different(i, j) for i, j in zip(n, m)]
             near = [abs(i - j) <= k and sketch_difference(u, v) <= k for i, j, k, u, v in zip(n, m, most, x, y)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("a", "b", "star")), pa.array(near, pa.bool_())], ["a", "b", "star", "near"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(near, pa.bool_())], [*names, "near"])
 
-    return pairs.select("a", "b", "star", "n", "m", "x", "y").mapInArrow(run, "a long, b long, star boolean, near boolean")
+    return pairs.select(*names, "n", "m", "x", "y").mapInArrow(run, "a long, b long, star boolean, local boolean, near boolean")
 
 
 def _are_linked(u: np.ndarray, v: np.ndarray) -> bool:
@@ -497,36 +477,63 @@ def joining_links(left: list[tuple[int, int, bytes]], right: list[tuple[int, int
     return out
 
 
-def _covers(found: DataFrame) -> DataFrame:
-    """Columns cover and sid: all sets of groups with the same least member, its local stars included."""
-    star = found.where(F.col("kind") == STAR).select("a", "b")
-    local = found.where(F.col("kind") == LOCAL).select("a", "b")
+def _covers(pairs: DataFrame) -> DataFrame:
+    """Columns cover and sid: all sets of groups with the same least member, their local stars included."""
+    star, local = pairs.where("star").select("a", "b"), pairs.where("local").select("a", "b")
     through = star.join(local.select(F.col("a").alias("b"), F.col("b").alias("far")), "b").select("a", F.col("far").alias("b"))
     rows = star.unionByName(local).unionByName(through)
     return rows.unionByName(rows.select("a", F.col("a").alias("b"))).distinct().select(F.col("a").alias("cover"), F.col("b").alias("sid"))
 
 
-def _across(covers: DataFrame, labels: DataFrame, sets: DataFrame, arrays: DataFrame) -> DataFrame:
-    """Links (a, b) that join the components met in a cover."""
+def _open(covers: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+    """Members (cover, sid, component, blocks, mine) of the covers that hold several components, dealt over blocks."""
+    members = covers.join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
+    members = stored(members.join(sets.select("sid", "n"), "sid"), "members")
+    sizes = members.groupBy("cover").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("_n"), F.sum("n").alias("elements"))
+    blocks = F.ceil(F.greatest(F.col("_n") / BLOCK, F.col("elements") * 8 / BLOCK_BYTES)).cast("int")
+    sizes = stored(sizes.where("x <> y").select("cover", "_n", blocks.alias("blocks")), "sizes")
+    dealt = spread_join(members, sizes, ["cover"], ["sid"])
+    return stored(dealt.select("cover", "sid", "component", "blocks", F.pmod(F.xxhash64(F.lit(3), "sid"), F.col("blocks")).cast("int").alias("mine")), "open")
+
+
+def _within(members: DataFrame, arrays: DataFrame) -> DataFrame:
+    """Links (a, b) that join the components of a block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, rows = None, []
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            links = joining_links(rows, None) if len(rows) > 1 else []
+            if links:
+                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+        for batch in batches:
+            for cover, mine, *row in zip(*(c.to_pylist() for c in batch.columns)):
+                if (cover, mine) != now:
+                    yield from flush()
+                    now, rows = (cover, mine), []
+                rows.append(tuple(row))
+        yield from flush()
+
+    dealt = members.join(arrays, "sid").repartition("cover", "mine").sortWithinPartitions("cover", "mine")
+    return dealt.select("cover", "mine", "sid", "component", "data").mapInArrow(run, "a long, b long")
+
+
+def _between(members: DataFrame, arrays: DataFrame) -> DataFrame:
+    """Links (a, b) that join the components of two blocks of a cover."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for blocks in batch.column(0).to_pylist():
-                rows = [[(r["sid"], r["component"], r["data"]) for r in b["members"]] for b in blocks]
-                links = joining_links(rows[0], rows[1] if len(rows) > 1 else None)
+                one, two = ([(r["sid"], r["component"], r["data"]) for r in b["members"]] for b in blocks)
+                links = joining_links(one, two)
                 yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], ["a", "b"])
 
-    members = covers.join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
-    members = stored(members.join(sets.select("sid", "n"), "sid"), "members")
-    sizes = members.groupBy("cover").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("rows"), F.sum("n").alias("elements"))
-    blocks = F.ceil(F.greatest(F.col("rows") / BLOCK, F.col("elements") * 8 / BLOCK_BYTES)).cast("int")
-    dealt = members.join(sizes.where("x <> y").select("cover", blocks.alias("blocks")), "cover")
-    dealt = dealt.withColumn("mine", F.pmod(F.xxhash64(F.lit(3), "sid"), F.col("blocks")).cast("int")).join(arrays, "sid")
-    packed = dealt.groupBy("cover", "mine").agg(F.first("blocks").alias("blocks"), F.collect_list(F.struct("sid", "component", "data")).alias("members"))
-    # One row for each block and partner; both blocks of a pair meet in one row.
-    other = packed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    packed = members.join(arrays, "sid").groupBy("cover", "mine").agg(F.first("blocks").alias("blocks"), F.collect_list(F.struct("sid", "component", "data")).alias("members"))
+    other = packed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).where("mine <> other")
     keyed = other.select("cover", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"), F.struct("mine", "members").alias("block"))
-    return keyed.groupBy("cover", "lo", "hi").agg(F.collect_list("block").alias("blocks")).where("size(blocks) = 2 OR lo = hi").select("blocks").mapInArrow(run, "a long, b long")
+    both = keyed.groupBy("cover", "lo", "hi").agg(F.collect_list("block").alias("blocks")).where("size(blocks) = 2")
+    return both.select("blocks").mapInArrow(run, "a long, b long")
 
 
 # --- The join ----------------------------------------------------------------
@@ -535,17 +542,9 @@ def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).distinct()
 
 
-def _sketched(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (a, b, star) of set numbers, with their sketches."""
-    left = sets.select(F.col("sid").alias("a"), "n", F.col("sketch").alias("x"))
-    right = sets.select(F.col("sid").alias("b"), F.col("n").alias("m"), F.col("sketch").alias("y"))
-    return pairs.join(left, "a").join(right, "b")
-
-
 def similar_sets(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> tuple[DataFrame, DataFrame]:
     """Rows (id, h: hash of the text, one and two: name of the set, n) and sets (one, two, sid, rep, least, component, _n: rows)."""
     spark = docs.sparkSession
-    shuffled = int(spark.conf.get("spark.sql.shuffle.partitions"))
     source = docs.select(F.col(id_column).alias("id"), F.xxhash64(text_column).alias("h"), F.col(text_column).alias("text"))
     rows = stored(_sets(source), "sets")
     rep = F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "h")).alias("rep")
@@ -553,30 +552,27 @@ def similar_sets(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     sets = stored(sets.withColumn("sid", F.monotonically_increasing_id()), "distinct")  # fixed once it is written
 
     elements = sets.agg(F.sum("n")).first()[0] or 0
-    parts = max(4 * shuffled, elements * 2 // STEP)
-    found = _candidates(_signed_texts(source, parts), parts).withColumn("star", F.col("kind") != PAIR)
-    found = found.groupBy("a", "a2", "b", "b2").agg(F.max("star").alias("star"))
-    left = sets.select(F.col("one").alias("a"), F.col("two").alias("a2"), F.col("sid").alias("i"), "n", F.col("sketch").alias("x"))
-    right = sets.select(F.col("one").alias("b"), F.col("two").alias("b2"), F.col("sid").alias("j"), F.col("n").alias("m"), F.col("sketch").alias("y"))
-    named = found.join(left, ["a", "a2"]).join(right, ["b", "b2"]).select(F.col("i").alias("a"), F.col("j").alias("b"), "star", "n", "m", "x", "y")
-    pairs = stored(_near(named).where("near OR star"), "pairs")
-
-    hot = stored(_ends(pairs.where("star")), "hot")
-    needed = _ends(pairs.where("near")).unionByName(hot).distinct()
+    parts = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), elements * 2 // STEP)
+    found = _candidates(_signed(source, parts), parts)
+    found = found.groupBy("a", "b").agg(*(F.max(F.col("kind") == k).alias(name) for k, name in ((STAR, "star"), (LOCAL, "local"))))
+    left = sets.select(F.col("one").alias("a"), F.col("sid").alias("i"), "n", F.col("sketch").alias("x"))
+    right = sets.select(F.col("one").alias("b"), F.col("sid").alias("j"), F.col("n").alias("m"), F.col("sketch").alias("y"))
+    named = found.join(left, "a").join(right, "b").select(F.col("i").alias("a"), F.col("j").alias("b"), "star", "local", "n", "m", "x", "y")
+    pairs = stored(_near(named).where("near OR star OR local"), "pairs")
+
+    needed = _ends(pairs)
     arrays = stored(_arrays(source, sets.join(needed, "sid").select("sid", "rep", "one", "two")), "arrays")
     links = stored(_verified(pairs.where("near").select("a", "b"), arrays), "links")
     labels = components(links)
-
-    again = arrays.join(hot, "sid").join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
-    parts = 4 * shuffled
-    found = stored(_candidates(_signed_sets(again, parts), parts), "candidates")
-    apart = found.where("a2 <> b2").select("a", "b").distinct().withColumn("star", F.lit(False))
-    links = stored(links.unionByName(_verified(_near(_sketched(apart, sets)).where("near").select("a", "b"), arrays)), "links")
-    labels = components(links)
-
-    covers = _covers(found)
-    links = stored(links.unionByName(_across(covers, labels, sets, arrays)), "links")
+    covers = stored(_covers(pairs), "covers")
+    members = _open(covers, labels, sets)
+    links = stored(links.unionByName(_within(members, arrays)), "links")
     labels = components(links)
+    wide = members.where("blocks > 1").select("cover").distinct()
+    if not wide.isEmpty():
+        members = _open(covers.join(wide, "cover"), labels, sets)
+        links = stored(links.unionByName(_between(members, arrays)), "links")
+        labels = components(links)
     of_sets = sets.join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
     return rows, stored(of_sets.select("one", "two", "sid", "rep", "least", "component", "_n"), "labelled")
 
