@@ -35,7 +35,7 @@ from arealis.llm.common import by_bytes, no_collection
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 #: Pieces that a worker keeps, and the longest of them; beyond it only the short ones, which are the frequent ones, stay.
-CACHE_PIECES, LONG, SHORT = 600_000, 64, 9
+CACHE_PIECES, LONG, SHORT = 1_000_000, 64, 9
 
 _AFTER_SPACE, _CUT = re.compile(r"\s "), re.compile(r"(?<=\S) ")
 _ASCII_SPACES = [chr(c) + " " for c in (*range(9, 14), *range(28, 32))]
@@ -217,25 +217,24 @@ class PieceCache:
         self.after: dict[str, object] = {}  # of pieces after a cut, without their space
         self.whole: dict[str, object] = {}  # of all others
 
-    def _fill(self, cache: dict, missing: set[str], every: Callable[[], set[str]], head: str) -> dict[str, object]:
+    def _fill(self, cache: dict, missing: set[str], head: str) -> dict[str, object]:
         """Put the values of missing pieces into the cache; returns those of pieces that are too long for it."""
         if len(cache) + len(missing) > self.limit:
             short = {p: v for p, v in cache.items() if len(p) < SHORT}
             cache.clear()
             if len(short) < self.limit // 2:
                 cache.update(short)
-            missing = every()
-        todo = [p for p in missing if p not in cache]
-        values = dict(zip(todo, self.compute([head + p for p in todo])))
-        long = {p: v for p, v in values.items() if len(p) > LONG}
-        for p in long:
-            del values[p]
-        cache.update(values)
+        todo, long = [p for p in missing if p not in cache], {}
+        for p, v in zip(todo, self.compute([head + p for p in todo])):
+            if len(p) > LONG:
+                long[p] = v
+            else:
+                cache[p] = v
         return long
 
     def lookup(self, texts: list[str]) -> Iterator[list]:
         """For each text the values of its pieces, in order."""
-        split: list[list[str]] = []
+        met: list[tuple[list[str], list]] = []
         after: set[str] = set()
         whole: set[str] = set()
         get = self.after.get
@@ -243,18 +242,23 @@ class PieceCache:
             parts = text.split(" ")
             if not plain(text, parts):
                 parts = _CUT.split(text)
-            if parts[0] not in self.whole:
-                whole.add(parts[0])
-            if None in (found := list(map(get, parts[1:]))):
-                after.update(p for p, v in zip(parts[1:], found) if v is None)
-            split.append(parts)
-        first = self._fill(self.whole, whole, lambda: {parts[0] for parts in split}, "") if whole else {}
-        rest = self._fill(self.after, after, lambda: {p for parts in split for p in parts[1:]}, " ") if after else {}
-        for parts in split:
+            first = parts.pop(0)
+            if (value := self.whole.get(first)) is None:
+                whole.add(first)
             found = list(map(get, parts))
-            found[0] = first[parts[0]] if parts[0] in first else self.whole[parts[0]]
-            if rest and None in found:
-                found = [rest[p] if v is None else v for p, v in zip(parts, found)]
+            if None in found:
+                after.update([p for p, v in zip(parts, found) if v is None])
+            parts.insert(0, first)
+            found.insert(0, value)
+            met.append((parts, found))
+        # What was found before a cache is emptied is still at hand.
+        long = self._fill(self.whole, whole, "") if whole else {}
+        rest = self._fill(self.after, after, " ") if after else {}
+        for parts, found in met:
+            if found[0] is None:
+                found[0] = long[parts[0]] if parts[0] in long else self.whole[parts[0]]
+            if None in found:
+                found = [v if v is not None else rest[p] if p in rest else get(p) for p, v in zip(parts, found)]
             yield found
 
 

@@ -49,17 +49,31 @@ class Library:
         self.cut = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         self._symbols = byte_symbols()
         self._words = regex.compile(PATTERN).findall
-        self._model = self.tokenizer.model
+        self._space = self._symbols[32]
+        self._tokenize = self.tokenizer.model.tokenize
 
     def whole(self, texts: list[str]) -> Iterator[list[int]]:
         for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
             yield e.ids
 
     def pieces(self, pieces: list[str]) -> Iterator[list[int]]:
-        """Ids of pieces without special strings."""
-        words, symbols, tokenize = self._words, self._symbols, self._model.tokenize
+        """Ids of pieces without special strings; most are letters behind a space, and perhaps a mark, which need no pattern."""
+        words, of_word = self._words, self._of_word
         for p in pieces:
-            yield [t.id for w in words(p) for t in tokenize(w.encode("utf-8", "surrogatepass").decode("latin-1").translate(symbols))]
+            letters = p[1:]
+            if letters.isalpha() and p[0] == " ":
+                yield of_word(p)
+            elif letters[:-1].isalpha() and p[0] == " " and letters[-1] in ".,":
+                yield of_word(p[:-1]) + of_word(p[-1])
+            else:
+                yield [i for w in words(p) for i in of_word(w)]
+
+    def _of_word(self, word: str) -> list[int]:
+        if word.isascii() and word.isprintable():
+            raw = word.replace(" ", self._space)
+        else:
+            raw = word.encode("utf-8", "surrogatepass").decode("latin-1").translate(self._symbols)
+        return [t.id for t in self._tokenize(raw)]
 
     def found(self, texts: list[str], cache: PieceCache, of_special: Callable[[int], object]) -> Iterator[list]:
         """The cache's values of the pieces of each text, special strings by themselves."""
