@@ -3,6 +3,13 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written
 as Parquet and read again as the next stage's documents. All but the last return
 the columns of the documents.
+
+Defined results: a null or empty text gets the models' score of an empty one, has
+no lines to delete, is similar to nothing, and is packed as one end token; a
+null id is never a training row and sorts first among copies of lines, last
+among near copies; rows equal in id and text are one document to the Jaccard
+join, which keeps one of them; without labels nothing is rejected; an empty table
+gives no rows; further columns are carried along up to the packing.
 """
 
 from __future__ import annotations
@@ -10,13 +17,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arealis.llm.common import stored, table
+from arealis.llm.common import table
 from arealis.llm.jaccard import one_of_each
 from arealis.llm.line_dedup import line_dedup
 from arealis.llm.packing import pack
 from arealis.llm.quality_model import quality_filter
 from arealis.llm.queries import tokenizer_path
 from arealis.llm.toxicity import toxicity_filter
+from arealis.scratch import stored
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,7 +40,7 @@ def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without later copies of repeated runs of lines."""
     deduped = line_dedup(docs)
-    changed = F.col("n_deleted") > 0
+    changed = F.col(deduped.columns[-1]) > 0
     columns = [F.when(changed, F.length("text")).otherwise(F.col(c)).cast(t).alias(c) if c == "n_chars" else F.col(c) for c, t in docs.dtypes]
     return deduped.select(*columns)
 
@@ -65,5 +73,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
-            docs = stored(docs, name)
+            docs = stored(docs, name, keep=True)
     return docs
