@@ -31,6 +31,11 @@ def _place(spark: SparkSession, path: str):
     return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of the shuffle files of finished plans, which otherwise stay until the driver's heap happens to be collected."""
+    spark.sparkContext._jvm.System.gc()
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Tables stored inside are deleted at the end, but for those that are kept."""
