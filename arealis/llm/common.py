@@ -34,6 +34,18 @@ def no_collection() -> Iterator[None]:
             gc.enable()
 
 
+@contextmanager
+def small_batches(spark: SparkSession, size: str = "8m") -> Iterator[None]:
+    """Inside, plans that run hand Python workers batches of this size at most; the session gets its setting back."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    was = spark.conf.get(name)
+    spark.conf.set(name, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, was)
+
+
 def by_bytes(texts: pa.Array, limit: int = STEP_BYTES) -> Iterator[list[str]]:
     """The texts (null: empty) in lists of about this many bytes, so that no step holds many long ones."""
     start = size = 0

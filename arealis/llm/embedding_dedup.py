@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arealis.llm.common import spread_join
+from arealis.llm.common import small_batches, spread_join
 from arealis.llm.graph import components
 from arealis.scratch import scratch, stored
 
@@ -398,7 +398,7 @@ def embedding_near_dedup(embeddings: DataFrame, threshold: float = 0.95, id_colu
     scale = F.aggregate(raw, F.lit(0.0), lambda a, x: F.greatest(a, F.abs(x)))
     bad = F.exists(raw, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     usable = raw.isNotNull() & (F.size(raw) > 0) & ~F.coalesce(bad, F.lit(True)) & (scale > 0)
-    with scratch(embeddings.sparkSession):
+    with scratch(embeddings.sparkSession), small_batches(embeddings.sparkSession):
         rows = embeddings.select(F.col(id_column).alias("id"), F.when(usable, F.transform(raw, lambda x: x / scale + F.lit(0.0))).alias("vector"))
         named = {"one": F.xxhash64("vector"), "two": F.xxhash64(F.lit(1), "vector")}
         rows = stored(rows.withColumns({k: F.when(F.col("vector").isNotNull(), v) for k, v in named.items()}), "rows")

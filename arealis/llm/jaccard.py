@@ -47,15 +47,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arealis.llm.common import spread_join
+from arealis.llm.common import small_batches, spread_join
 from arealis.llm.graph import components
-from arealis.scratch import scratch, stored
+from arealis.scratch import release, scratch, stored
 
 WORDS, NUMERATOR, DENOMINATOR = 5, 80, 100
 #: Least k for subsets of parts; sets of a group whose pairs are listed.
 LEAST_K, SMALL = 8, 16
-#: Sets and bytes of sets in a block.
-BLOCK, BLOCK_BYTES = 2048, 4_000_000
+#: Sets and bytes of sets in a block, and sets of one that are compared with the other in one step.
+BLOCK, BLOCK_BYTES, STRIP = 1024, 4_000_000, 128
 #: Bytes of text looked at together, signatures in one step, and rows of one batch.
 CHUNK, STEP, ROWS = 2_000_000, 1_000_000, 200
 #: Sets in one step: a place among them and a mark fit into two bytes.
@@ -444,22 +444,13 @@ def _parities(sets: list[np.ndarray], bits: int) -> np.ndarray:
 
 def joining_links(left: list[tuple[int, int, bytes]], right: list[tuple[int, int, bytes]] | None) -> list[tuple[int, int]]:
     """Links between sets (sid, component, data) of two blocks, or within one, that join their components: for each two
-    components with a link, one link or a way over others. The closest pairs by sketch are verified first."""
+    components with a link, one link or a way over others. The closest pairs of a strip by sketch are verified first."""
     same = right is None
     right = left if same else right
     u, v = ([np.frombuffer(r[2], U) for r in rows] for rows in (left, right))
     bits = max(6, (4 * max(map(len, u + v)) - 1).bit_length())
-    p, q = _parities(u, bits), _parities(v, bits)
-    n, m = np.array([len(s) for s in u]), np.array([len(s) for s in v])
-    slack = most_different(n[:, None], m[None, :]) - (p.sum(1)[:, None] + q.sum(1)[None, :] - 2 * (p @ q.T))
-    del p, q
-    most = most_different(n[:, None], m[None, :])
-    parts = [np.array([r[1] for r in rows]) for rows in (left, right)]
-    near = (slack >= 0) & (abs(n[:, None] - m[None, :]) <= most) & (parts[0][:, None] != parts[1][None, :])
-    if same:
-        near &= np.arange(len(u))[:, None] < np.arange(len(v))[None, :]
-    i, j = np.nonzero(near)
-    order = np.argsort(-slack[i, j], kind="stable")
+    q = _parities(v, bits)
+    n, m, of_q = np.array([len(s) for s in u]), np.array([len(s) for s in v]), q.sum(axis=1)
     root: dict[int, int] = {}
 
     def find(x: int) -> int:
@@ -469,11 +460,22 @@ def joining_links(left: list[tuple[int, int, bytes]], right: list[tuple[int, int
         return x
 
     out = []
-    for a, b in zip(i[order].tolist(), j[order].tolist()):
-        x, y = find(left[a][1]), find(right[b][1])
-        if x != y and _are_linked(u[a], v[b]):
-            root[max(x, y)] = min(x, y)
-            out.append((left[a][0], right[b][0]))
+    for start in range(0, len(u), STRIP):
+        part = slice(start, start + STRIP)
+        p = q[part] if same else _parities(u[part], bits)
+        most = most_different(n[part, None], m[None, :])
+        slack = most - (p.sum(axis=1)[:, None] + of_q[None, :] - 2 * (p @ q.T))
+        roots = [np.array([find(r[1]) for r in rows]) for rows in (left[part], right)]
+        near = (slack >= 0) & (abs(n[part, None] - m[None, :]) <= most) & (roots[0][:, None] != roots[1][None, :])
+        if same:
+            near &= np.arange(start, start + len(p))[:, None] < np.arange(len(v))[None, :]
+        i, j = np.nonzero(near)
+        order = np.argsort(-slack[i, j], kind="stable")
+        for a, b in zip((i[order] + start).tolist(), j[order].tolist()):
+            x, y = find(left[a][1]), find(right[b][1])
+            if x != y and _are_linked(u[a], v[b]):
+                root[max(x, y)] = min(x, y)
+                out.append((left[a][0], right[b][0]))
     return out
 
 
@@ -542,6 +544,25 @@ def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).distinct()
 
 
+def _pairs(source: DataFrame, sets: DataFrame) -> DataFrame:
+    """Candidates (a, b, star, local, near) by set numbers: pairs that the sketches do not exclude, and stars."""
+    elements = sets.agg(F.sum("n")).first()[0] or 0
+    parts = max(4 * int(source.sparkSession.conf.get("spark.sql.shuffle.partitions")), elements * 2 // STEP)
+    found = _candidates(_signed(source, parts), parts)
+    found = found.groupBy("a", "b").agg(*(F.max(F.col("kind") == k).alias(name) for k, name in ((STAR, "star"), (LOCAL, "local"))))
+    left = sets.select(F.col("one").alias("a"), F.col("sid").alias("i"), "n", F.col("sketch").alias("x"))
+    right = sets.select(F.col("one").alias("b"), F.col("sid").alias("j"), F.col("n").alias("m"), F.col("sketch").alias("y"))
+    named = found.join(left, "a").join(right, "b").select(F.col("i").alias("a"), F.col("j").alias("b"), "star", "local", "n", "m", "x", "y")
+    return stored(_near(named).where("near OR star OR local"), "pairs")
+
+
+def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs whose ends are not in one component yet."""
+    for end in ("a", "b"):
+        pairs = pairs.join(labels.select(F.col("node").alias(end), F.col("component").alias(f"_{end}")), end, "left")
+    return pairs.where(F.coalesce("_a", "a") != F.coalesce("_b", "b")).select("a", "b")
+
+
 def similar_sets(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> tuple[DataFrame, DataFrame]:
     """Rows (id, h: hash of the text, one and two: name of the set, n) and sets (one, two, sid, rep, least, component, _n: rows)."""
     spark = docs.sparkSession
@@ -551,19 +572,16 @@ def similar_sets(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     sets = rows.where("one is not null").groupBy("one", "two").agg(rep, F.min("id").alias("least"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.count("*").alias("_n"))
     sets = stored(sets.withColumn("sid", F.monotonically_increasing_id()), "distinct")  # fixed once it is written
 
-    elements = sets.agg(F.sum("n")).first()[0] or 0
-    parts = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), elements * 2 // STEP)
-    found = _candidates(_signed(source, parts), parts)
-    found = found.groupBy("a", "b").agg(*(F.max(F.col("kind") == k).alias(name) for k, name in ((STAR, "star"), (LOCAL, "local"))))
-    left = sets.select(F.col("one").alias("a"), F.col("sid").alias("i"), "n", F.col("sketch").alias("x"))
-    right = sets.select(F.col("one").alias("b"), F.col("sid").alias("j"), F.col("n").alias("m"), F.col("sketch").alias("y"))
-    named = found.join(left, "a").join(right, "b").select(F.col("i").alias("a"), F.col("j").alias("b"), "star", "local", "n", "m", "x", "y")
-    pairs = stored(_near(named).where("near OR star OR local"), "pairs")
-
-    needed = _ends(pairs)
-    arrays = stored(_arrays(source, sets.join(needed, "sid").select("sid", "rep", "one", "two")), "arrays")
-    links = stored(_verified(pairs.where("near").select("a", "b"), arrays), "links")
+    pairs = _pairs(source, sets)
+    release(spark)
+    arrays = stored(_arrays(source, sets.join(_ends(pairs), "sid").select("sid", "rep", "one", "two")), "arrays")
+    near = pairs.where("near").select("a", "b")
+    # First a pair for each set, which joins most of what belongs together, then the pairs that are still apart.
+    links = stored(_verified(near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), arrays), "links")
+    labels = components(links)
+    links = stored(links.unionByName(_verified(_apart(near, labels), arrays)), "links")
     labels = components(links)
+    release(spark)
     covers = stored(_covers(pairs), "covers")
     members = _open(covers, labels, sets)
     links = stored(links.unionByName(_within(members, arrays)), "links")
@@ -573,13 +591,14 @@ def similar_sets(docs: DataFrame, id_column: str = "doc_id", text_column: str =
         members = _open(covers.join(wide, "cover"), labels, sets)
         links = stored(links.unionByName(_between(members, arrays)), "links")
         labels = components(links)
+    release(spark)
     of_sets = sets.join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
     return rows, stored(of_sets.select("one", "two", "sid", "rep", "least", "component", "_n"), "labelled")
 
 
 def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """For each document its id, set size and the smallest id of its component."""
-    with scratch(docs.sparkSession):
+    with scratch(docs.sparkSession), small_batches(docs.sparkSession):
         rows, sets = similar_sets(docs, id_column, text_column)
         least = stored(sets.groupBy("component").agg(F.min("least").alias("name"), F.count("*").alias("_n")), "least")
         named = stored(spread_join(sets.select("one", "two", "sid", "component", F.col("_n").alias("copies")), least, ["component"], ["sid"]), "named")
@@ -595,7 +614,7 @@ def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
 
     Documents with empty sets stay. Rows equal in id and text are one document.
     """
-    with scratch(docs.sparkSession):
+    with scratch(docs.sparkSession), small_batches(docs.sparkSession):
         rows, sets = similar_sets(docs, id_column, text_column)
         first = sets.groupBy("component").agg(F.min("rep").alias("rep")).select("rep.id", "rep.h")
         kept = first.unionByName(rows.where("one is null").select("id", "h").distinct())
