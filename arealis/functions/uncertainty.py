@@ -71,11 +71,11 @@ def poisoning_sum(columns: list[Column | str]) -> Column:
 
 
 def with_reliability(df, caution: float = CAUTION, unreliable: float = UNRELIABLE):
-    """Adds cv and reliability, computed on unrounded numbers; rounds value and margin to 4, cv to 2 places."""
+    """Adds cv and reliability, computed on unrounded numbers; rounds value and margin to 4, cv to 2 places, halves to the even digit."""
     df = df.withColumns({"value": finite("value"), "moe": finite("moe")})
     cv = cv_percent("value", "moe")
     return df.withColumns({"cv": cv, "reliability": reliability(cv, caution, unreliable)}).withColumns(
-        {"value": F.round("value", 4), "moe": F.round("moe", 4), "cv": F.round("cv", 2)}
+        {"value": F.bround("value", 4), "moe": F.bround("moe", 4), "cv": F.bround("cv", 2)}
     )
 
 

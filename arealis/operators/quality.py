@@ -21,16 +21,20 @@ class QualityError(ValueError):
         self.report, self.problems = report, problems
 
 
-def metrics(tidy: DataFrame, expected: DataFrame, by: list[str], low: float | None = None, high: float | None = None) -> DataFrame:
-    """For each group: coverage of the expected areas, share without value, rows, values outside the range and one of them."""
+def metrics(tidy: DataFrame, expected: DataFrame, by: list[str], low: float | str | None = None, high: float | str | None = None) -> DataFrame:
+    """For each group: coverage of the expected areas, share without value, rows, values outside the range and one of them.
+
+    The ends of the range are numbers or names of columns, NULL where there is none.
+    """
+    end = lambda x: F.col(x) if isinstance(x, str) else F.lit(x)
     known = expected.select("geoid").distinct().withColumn("_known", F.lit(True))
     total = known.agg(F.greatest(F.count("*"), F.lit(1)).alias("_total"))  # one row
     v = finite("value")
     outside = F.lit(False)
     if low is not None:
-        outside = outside | (v < low)
+        outside = outside | F.coalesce(v < end(low), F.lit(False))
     if high is not None:
-        outside = outside | (v > high)
+        outside = outside | F.coalesce(v > end(high), F.lit(False))
     rows = tidy.join(known, "geoid", "left").crossJoin(F.broadcast(total))
     return rows.groupBy(*by).agg(
         (F.count_distinct(F.when(F.col("_known"), F.col("geoid"))) / F.first("_total")).alias("coverage"),
@@ -41,21 +45,27 @@ def metrics(tidy: DataFrame, expected: DataFrame, by: list[str], low: float | No
     )
 
 
+def summary_of(r) -> dict:
+    return {"coverage": round(r["coverage"], 3), "null_rate": round(r["null_rate"], 3), "n": r["n"]}
+
+
+def problems_of(r, most_null: float = MOST_NULL, least_coverage: float = LEAST_COVERAGE) -> list[str]:
+    """What is wrong with a group's metrics, each with its year."""
+    faults = (
+        (r["coverage"] < least_coverage, f"{r['coverage']:.0%} of the areas are there, fewer than {least_coverage:.0%}"),
+        (r["null_rate"] > most_null, f"{r['null_rate']:.0%} of the rows have no value, more than {most_null:.0%}"),
+        (r["n_outside"], f"{r['n_outside']} values are out of range, such as {r['example']}"),
+    )
+    return [f"{r['year']}: {text}" for found, text in faults if found]
+
+
 def check(tidy: DataFrame, expected: DataFrame, years: list[int], value_range: tuple[float, float] | None = None, label: str = "indicator",
           most_null: float = MOST_NULL, least_coverage: float = LEAST_COVERAGE) -> dict[int, dict]:
     """The report for each present year of ``years``; raises with all problems. Absent years are no problem."""
     low, high = value_range or (None, None)
     rows = metrics(tidy.where(F.col("year").isin([int(y) for y in years])), expected, ["year"], low, high).orderBy("year").collect()  # a row for each year
-    report, problems = {}, []
-    for r in rows:
-        y = int(r["year"])
-        report[y] = {"coverage": round(r["coverage"], 3), "null_rate": round(r["null_rate"], 3), "n": r["n"]}
-        if r["coverage"] < least_coverage:
-            problems.append(f"{y}: coverage {r['coverage']:.0%} below {least_coverage:.0%}")
-        if r["null_rate"] > most_null:
-            problems.append(f"{y}: {r['null_rate']:.0%} without value, more than {most_null:.0%}")
-        if r["n_outside"]:
-            problems.append(f"{y}: {r['n_outside']} values outside [{low}, {high}], such as {r['example']}")
+    report = {int(r["year"]): summary_of(r) for r in rows}
+    problems = [p for r in rows for p in problems_of(r, most_null, least_coverage)]
     if problems:
         raise QualityError(f"{label} failed its checks: " + "; ".join(problems), report, problems)
     return report
@@ -64,9 +74,8 @@ def check(tidy: DataFrame, expected: DataFrame, years: list[int], value_range: t
 def write_report(indicator, report: dict, problems: list[str], folder: Path, checked_on: str) -> Path:
     """A JSON document for each indicator, whether it passed or not."""
     folder.mkdir(parents=True, exist_ok=True)
-    found = {"id": indicator.id, "slug": indicator.slug, "label": indicator.label, "source": indicator.source, "status": "fail" if problems else "pass",
-             "checked_on": checked_on, "range": list(indicator.value_range) if indicator.value_range else None,
-             "years": {str(y): report[y] for y in sorted(report)}, "problems": problems}
+    found = {name: getattr(indicator, name) for name in ("id", "slug", "label", "source")}
+    found |= {"status": ("pass", "fail")[bool(problems)], "checked_on": checked_on, "range": indicator.value_range, "years": dict(sorted(report.items())), "problems": problems}
     path = folder / f"{indicator.slug}.json"
     path.write_text(json.dumps(found, indent=2) + "\n", encoding="utf-8")
     return path
@@ -103,23 +112,24 @@ def check_and_record(indicator, tidy: DataFrame, expected: DataFrame, folder: Pa
     return report
 
 
+def with_ranges(facts: DataFrame, indicators: list) -> DataFrame:
+    """Adds low and high of each indicator, from a table with a row for each that has a range."""
+    rows = [(int(i.id), *map(float, i.value_range)) for i in indicators if i.value_range]
+    ranges = facts.sparkSession.createDataFrame(rows, "indicator_id int, low double, high double")
+    return facts.join(F.broadcast(ranges), "indicator_id", "left")
+
+
 def sweep(facts: DataFrame, expected: DataFrame, indicators: list, folder: Path, checked_on: str) -> int:
     """Check all indicators with one scan of the fact table; the number that failed, counting those without rows."""
-    rows: dict[str, list] = {}
-    for r in metrics(facts.join(expected, "geoid", "left_semi"), expected, ["indicator_id", "year"]).collect():  # indicators times years
-        rows.setdefault(str(r["indicator_id"]), []).append(r)
+    here = with_ranges(facts.join(expected, "geoid", "left_semi"), indicators)
+    rows: dict[int, list] = {}
+    for r in metrics(here, expected, ["indicator_id", "year"], "low", "high").orderBy("year").collect():  # indicators times years
+        rows.setdefault(int(r["indicator_id"]), []).append(r)
     failed = 0
     for indicator in indicators:
-        found = sorted(rows.get(str(indicator.id), []), key=lambda r: r["year"])
-        report = {int(r["year"]): {"coverage": round(r["coverage"], 3), "null_rate": round(r["null_rate"], 3), "n": r["n"]} for r in found}
-        problems = [] if found else ["no rows in the warehouse"]
-        problems += [f"{r['year']}: coverage {r['coverage']:.0%}" for r in found if r["coverage"] < LEAST_COVERAGE]
-        problems += [f"{r['year']}: {r['null_rate']:.0%} without value" for r in found if r["null_rate"] > MOST_NULL]
-        if found and indicator.value_range:
-            low, high = indicator.value_range
-            outside = facts.where((F.col("indicator_id") == indicator.id) & ((F.col("value") < low) | (F.col("value") > high))).count()
-            problems += [f"{outside} values outside [{low}, {high}]"] if outside else []
+        found = rows.get(int(indicator.id), [])
+        problems = [p for r in found for p in problems_of(r)] if found else ["no rows in the warehouse"]
         failed += bool(problems)
-        write_report(indicator, report, problems, folder, checked_on)
+        write_report(indicator, {int(r["year"]): summary_of(r) for r in found}, problems, folder, checked_on)
     write_summary(folder, checked_on)
     return failed

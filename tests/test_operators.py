@@ -121,10 +121,35 @@ def test_clusters(spark):
         spatial.local_moran(values, edges, ["year"], transform="log")
 
 
+def test_normal_quantile(spark):
+    from statistics import NormalDist
+
+    ps = [k / 997 for k in range(1, 997)] + [1e-12, 1e-30, 1 - 1e-12]
+    got = frame(spark, [(p,) for p in ps], "p double").select("p", stats.probit(F.col("p")).alias("q")).collect()
+    assert all(r["q"] == pytest.approx(NormalDist().inv_cdf(r["p"]), rel=1e-13, abs=1e-15) for r in got)
+    assert [r["q"] for r in frame(spark, [(0.0,), (1.0,), (None,)], "p double").select(stats.probit(F.col("p")).alias("q")).collect()] == [None] * 3
+
+
+def test_neighbours_over_leaves(spark):
+    """Several leaves, one of them a dense city, and points in one place."""
+    rng = np.random.default_rng(5)
+    xy = np.concatenate([rng.random((2500, 2)) * 100, 50 + rng.random((2500, 2)), np.repeat([[7.0, 7.0]], 30, axis=0)])
+    got = {}
+    for r in spatial.knn_weights(frame(spark, [(k, float(x), float(y)) for k, (x, y) in enumerate(xy)], "id long, x double, y double"), 5).collect():
+        got.setdefault(r["i"], set()).add(r["j"])
+    for k in [*range(0, len(xy), 37), len(xy) - 1]:
+        d = ((xy[k] - xy) ** 2).sum(axis=1)
+        d[k] = np.inf
+        assert got[k] == set(np.lexsort((np.arange(len(xy)), d))[:5].tolist())
+    assert len(got) == len(xy)
+
+
 def test_draws():
     for n, k in ((50, 4), (10, 8)):
-        d = spatial.distinct_draws(np.random.default_rng(1), n, k, 300)
+        d = spatial.subsets(np.random.default_rng(1), n, k, 300)
         assert d.shape == (300, k) and all(len(set(r)) == k for r in d.tolist()) and d.max() < n
+    counts = np.bincount(spatial.subsets(np.random.default_rng(2), 6, 3, 20_000).ravel(), minlength=6)
+    assert abs(counts - 10_000).max() < 400  # each number equally often
 
 
 def test_zonal(spark):
