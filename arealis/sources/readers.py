@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,9 +40,13 @@ def land_areas(spark: SparkSession, path: str) -> DataFrame:
     return text_csv(spark, path).select("geoid", number("aland_sqmi").alias("area"))
 
 
-def edge_table(spark: SparkSession, path: str) -> DataFrame:
-    """Stored edges (t10, t20, afact)."""
-    return text_csv(spark, path).select("t10", "t20", number("afact").alias("afact"))
+def edge_table(spark: SparkSession, *paths: str) -> DataFrame:
+    """Stored edges (t10, t20, afact) of the first path that exists: by population first, by area as the fallback."""
+    for path in paths:
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        if place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place):
+            return text_csv(spark, path).select("t10", "t20", number("afact").alias("afact"))
+    raise ConfigError(f"there is no edge table at {' or '.join(paths)}")
 
 
 def block_pieces(spark: SparkSession, path: str, counties: list[str]) -> DataFrame:
@@ -121,6 +129,11 @@ def job_blocks(spark: SparkSession, paths: dict[int, list[str]]) -> DataFrame:
 
 # --- User files ------------------------------------------------------------
 
+def repeated_keys(rows: DataFrame, keys: tuple[str, ...] = ("geoid", "year")) -> DataFrame:
+    """One row: how many keys there are, and how many occur more than once."""
+    return rows.groupBy(*keys).count().agg(F.count("*").alias("n_keys"), F.count_if(F.col("count") > 1).alias("n_repeated"))
+
+
 def csv_values(spark: SparkSession, spec: CsvSpec, counties: list[str], slug: str = "?") -> DataFrame:
     """geoid, year, value, moe[, pop] of a user's file, for areas of these counties."""
     rows = text_csv(spark, spec.path)
@@ -132,25 +145,30 @@ def csv_values(spark: SparkSession, spec: CsvSpec, counties: list[str], slug: st
     pop = [number(spec.pop_col).alias("pop")] if spec.pop_col else []
     out = rows.select(area_id(spec.geoid_col).alias("geoid"), year.cast("int").alias("year"), number(spec.value_col).alias("value"), moe.alias("moe"), *pop)
     out = out.where(county("geoid").isin(counties))
-    found = out.groupBy("geoid", "year").count().agg(F.count("*").alias("n"), F.count_if(F.col("count") > 1).alias("repeated")).first()
-    if not found["n"]:
+    found = repeated_keys(out).first()
+    if not found["n_keys"]:
         raise ConfigError(f"{slug}: no row is in the region; does {spec.geoid_col} hold area codes of 11 digits?")
-    if found["repeated"]:
-        raise ConfigError(f"{slug}: {found['repeated']} pairs of area and year occur more than once")
+    if found["n_repeated"]:
+        raise ConfigError(f"{slug}: {found['n_repeated']} pairs of area and year occur more than once")
     return out
 
 
+def vintage_gaps(values: DataFrame, vintage: int, edges: DataFrame) -> DataFrame:
+    """One row: areas (n_areas), those that are not in the vintage (n_missing), and of these the ones in the other (n_other)."""
+    side = {2010: "t10", 2020: "t20"}
+    known = [edges.select(F.col(side[v]).alias("geoid")).distinct().withColumn(name, F.lit(True)) for v, name in ((vintage, "_own"), (4030 - vintage, "_other"))]
+    ids = values.select("geoid").distinct().join(known[0], "geoid", "left").join(known[1], "geoid", "left")
+    missing = F.col("_own").isNull()
+    return ids.agg(F.count("*").alias("n_areas"), F.count_if(missing).alias("n_missing"), F.count_if(missing & F.col("_other").isNotNull()).alias("n_other"))
+
+
 def check_vintage(values: DataFrame, vintage: int, edges: DataFrame, slug: str = "?") -> None:
     """Refuses areas of another vintage: many codes are in both, so a wrong file would half fit."""
-    side = {2010: "t10", 2020: "t20"}
-    ids = values.select("geoid").distinct()
-    codes = {v: edges.select(F.col(c).alias("geoid")).distinct() for v, c in side.items()}
-    missing = ids.join(codes[vintage], "geoid", "left_anti")
-    total, absent = ids.count(), missing.count()
-    if not total or absent <= VINTAGE_TOLERANCE * total:
+    total, absent, others = vintage_gaps(values, vintage, edges).first()
+    if absent <= VINTAGE_TOLERANCE * total:
         return
     other = 4030 - vintage
-    hint = f"; most of them are {other} areas, so set tract_vintage: {other}" if missing.join(codes[other], "geoid", "left_semi").count() > absent / 2 else ""
+    hint = f"; most of them are {other} areas, so set tract_vintage: {other}" if others > absent / 2 else ""
     raise ConfigError(f"{slug}: {absent} of {total} areas are not in the {vintage} vintage{hint}")
 
 
@@ -181,14 +199,14 @@ def inner_points(spark: SparkSession, path: str, id_property: str = "GEOID") ->
     schema = "features array<struct<properties: map<string,string>, geometry: struct<type: string, coordinates: string>>>"
     features = spark.read.schema(schema).option("multiLine", True).json(path).select(F.explode("features").alias("f"))
 
-    @F.udf("struct<x: double, y: double>")  # one call for each shape, of which there are as many as areas
-    def inside(kind: str, coordinates: str):
-        import json
-
-        shapes = json.loads(coordinates)
-        shapes = shapes if kind == "MultiPolygon" else [shapes]
+    def inside(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         area = lambda r: abs(sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(r, r[1:] + r[:1])))
-        return _inside(max(shapes, key=lambda s: area(s[0])))
-
-    rows = features.select(F.element_at("f.properties", id_property).alias("id"), inside("f.geometry.type", "f.geometry.coordinates").alias("p"))
-    return rows.select("id", "p.x", "p.y")
+        for batch in batches:
+            found = []
+            for kind, coordinates in zip(batch["kind"], batch["coordinates"]):
+                shapes = json.loads(coordinates) if kind == "MultiPolygon" else [json.loads(coordinates)]
+                found.append(_inside(max(shapes, key=lambda s: area(s[0]))))
+            yield pd.DataFrame({"id": batch["id"], "x": [x for x, _ in found], "y": [y for _, y in found]})
+
+    rows = features.select(F.element_at("f.properties", id_property).alias("id"), F.col("f.geometry.type").alias("kind"), F.col("f.geometry.coordinates").alias("coordinates"))
+    return rows.mapInPandas(inside, "id string, x double, y double")
