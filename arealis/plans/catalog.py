@@ -12,8 +12,11 @@ from pyspark.sql import functions as F
 
 from arealis.functions import cleaning, uncertainty
 from arealis.operators import crosswalk, jobs, quality, rollup, spatial, stats, stitch, zonal
+from arealis.plans.build import Build
 from arealis.plans.standins import edges, population, raw, sql, table, tracts, values
-from arealis.sources.config import TableSpec
+from arealis.sources import readers
+from arealis.sources.config import TableSpec, indicator
+from arealis.sources.registry import Landing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -43,7 +46,7 @@ _BAND = "CASE WHEN {cv} > 30 THEN 'unreliable' WHEN {cv} > 15 THEN 'caution' WHE
 
 def _tidy_sql(value: str, moe: str, source: str = "raw") -> str:
     """Value and margin with cv and reliability."""
-    body = f"""SELECT geoid, year, round(value, 4) AS value, round(moe, 4) AS moe, round(cv, 2) AS cv, {_BAND.format(cv='cv')} AS reliability
+    body = f"""SELECT geoid, year, round_even(value, 4) AS value, round_even(moe, 4) AS moe, round_even(cv, 2) AS cv, {_BAND.format(cv='cv')} AS reliability
 FROM (SELECT *, {_CV.format(v='value', m='moe')} AS cv FROM (SELECT geoid, year, {value} AS value, {moe} AS moe FROM {source}))"""
     return sql(body)
 
@@ -78,7 +81,7 @@ _TOP = "CASE WHEN year = 1997 THEN E2 ELSE E2 + E3 END"
 _TOP_MOE = "CASE WHEN year = 1997 THEN M2 ELSE sqrt(COALESCE(M2 * M2, 0) + COALESCE(M3 * M3, 0)) END"
 
 
-@query(sql(f"""SELECT geoid, year, round(v, 4) AS value, round(m, 4) AS moe, round(cv, 2) AS cv, {_BAND.format(cv='cv')} AS reliability
+@query(sql(f"""SELECT geoid, year, round_even(v, 4) AS value, round_even(m, 4) AS moe, round_even(cv, 2) AS cv, {_BAND.format(cv='cv')} AS reliability
 FROM (SELECT *, {_CV.format(v='v', m='m')} AS cv FROM (
   SELECT geoid, year, t / E1 AS v, CASE WHEN M2 IS NULL AND (M3 IS NULL OR year = 1997) THEN NULL ELSE sqrt(tm * tm + power(t / E1, 2) * M1 * M1) / E1 END AS m
   FROM (SELECT *, {_TOP} AS t, {_TOP_MOE} AS tm FROM raw)))"""))
@@ -95,9 +98,9 @@ def margin_sums(spark, sf_dir):
     )
 
 
-@query(sql("SELECT reliability, COUNT(*) AS n FROM (SELECT " + _BAND.format(cv="cv") + " AS reliability FROM (SELECT " + _CV.format(v="E2", m="M2") + " AS cv FROM raw)) GROUP BY 1"))
+@query(sql("SELECT reliability, COUNT(*) AS n FROM (SELECT " + _BAND.format(cv="cv") + " AS reliability FROM (SELECT " + _CV.format(v="E2", m="M2 * (n % 40 + 1)") + " AS cv FROM raw)) GROUP BY 1"))
 def reliability_counts(spark, sf_dir):
-    cv = uncertainty.cv_percent("E2", "M2")
+    cv = uncertainty.cv_percent("E2", F.col("M2") * (F.col("n") % 40 + 1))
     return raw(spark, sf_dir).groupBy(uncertainty.reliability(cv).alias("reliability")).agg(F.count("*").alias("n"))
 
 
@@ -112,9 +115,10 @@ def significant_change_pairs(spark, sf_dir):
     return pairs.select("geoid", "year1", "year2", F.round("value1", 2).alias("value1"), F.round("value2", 2).alias("value2"), "significant")
 
 
-@query(sql(f"SELECT year1, year2, CAST(COUNT(*) FILTER (s) AS BIGINT) AS n_significant, COUNT(s) AS n_tested FROM (SELECT *, {_SIGNIFICANT} AS s FROM ({_PAIRS})) GROUP BY 1, 2"))
+@query(sql(f"SELECT year1, year2, CAST(COUNT(*) FILTER (s) AS BIGINT) AS n_significant, COUNT(s) AS n_tested FROM (SELECT *, {_SIGNIFICANT} AS s FROM ({_PAIRS})) GROUP BY 1, 2".replace("vals", "spaced"), "spaced AS (SELECT geoid, year * 5 AS year, value, moe FROM vals)"))
 def significant_change_tally(spark, sf_dir):
-    return stitch.change_tally(stitch.comparable_pairs(values(spark, sf_dir)))
+    spaced = values(spark, sf_dir).withColumn("year", F.col("year") * 5)  # so that there are periods of 5 and of 10 years
+    return stitch.change_tally(stitch.comparable_pairs(spaced))
 
 
 @query(sql("""SELECT v.geoid, v.year, round(CASE WHEN area > 0 THEN value / area END, 4) AS value, round(CASE WHEN area > 0 THEN moe / area END, 4) AS moe
@@ -224,15 +228,21 @@ def semi_region_filter(spark, sf_dir):
     return table(spark, sf_dir, "customer").join(here, "c_nationkey", "left_semi").select("c_custkey", "c_nationkey")
 
 
-@query("SELECT COUNT(*) AS n_missing FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+@query("""SELECT COUNT(*) AS n_areas, COUNT(*) FILTER (NOT old) AS n_missing, COUNT(*) FILTER (NOT old AND new) AS n_other FROM (
+  SELECT c_custkey, c_custkey IN (SELECT o_custkey FROM orders) AS old, c_custkey IN (SELECT o_custkey + 1 FROM orders) AS new FROM customer)""")
 def anti_vintage_check(spark, sf_dir):
-    known = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"))
-    return table(spark, sf_dir, "customer").join(known, "c_custkey", "left_anti").agg(F.count("*").alias("n_missing"))
+    between = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("t10"), (F.col("o_custkey") + 1).alias("t20"))
+    return readers.vintage_gaps(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("geoid")), 2010, between)
 
 
-@query("SELECT DISTINCT CAST(year(l_shipdate) AS INTEGER) AS year FROM lineitem WHERE year(l_shipdate) NOT IN (SELECT year(o_orderdate) FROM orders WHERE o_orderstatus = 'P')")
+@query("SELECT COUNT(*) AS n_keys, COUNT(*) FILTER (n > 1) AS n_repeated FROM (SELECT COUNT(*) AS n FROM orders GROUP BY o_custkey, year(o_orderdate))")
+def duplicate_keys(spark, sf_dir):
+    return readers.repeated_keys(table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("geoid"), F.year("o_orderdate").alias("year")))
+
+
+@query("SELECT DISTINCT CAST(year(l_shipdate) AS INTEGER) AS year FROM lineitem WHERE year(l_shipdate) NOT IN (SELECT year(o_orderdate) FROM orders WHERE month(o_orderdate) = 12 AND year(o_orderdate) % 2 = 0)")
 def set_difference_years(spark, sf_dir):
-    have = table(spark, sf_dir, "orders").where("o_orderstatus = 'P'").select(F.year("o_orderdate").alias("year"))
+    have = table(spark, sf_dir, "orders").where("month(o_orderdate) = 12 AND year(o_orderdate) % 2 = 0").select(F.year("o_orderdate").alias("year"))
     return stitch.missing_years(have, table(spark, sf_dir, "lineitem").select(F.year("l_shipdate").alias("year")))
 
 
@@ -316,6 +326,77 @@ def jobs_measures_rollup(spark, sf_dir):
     return jobs.job_rollup(*_job_inputs(spark, sf_dir))
 
 
+_CODE = "lpad(CAST(o_custkey % 25 AS VARCHAR), 5, '0') || lpad(CAST(o_custkey % 400 AS VARCHAR), 6, '0') || lpad(CAST(o_orderkey % 10000 AS VARCHAR), 4, '0')"
+
+
+@query(f"""SELECT substr(code, 1, 11) AS geoid, year, SUM(a) AS C000, SUM(b) AS CNS05 FROM (
+  SELECT {_CODE} AS code, CAST(year(o_orderdate) AS INTEGER) AS year, floor(o_totalprice / 1000) AS a, floor(o_totalprice / 5000) AS b FROM orders) WHERE substr(code, 1, 5) IN ('00001', '00007', '00024') GROUP BY 1, 2""")
+def blocks_to_tracts(spark, sf_dir):
+    digits = lambda c, n: F.lpad(c.cast("string"), n, "0")
+    code = F.concat(digits(F.col("o_custkey") % 25, 5), digits(F.col("o_custkey") % 400, 6), digits(F.col("o_orderkey") % 10000, 4))
+    jobs_in = lambda size, name: F.floor(F.col("o_totalprice") / size).cast("double").alias(name)
+    blocks = table(spark, sf_dir, "orders").select(code.alias("w_geocode"), F.year("o_orderdate").alias("year"), jobs_in(1000, "C000"), jobs_in(5000, "CNS05"))
+    return rollup.sum_blocks(blocks, ["00001", "00007", "00024"], ["C000", "CNS05", "CE03"])
+
+
+@query(sql("""SELECT t20 AS geoid, year, round(SUM(v / 100 * n * afact) / SUM(n * afact) * 100, 4) AS value, CAST(NULL AS DOUBLE) AS moe
+FROM (SELECT geoid, year, 100 * E2 / E1 AS v, n FROM raw) JOIN edges ON geoid = t10 WHERE v IS NOT NULL AND n > 0 GROUP BY 1, 2"""))
+def user_rates_without_margins(spark, sf_dir):
+    rates = raw(spark, sf_dir).select("geoid", "year", (100 * F.col("E2") / F.col("E1")).alias("value"), F.lit(None).cast("double").alias("moe"), F.col("n").cast("double").alias("pop"))
+    return rounded(crosswalk.allocate_values(rates, edges(spark, sf_dir), "rate"), value=4)
+
+
+@query(sql("""SELECT CASE WHEN grouping(c) = 1 THEN 'REGION' ELSE c END AS geoid, year, round(SUM(v * w) / SUM(w), 4) AS value, round(sqrt(SUM(power(m * w, 2))) / SUM(w), 4) AS moe
+FROM (SELECT substr(t.geoid, 1, 5) AS c, y.year, r.v, r.m, CASE WHEN r.v IS NOT NULL AND p.pop > 0 THEN p.pop END AS w FROM tracts t CROSS JOIN (SELECT DISTINCT year FROM raw) y
+  LEFT JOIN (SELECT geoid, year, 100 * E2 / E1 AS v, 100 * M2 / E1 AS m FROM raw) r ON r.geoid = t.geoid AND r.year = y.year
+  LEFT JOIN population p ON p.geoid = t.geoid AND p.year = y.year) GROUP BY GROUPING SETS ((c, year), (year))"""))
+def derived_mean_rollup(spark, sf_dir):
+    rows = raw(spark, sf_dir).select("geoid", "year", (100 * F.col("E2") / F.col("E1")).alias("value"), (100 * F.col("M2") / F.col("E1")).alias("moe"))
+    return rounded(rollup.derived(rows, tracts(spark, sf_dir), "index", population(spark, sf_dir)), value=4, moe=4)
+
+
+@query(sql("SELECT substr(geoid, 1, 5) AS county, round(SUM(area), 2) AS area, round(SUM(area) * 1000000 / 2589988.110336, 4) AS square_miles FROM tracts GROUP BY 1"))
+def county_land(spark, sf_dir):
+    land = rollup.county_areas(tracts(spark, sf_dir).select("geoid", "area"))
+    return rounded(land.withColumn("square_miles", cleaning.square_miles(F.col("area") * 1000000)), area=2, square_miles=4)
+
+
+def _published(spark, sf_dir):
+    """Raw variables of counties, as a survey publishes them."""
+    squares = lambda c: F.sqrt(F.sum(F.col(c) * F.col(c))).alias(c)
+    return raw(spark, sf_dir).groupBy(cleaning.county("geoid").alias("geoid"), "year").agg(F.sum("E1").alias("E1"), F.sum("E2").alias("E2"), squares("M1"), squares("M2"))
+
+
+def _roll_up(spark, sf_dir, source: dict, tables: dict):
+    """What a build publishes for counties and the region, by the rule of the source."""
+    own = indicator({"id": 1, "slug": "x", "theme": "t", **source})
+    return Build(spark, Landing(tables, []), None, None, "").county_rows(own, values(spark, sf_dir)).drop("indicator_id")
+
+
+_ROLLED = """rolled AS (SELECT CASE WHEN grouping(c) = 1 THEN 'REGION' ELSE c END AS geoid, year, SUM(E1) AS E1, SUM(E2) AS E2, sqrt(SUM(M1 * M1)) AS M1, sqrt(SUM(M2 * M2)) AS M2
+  FROM (SELECT substr(geoid, 1, 5) AS c, * FROM raw) GROUP BY GROUPING SETS ((c, year), (year)))"""
+
+
+@query(sql(
+    f"""SELECT geoid, year, round_even(value, 4) AS value, round_even(moe, 4) AS moe, round_even(cv, 2) AS cv, {_BAND.format(cv='cv')} AS reliability
+FROM (SELECT *, {_CV.format(v='value', m='moe')} AS cv FROM (SELECT geoid, year, E2 / E1 * 100 AS value, {_PROPORTION_MOE} AS moe FROM rolled))""", _ROLLED))
+def survey_rollup(spark, sf_dir):
+    survey = {"source": "acs", "format": "percent", "acs": {"kind": "proportion", "num_vars": ["E2"], "num_moe_vars": ["M2"], "den_var": "E1", "den_moe_var": "M1"}}
+    return _roll_up(spark, sf_dir, survey, {"acs_county": _published(spark, sf_dir)})
+
+
+@query(sql(f"""SELECT geoid, year, round_even(value, 4) AS value, round_even(moe, 4) AS moe, round_even(cv, 2) AS cv, {_BAND.format(cv='cv')} AS reliability
+FROM (SELECT *, {_CV.format(v='value', m='moe')} AS cv FROM (SELECT * FROM published UNION ALL SELECT 'REGION', p.year, SUM(value * pop) / SUM(pop), sqrt(SUM(power(moe * pop, 2))) / SUM(pop)
+  FROM published p JOIN near n ON p.year = n.year JOIN people q ON q.geoid = p.geoid AND q.year = n.have GROUP BY 2))""",
+           """published AS (SELECT substr(geoid, 1, 5) AS geoid, year, SUM(E2) / SUM(E1) * 100 AS value, sqrt(SUM(M2 * M2)) / SUM(E1) * 100 AS moe FROM raw GROUP BY 1, 2),
+people AS (SELECT substr(geoid, 1, 5) AS geoid, year, SUM(pop) AS pop FROM population GROUP BY 1, 2),
+near AS (SELECT w.year, max_by(h.year, -abs(h.year - w.year) * 10000 + h.year) AS have FROM (SELECT DISTINCT year FROM raw) w, (SELECT DISTINCT year FROM population) h GROUP BY 1)"""))
+def health_rollup(spark, sf_dir):
+    rates = _published(spark, sf_dir).select("geoid", "year", (F.col("E2") / F.col("E1") * 100).alias("value"), (F.col("M2") / F.col("E1") * 100).alias("moe"))
+    people = population(spark, sf_dir).groupBy(cleaning.county("geoid").alias("geoid"), "year").agg(F.sum("pop").alias("pop"))
+    return _roll_up(spark, sf_dir, {"source": "cdc_places", "cdc_places": {}}, {"cdc_places_county": rates, "population_county": people})
+
+
 # --- Scores, ranks, quantiles ----------------------------------------------
 
 @query(sql("""SELECT geoid, year, round((value - AVG(value) OVER g) / CASE WHEN stddev_samp(value) OVER g > 0 THEN stddev_samp(value) OVER g END, 6) AS z
@@ -337,7 +418,7 @@ _P = "CAST(p_partkey * 7919 % 10007 AS DOUBLE) / 10007 * p_size / 50"
   SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY p, p_partkey) AS k, COUNT(*) OVER (PARTITION BY p_brand) AS m FROM (SELECT p_partkey, p_brand, power({_P}, 3) AS p FROM part))""")
 def bh_fdr(spark, sf_dir):
     p = F.pow((F.col("p_partkey") * 7919 % 10007).cast("double") / 10007 * F.col("p_size") / 50, 3)
-    tested = stats.false_discovery(table(spark, sf_dir, "part").withColumn("p", p), ["p_brand"], key="p_partkey")
+    tested = stats.false_discovery(table(spark, sf_dir, "part").withColumn("p", p), ["p_brand"])
     return tested.select("p_partkey", "p_brand", "significant")
 
 
@@ -348,12 +429,13 @@ def quantile_breaks(spark, sf_dir):
     return rows.select("p_brand", *(F.round(F.get("b", F.lit(i)), 4).alias(f"b{i + 1}") for i in range(4)), "n_size_breaks")
 
 
-_STATS = "round(MIN(value), 2) AS min, round(MAX(value), 2) AS max, round(quantile_cont(value, 0.01), 2) AS p1, round(quantile_cont(value, 0.99), 2) AS p99"
+_STATS = "round(MIN(value), 2) AS min, round(MAX(value), 2) AS max, round(quantile_cont(value, 0.01), 2) AS p1, round(quantile_cont(value, 0.99), 2) AS p99, round(quantile_cont(value, 0.2), 2) AS b1, round(quantile_cont(value, 0.4), 2) AS b2, round(quantile_cont(value, 0.6), 2) AS b3, round(quantile_cont(value, 0.8), 2) AS b4"
 
 
 @query(sql(f"SELECT year, grouping(year) = 1 AS pooled, {_STATS} FROM vals GROUP BY GROUPING SETS ((year), ())"))
 def summary_stats(spark, sf_dir):
-    return rounded(stats.summaries(values(spark, sf_dir)).drop("breaks"), min=2, max=2, p1=2, p99=2)
+    rows = stats.summaries(values(spark, sf_dir))
+    return rounded(rows.select("*", *(F.get("breaks", F.lit(k)).alias(f"b{k + 1}") for k in range(4))).drop("breaks"), min=2, max=2, p1=2, p99=2, b1=2, b2=2, b3=2, b4=2)
 
 
 @query(sql("""SELECT g.geoid, string_agg(COALESCE(CAST(CAST(round(E2) AS BIGINT) AS VARCHAR), 'null'), ',' ORDER BY y.year) AS series
@@ -424,9 +506,37 @@ def lisa_permutation(spark, sf_dir):
     return spatial.local_moran(rows, links, ["year"]).select("geoid", "year", "local_i", "p", "significant", "quadrant")
 
 
-@query()
+def _probit_sql(p: str) -> str:
+    """The normal quantile in SQL, from the same coefficients."""
+
+    def fraction(r: str, parts) -> str:
+        top, bottom = (repr(c[-1]) for c in parts)
+        for x, y in zip(parts[0][-2::-1], parts[1][-2::-1]):
+            top, bottom = f"({top} * {r} + {x!r})", f"({bottom} * {r} + {y!r})"
+        return f"({top} / {bottom})"
+
+    root = f"sqrt(-ln(least({p}, 1 - {p})))"
+    tail = f"CASE WHEN {root} <= 5 THEN {fraction(f'({root} - 1.6)', stats.MIDDLE)} ELSE {fraction(f'({root} - 5)', stats.TAIL)} END"
+    center = f"({p} - 0.5) * {fraction(f'(0.180625 - ({p} - 0.5) * ({p} - 0.5))', stats.CENTER)}"
+    return f"CASE WHEN abs({p} - 0.5) <= 0.425 THEN {center} ELSE sign({p} - 0.5) * {tail} END"
+
+
+@query(f"SELECT p_partkey, p_brand, round({_probit_sql('p')}, 9) AS score FROM (SELECT *, (rank() OVER (PARTITION BY p_brand ORDER BY p_size) + (COUNT(*) OVER (PARTITION BY p_brand, p_size) - 1) / 2) / (COUNT(*) OVER (PARTITION BY p_brand) + 1) AS p FROM part)")
 def rank_normal_scores(spark, sf_dir):
-    return stats.rank_normal(table(spark, sf_dir, "part"), ["p_brand"], "p_size").select("p_partkey", "p_brand", "score")
+    return rounded(stats.rank_normal(table(spark, sf_dir, "part"), ["p_brand"], "p_size").select("p_partkey", "p_brand", "score"), score=9)
+
+
+@query(f"WITH {_KNN}, ranked AS (SELECT id, (rank() OVER (ORDER BY v) + (COUNT(*) OVER (PARTITION BY v) - 1) / 2) / (COUNT(*) OVER () + 1) AS p FROM (SELECT id, x + value AS v FROM points)), "
+       f"scores AS (SELECT id, {_probit_sql('p')} AS s FROM ranked), z AS (SELECT id, (s - AVG(s) OVER ()) / stddev_samp(s) OVER () AS z FROM scores), "
+       "lagged AS (SELECT i AS geoid, SUM(w * n.z) / SUM(w) AS lag FROM knn JOIN z n ON j = n.id GROUP BY 1) "
+       "SELECT geoid, round(z, 6) AS z, round(lag, 6) AS lag, round(z * lag, 6) AS local_i FROM lagged JOIN z ON geoid = id")
+def lisa_scores(spark, sf_dir):
+    """The local statistic before its permutations."""
+    points = _points(spark, sf_dir)
+    rows = points.select(F.col("id").alias("geoid"), F.lit(2024).alias("year"), (F.col("x") + F.col("value")).alias("value"))
+    scored = stats.zscores(stats.rank_normal(rows, ["year"]), ["year"], "score")
+    out = spatial.with_quadrant(spatial.spatial_lag(scored, spatial.knn_weights(points), ["year"]))
+    return rounded(out.select("geoid", "z", "lag", "local_i"), z=6, lag=6, local_i=6)
 
 
 _CELLS = "cells AS (SELECT l_suppkey AS geoid, CAST(year(l_shipdate) AS INTEGER) AS year, CASE WHEN l_linenumber <> 7 THEN l_linenumber END AS class, l_discount AS value, l_quantity / 50 AS frac FROM lineitem)"
@@ -460,11 +570,23 @@ def qa_gate_metrics(spark, sf_dir):
 @query(sql(f"SELECT geoid, year, round(cv, 4) AS cv FROM (SELECT geoid, year, {_CV.format(v='E2', m='M2')} AS cv FROM raw) WHERE cv IS NOT NULL ORDER BY round(cv, 4) DESC, geoid, year LIMIT 20"))
 def topn_uncertain(spark, sf_dir):
     facts = raw(spark, sf_dir).select("geoid", "year", F.round(uncertainty.cv_percent("E2", "M2"), 4).alias("cv"))
-    facts.createOrReplaceTempView("tract_indicators")
-    return spark.sql("SELECT geoid, year, cv FROM tract_indicators WHERE cv IS NOT NULL ORDER BY cv DESC, geoid, year LIMIT 20")
+    return spark.sql("SELECT geoid, year, cv FROM {facts} WHERE cv IS NOT NULL ORDER BY cv DESC, geoid, year LIMIT 20", facts=facts)
+
+
+_INDICATORS = [indicator({"id": k, "slug": f"i{k}", "theme": "t", "source": "viirs", **({"qa": {"range": r}} if r else {})}) for k, r in enumerate(([5, 200], None, [0, 50]))]
+
+
+@query("""SELECT CAST(event_id % 3 AS INTEGER) AS indicator_id, CAST(day(ts) AS INTEGER) AS year, round(COUNT(DISTINCT user_id) / (SELECT COUNT(*) FROM customer), 6) AS coverage, COUNT(*) AS n,
+ CAST(COUNT(*) FILTER (event_id % 3 = 0 AND (value < 5 OR value > 200) OR event_id % 3 = 2 AND (value < 0 OR value > 50)) AS BIGINT) AS n_outside
+FROM events JOIN customer ON user_id = c_custkey GROUP BY 1, 2""")
+def qa_sweep_metrics(spark, sf_dir):
+    expected = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("geoid"))
+    facts = table(spark, sf_dir, "events").select((F.col("event_id") % 3).cast("int").alias("indicator_id"), F.day("ts").alias("year"), F.col("user_id").alias("geoid"), "value")
+    rows = quality.metrics(quality.with_ranges(facts.join(expected, "geoid", "left_semi"), _INDICATORS), expected, ["indicator_id", "year"], "low", "high")
+    return rounded(rows.select("indicator_id", "year", "coverage", "n", "n_outside"), coverage=6)
 
 
-_FLAG = f"""SELECT geoid, year, round(v, 4) AS value, round(m, 4) AS moe, {_BAND.format(cv='cv')} AS reliability FROM (SELECT *, {_CV.format(v='v', m='m')} AS cv FROM (
+_FLAG = f"""SELECT geoid, year, round_even(v, 4) AS value, round_even(m, 4) AS moe, {_BAND.format(cv='cv')} AS reliability FROM (SELECT *, {_CV.format(v='v', m='m')} AS cv FROM (
   SELECT geoid, year, E2 / E1 * 100 AS v, CASE WHEN r < 0 THEN sqrt(M2 * M2 + power(E2 / E1, 2) * M1 * M1) / E1 ELSE sqrt(r) / E1 END * 100 AS m
   FROM (SELECT *, M2 * M2 - power(E2 / E1, 2) * M1 * M1 AS r FROM rolled)))"""
 
