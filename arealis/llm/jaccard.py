@@ -405,6 +405,11 @@ def _are_linked(u: np.ndarray, v: np.ndarray) -> bool:
     return DENOMINATOR * both >= NUMERATOR * (len(u) + len(v) - both)
 
 
+def _only(arrays: DataFrame, needed: DataFrame) -> DataFrame:
+    """The arrays of the needed sets; as a table these are known to be few before anything is shuffled."""
+    return arrays.join(stored(needed, "needed"), "sid", "left_semi")
+
+
 def _verified(pairs: DataFrame, arrays: DataFrame) -> DataFrame:
     """Pairs (a, b) that link, by the sizes of intersection and union."""
 
@@ -414,6 +419,8 @@ def _verified(pairs: DataFrame, arrays: DataFrame) -> DataFrame:
             chosen = pa.array([_are_linked(np.frombuffer(u, U), np.frombuffer(v, U)) for u, v in zip(x.to_pylist(), y.to_pylist())], pa.bool_())
             yield pa.RecordBatch.from_arrays([a.filter(chosen), b.filter(chosen)], ["a", "b"])
 
+    pairs = stored(pairs, "verified")
+    arrays = _only(arrays, _ends(pairs))
     left = arrays.select(F.col("sid").alias("a"), F.col("data").alias("x"))
     right = arrays.select(F.col("sid").alias("b"), F.col("data").alias("y"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
@@ -428,7 +435,7 @@ def _arrays(docs: DataFrame, needed: DataFrame) -> DataFrame:
             rows = [(sid, s.tobytes()) for (sid, *names), s in zip(wanted, shingle_sets(batch.column(0))) if len(s) and fingerprint(s) == tuple(names)]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], ["sid", "data"])
 
-    named = needed.select(F.col("rep.id").alias("_id"), F.col("rep.h").alias("_h"), "sid", "one", "two")
+    named = stored(needed.select(F.col("rep.id").alias("_id"), F.col("rep.h").alias("_h"), "sid", "one", "two"), "named")
     joined = docs.join(named, F.col("id").eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_h")))
     return joined.select("text", "sid", "one", "two").mapInArrow(run, "sid long, data binary").dropDuplicates(["sid"])
 
@@ -517,7 +524,7 @@ def _within(members: DataFrame, arrays: DataFrame) -> DataFrame:
                 rows.append(tuple(row))
         yield from flush()
 
-    dealt = members.join(arrays, "sid").repartition("cover", "mine").sortWithinPartitions("cover", "mine")
+    dealt = members.join(_only(arrays, members.select("sid").distinct()), "sid").repartition("cover", "mine").sortWithinPartitions("cover", "mine")
     return dealt.select("cover", "mine", "sid", "component", "data").mapInArrow(run, "a long, b long")
 
 
@@ -575,6 +582,7 @@ def similar_sets(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     pairs = _pairs(source, sets)
     release(spark)
     arrays = stored(_arrays(source, sets.join(_ends(pairs), "sid").select("sid", "rep", "one", "two")), "arrays")
+    release(spark)
     near = pairs.where("near").select("a", "b")
     # First a pair for each set, which joins most of what belongs together, then the pairs that are still apart.
     links = stored(_verified(near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), arrays), "links")
