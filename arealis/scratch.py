@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import gc
 import tempfile
-import time
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -36,7 +35,7 @@ def _place(spark: SparkSession, path: str):
 def release(spark: SparkSession) -> None:
     """Let go of the shuffle files of finished plans, which otherwise stay until the driver's heap happens to be collected."""
     gc.collect()  # plans that only Python still holds
-    time.sleep(0.3)
+    spark.range(1).write.mode("overwrite").format("noop").save()  # the session holds on to the plan that ran last
     spark.sparkContext._jvm.System.gc()
 
 
