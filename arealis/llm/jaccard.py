@@ -154,8 +154,8 @@ def fingerprint(s: np.ndarray) -> tuple[int, int]:
 
 
 def sketch(s: np.ndarray) -> bytes:
-    """Parities of 2 ** b buckets of elements, at least four for each."""
-    bits = max(6, (4 * len(s) - 1).bit_length())
+    """Parities of 2 ** b buckets of elements, at least two for each."""
+    bits = max(6, (2 * len(s) - 1).bit_length())
     parity = np.bincount((s >> U(64 - bits)).astype(np.int64), minlength=1 << bits) & 1
     return np.packbits(parity.astype(np.uint8), bitorder="little").tobytes()
 
