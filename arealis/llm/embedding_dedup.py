@@ -48,6 +48,8 @@ SAMPLE_ROWS, ROUNDS, RECALL, ROTATION = 4096, 30, 0.97, 64
 TABLE_BITS, PAIR_COST = range(4, 17), 0.02
 #: Vectors of a block, and vectors of one key that are looked at in one step before they are dealt over blocks.
 BLOCK, GROUP_ROWS = 512, 8192
+#: Bits from which the size of the index is chosen.
+LEAST_BITS = 256
 
 U = np.uint64
 
@@ -130,37 +132,34 @@ def fit_codes(x: np.ndarray, total: int, threshold: float, recall: float = RECAL
     mean = unit.mean(axis=0)
     centred = unit - mean
     first, second = _pairs_at(threshold, unit, rng)
-    sides = first, second, unit[rng.integers(0, len(unit), len(first))]
-    half, turned, signs = len(first) // 2, [], [[], [], []]
+    others, half = unit[rng.integers(0, len(unit), len(first))], len(first) // 2
+    turned: list[np.ndarray] = []
 
-    def turn() -> None:
+    def turn() -> np.ndarray:
         turned.append(_turned(centred, len(turned), rng))
-        for held, y in zip(signs, sides):
-            held.append((y - mean) @ turned[-1] > 0)
-
-    def agreed(bits: int, one: int, two: int, start: int = 0) -> np.ndarray:
-        """For each pair of vectors and each table from ``start`` on whether they have the same bits."""
-        same = np.concatenate(signs[one], axis=1) == np.concatenate(signs[two], axis=1)
-        tables = same.shape[1] // bits
-        return same[:, start * bits : tables * bits].reshape(len(same), tables - start, bits).all(axis=2)
-
-    def cost(bits: int) -> float:
-        near = agreed(bits, 0, 1)
-        meets = min(near[:half].mean(), near[half:].mean())
-        tables = np.log(1 - recall) / np.log1p(-np.clip(meets, 1e-9, 1 - 1e-9))
-        return max(tables, 1.0) * (1 + PAIR_COST * total * (agreed(bits, 0, 2).mean() + 1e-6))
-
-    while not turned or sum(x.shape[1] for x in turned) < 64:
+        return turned[-1]
+
+    def worse(found: np.ndarray) -> float:
+        return min(found[:half].mean(), found[half:].mean())
+
+    while not turned or sum(x.shape[1] for x in turned) < LEAST_BITS:
         turn()
-    bits = min(TABLE_BITS, key=cost)
-    seen, tables = np.zeros(len(first), dtype=bool), 0
-    while min(seen[:half].mean(), seen[half:].mean()) < recall:
-        near = agreed(bits, 0, 1, tables)
-        if near.shape[1]:
-            seen |= near[:, 0]
-            tables += 1
-        else:
-            turn()
+    signs = [(y - mean) @ np.concatenate(turned, axis=1) > 0 for y in (first, second, others)]
+    stays, met = (np.mean(signs[0] == x, axis=1) for x in signs[1:])  # the share of bits that each pair has in common
+
+    def tables_for(bits: int) -> int:
+        t = np.unique(np.geomspace(1, 1 << 14, 120).astype(np.int64))
+        return next((int(n) for n in t if worse(1 - (1 - stays**bits) ** n) >= recall), 1 << 15)
+
+    bits = min(TABLE_BITS, key=lambda n: tables_for(n) * (1 + PAIR_COST * total * float((met**n).mean())))
+    same, seen, tables = signs[0] == signs[1], np.zeros(len(first), dtype=bool), 0
+    while worse(seen) < recall:
+        if same.shape[1] < bits:
+            axes = turn()
+            same = np.concatenate([same, ((first - mean) @ axes > 0) == ((second - mean) @ axes > 0)], axis=1)
+        seen |= same[:, :bits].all(axis=1)
+        same = same[:, bits:]
+        tables += 1
     codes = Codes(mean, np.ascontiguousarray(np.concatenate(turned, axis=1)[:, : tables * bits]), bits)
     differences = np.bitwise_count(codes.encode(first)[1] ^ codes.encode(second)[1]).sum(axis=1)
     codes.most = int(differences.max()) + tables
