@@ -96,6 +96,10 @@ def survey_release(spark: SparkSession, path: str, variables: list[str], last_ye
 
 # --- Health estimates ------------------------------------------------------
 
+#: Columns of the service that are asked for.
+HEALTH_COLUMNS = ["year", "locationid", "data_value", "low_confidence_limit", "high_confidence_limit", "totalpopulation"]
+
+
 def health_rows(rows: DataFrame) -> DataFrame:
     """geoid, year, value, moe, pop from service rows, whose numbers are text; rows without an area go."""
     return rows.where(F.col("locationid").isNotNull()).select(
