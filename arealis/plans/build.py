@@ -64,15 +64,17 @@ class Build:
             published = compute_indicator(land["acs_county"], spec, self.caution, self.unreliable)
             if spec.kind == "median":
                 region = rollup.population_weighted(published, rollup.population_near(published, land["population_county"]))
+                region = with_reliability(region, self.caution, self.unreliable)
             else:
                 pooled = rollup.pooled(land["acs_county"], spec.estimates(), spec.margins()).withColumn("geoid", F.lit(rollup.REGION))
                 region = compute_indicator(pooled, spec, self.caution, self.unreliable)
-            region = region.withColumn("geoid", F.lit(rollup.REGION)).select("geoid", "year", "value", "moe")
-            rows = published.select("geoid", "year", "value", "moe").unionByName(region)
+            rows = published.unionByName(region.withColumn("geoid", F.lit(rollup.REGION)))
             if spec.per_land_area:
                 by_county = rollup.county_areas(land["area"]).withColumnRenamed("county", "geoid")
                 whole = land["area"].agg(F.lit(rollup.REGION).alias("geoid"), F.sum("area").alias("area"))
                 rows = rollup.per_area(rows, by_county.unionByName(whole))
+            # The numbers are rounded by now; cv and reliability are those of the unrounded ones.
+            return rows.select("geoid", "year", "value", "moe", "cv", "reliability").withColumn("indicator_id", F.lit(indicator.id))
         elif source == "cdc_places":
             published = land["cdc_places_county"].select("geoid", "year", "value", "moe")
             region = rollup.population_weighted(published, rollup.population_near(published, land["population_county"]))

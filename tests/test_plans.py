@@ -74,6 +74,19 @@ def test_other_sources_and_failures(build, tmp_path):
         plan.run(indicator(own | {"id": 8}), reexport=True)
 
 
+@pytest.mark.parametrize("kind", ["proportion", "rate", "median"])
+def test_roll_up_of_a_survey_keeps_the_reliability_of_unrounded_numbers(build, spark, kind):
+    plan, _ = build
+    counties = spark.createDataFrame([("37025", 2024, 3.0, 1.2, 1e6, 0.0)], "geoid string, year int, N_001E double, N_001M double, D_001E double, D_001M double")
+    plan.landing.tables["acs_county"] = counties
+    plan.landing.tables["population_county"] = spark.createDataFrame([("37025", 2024, 10.0)], "geoid string, year int, pop double")
+    whole = {"kind": "median", "estimate_var": "N_001E", "moe_var": "N_001M"}
+    rows = plan.county_rows(indicator(SHARE | {"acs": whole if kind == "median" else SHARE["acs"] | {"kind": kind}}), None).collect()
+    # The margin of the share is 0.00012 percent; rounded to 0.0001, it makes a cv of 20.26.
+    assert sorted((r["geoid"], r["cv"], r["reliability"]) for r in rows) == [("37025", 24.32, "caution"), ("REGION", 24.32, "caution")]
+    assert rows[0].asDict().keys() == {"geoid", "year", "value", "moe", "cv", "reliability", "indicator_id"}
+
+
 def test_staging_catalog(spark, tmp_path):
     rows = spark.createDataFrame([("tract", "A", 2020, "ok"), ("tract", "A", 2021, None), ("tract", "A", 2021, "ok"), ("county", "A", 2021, "caution")], "level string, measure string, year int, reliability string")
     got = {r["level"]: r for r in stage_measures(rows, str(tmp_path / "s")).collect()}
