@@ -298,7 +298,12 @@ def features_of(rows: DataFrame, compute: Callable[[list[str]], list[bytes]], mo
         sizes = found.select("place", F.length("features").alias("n")).orderBy(*order).limit(most_rows).collect()
         total = np.cumsum([r["n"] for r in sizes])
         n = int((total <= most_bytes).sum())
-        return [(bytes(r["features"]), r["label"]) for r in found.orderBy(*order).limit(n).collect()] if n else []
+        first = found.orderBy(*order).limit(n).collect()[::-1] if n else []
+        out = []
+        while first:  # a row is let go before the next is copied
+            row = first.pop()
+            out.append((bytes(row["features"]), row["label"]))
+        return out
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, sample_rows: int, id_column: str, text_column: str) -> QualityModel:

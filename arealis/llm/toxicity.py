@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -41,6 +42,8 @@ LEAST, ALONE, LEFT_OPEN = 3, 5.0, 4.5
 #: Shortest and longest word beginning that is a term.
 PREFIXES = (3, 10)
 CACHE_WORDS = 300_000
+#: Rows of the sample that are looked at together.
+STEP_ROWS = 256
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -109,8 +112,20 @@ def text_terms(text: str) -> np.ndarray:
 
 def _counts(rows: list[np.ndarray], chosen: np.ndarray, size: int) -> np.ndarray:
     """How many of the chosen rows have each term."""
-    some = [rows[k] for k in np.flatnonzero(chosen)]
-    return np.bincount(np.concatenate(some), minlength=size) if some else np.zeros(size, dtype=np.int64)
+    out, at = np.zeros(size, dtype=np.int64), np.flatnonzero(chosen)
+    for k in range(0, len(at), STEP_ROWS):
+        out += np.bincount(np.concatenate([rows[i] for i in at[k : k + STEP_ROWS]]), minlength=size)
+    return out
+
+
+def numbered(rows: list[np.ndarray]) -> np.ndarray:
+    """The distinct terms of the rows, which are replaced by the terms' places among them, as the driver has little room."""
+    known = np.concatenate(rows)
+    known.sort()
+    known = known[np.r_[True, known[1:] != known[:-1]][: len(known)]]
+    for k, r in enumerate(rows):
+        rows[k] = np.searchsorted(known, r).astype(np.int32)
+    return known
 
 
 def choose_terms(rows: list[np.ndarray], y: np.ndarray, size: int) -> np.ndarray:
@@ -153,6 +168,8 @@ def _separation(a: np.ndarray, n1: np.ndarray, b: np.ndarray, n0: np.ndarray) ->
 def _paired_terms(rows: list[np.ndarray], y: np.ndarray, left: np.ndarray, decides: np.ndarray, size: int, tile: int = 1024) -> np.ndarray:
     """Terms that separate the classes among the left rows of another term, and the other so too."""
     use = np.flatnonzero(left)
+    use = use[np.argsort(-y[use], kind="stable")]  # toxic rows first, so that both classes are slices
+    n_toxic = int(y[use].sum())
     toxic = _counts(rows, left & (y == 1), size)
     total = toxic + _counts(rows, left & (y == 0), size)
     sign = np.zeros(size, dtype=np.uint64)
@@ -162,7 +179,7 @@ def _paired_terms(rows: list[np.ndarray], y: np.ndarray, left: np.ndarray, decid
     term = term[np.sort(np.unique(sign[term], return_index=True)[1])]  # beginnings of a word mostly have the same rows
     if len(term) < 2:
         return term[:0]
-    place = np.full(size, -1, dtype=np.int64)
+    place = np.full(size, -1, dtype=np.int32)
     place[term] = np.arange(len(term))
     held = [np.sort(place[rows[k]][place[rows[k]] >= 0]) for k in use]
 
@@ -175,12 +192,12 @@ def _paired_terms(rows: list[np.ndarray], y: np.ndarray, left: np.ndarray, decid
     n = [np.zeros(-(-len(term) // tile) * tile) for _ in range(2)]
     for label in range(2):
         n[label][: len(term)] = (toxic if label else total - toxic)[term]
-    best, is_toxic = np.zeros(len(n[0])), y[use] == 1
+    best = np.zeros(len(n[0]))
     for i in range(0, len(term), tile):
         a = present(i)
         for j in range(i, len(term), tile):
             b = a if i == j else present(j)
-            both1, both0 = (a[rows_].T @ b[rows_] for rows_ in (is_toxic, ~is_toxic))
+            both1, both0 = (a[part].T @ b[part] for part in (slice(0, n_toxic), slice(n_toxic, None)))
             here = _separation(both1, n[1][i : i + tile, None], both0, n[0][i : i + tile, None])
             there = _separation(both1, n[1][None, j : j + tile], both0, n[0][None, j : j + tile])
             weak = np.where(both1 >= LEAST, np.minimum(here, there), 0)
@@ -192,7 +209,7 @@ def _paired_terms(rows: list[np.ndarray], y: np.ndarray, left: np.ndarray, decid
     return term[strong[np.argsort(-best[strong], kind="stable")]]
 
 
-def fit_toxicity(sample: list[tuple[np.ndarray, int]], epochs: int = 30, batch: int = 64, rate: float = 0.02, decay: float = 1e-4) -> FactorizationMachine:
+def fit_toxicity(sample: Iterable[tuple[np.ndarray, int]], epochs: int = 30, batch: int = 64, rate: float = 0.02, decay: float = 1e-4) -> FactorizationMachine:
     """Adam on the cross-entropy of the machine's logit, from rows of terms and their labels."""
     labels: dict[bytes, list[int]] = {}
     for terms, label in sample:
@@ -201,14 +218,14 @@ def fit_toxicity(sample: list[tuple[np.ndarray, int]], epochs: int = 30, batch:
     if not len(y) or y.min() == y.max():
         return FactorizationMachine({}, 0.0, np.zeros(0), np.zeros((0, FACTORS)), float(y.mean()) if len(y) else 0.0)
     rows = [np.frombuffer(k, np.uint32) for k in labels]
-    known, flat = np.unique(np.concatenate(rows), return_inverse=True)
-    rows = np.split(flat, np.cumsum([len(r) for r in rows])[:-1])
+    del labels, sample
+    known = numbered(rows)
     chosen = choose_terms(rows, y, len(known))
     terms = {int(known[t]): i for i, t in enumerate(chosen)}
     place = np.full(len(known), -1, dtype=np.int32)
     place[chosen] = np.arange(len(chosen))
     active = [np.sort(place[r][place[r] >= 0]) for r in rows]
-    del rows, flat, sample, labels
+    del rows
     rng = np.random.Generator(np.random.PCG64(11))
     w, v = np.zeros(len(terms), np.float32), rng.normal(0, 0.01, (len(terms), FACTORS)).astype(np.float32)
     constant = np.array([np.log(y.mean() / (1 - y.mean()))], np.float32)
@@ -235,7 +252,8 @@ def fit_toxicity(sample: list[tuple[np.ndarray, int]], epochs: int = 30, batch:
 def _fitted(docs: DataFrame, labels: DataFrame, sample_rows: int, id_column: str, text_column: str) -> FactorizationMachine:
     rows = labelled(docs, labels, "toxic", 5, 0, sample_rows, id_column, text_column)
     sample = features_of(rows, lambda texts: [text_terms(t).tobytes() for t in texts], sample_rows, SAMPLE_BYTES)
-    return fit_toxicity([(np.frombuffer(x, np.uint32), label) for x, label in sample])
+    sample.reverse()
+    return fit_toxicity((np.frombuffer(x, np.uint32), label) for x, label in iter(lambda: sample.pop() if sample else None, None))
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, threshold: float = 0.5, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
