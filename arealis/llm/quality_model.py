@@ -24,6 +24,7 @@ text are read from the documents.
 from __future__ import annotations
 
 import re
+import string
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -40,18 +41,26 @@ from arealis.scratch import scratch, stored
 SAMPLE_ROWS, BUCKETS, DIMENSIONS, HIDDEN, WINDOW = 4000, 1 << 14, 64, 32, 2
 #: Rows that the temperature needs; tokens in one step of the sums, buckets in one of their rows.
 LEAST_APART, STEP_TOKENS, BLOCK = 20, 100_000, 256
+#: Two whole numbers in one double: sums over a step, of at most 3 * 3 * (2 * WINDOW + 1) a token, stay below half of this.
+PACK = float(1 << 26)
 
 #: Words that a worker keeps the vectors of.
 CACHE_WORDS = 300_000
 
 _CORE = re.compile(r"[^\W\d_]+")
+_ENDS = frozenset(string.digits + string.punctuation)  # of most words that are not letters alone
 _SAME, _SHAPES, _MARKS = 0, 1, 64  # buckets below 512 stand for the shape of a word, not for its letters
 
 
 def word_buckets(word: str) -> tuple[int, int, int]:
     """Hash buckets of a word's letters, its shape, and its other characters."""
-    core = "".join(_CORE.findall(word))
-    rest = _CORE.sub("", word)
+    if word.isalpha():
+        core, rest = word, ""
+    elif word[-1:] in _ENDS and word[:-1].isalpha():
+        core, rest = word[:-1], word[-1]
+    else:
+        core = "".join(_CORE.findall(word))
+        rest = _CORE.sub("", word)
     shape = 0 if not core else 1 if core.islower() else 2 if core.isupper() and len(core) > 1 else 3 if core[:1].isupper() else 4
     length = min(len(core), 15) // 2
     letters = 512 + zlib.crc32(core.lower().encode("utf-8", "surrogatepass")) % (BUCKETS - 512)
@@ -78,40 +87,45 @@ class ContextSums:
     def __init__(self) -> None:
         self.index = index_vectors()
         self.total = np.zeros(self.index.shape, dtype=np.int64)
+        whole = self.index.T.astype(np.float64)
+        self.packed = whole[::2] + PACK * whole[1::2]
         self._forget()
 
     def _forget(self) -> None:
         self.known: dict[str | None, int] = {None: 0}  # None stands between texts
-        self.buckets: list[tuple[int, int, int]] = [(0, 0, 0)]
-        self.around = np.zeros((1 << 14, self.index.shape[1]), dtype=np.float32)
+        self.buckets = np.zeros((1 << 14, 3), dtype=np.int32)
+        self.around = np.zeros((len(self.packed), 1 << 14))
 
     def _places(self, words: list[str | None]) -> np.ndarray:
         found = list(map(self.known.get, words))
         if None in found:
-            for w in dict.fromkeys(w for w, i in zip(words, found) if i is None):
-                place = self.known[w] = len(self.buckets)
-                if place == len(self.around):
-                    self.around = np.concatenate([self.around, np.zeros_like(self.around)])
-                self.buckets.append(word_buckets(w))
-                self.around[place] = self.index[list(self.buckets[-1])].sum(axis=0)
+            new = list(dict.fromkeys(w for w, i in zip(words, found) if i is None))
+            first, last = len(self.known), len(self.known) + len(new)
+            while last > len(self.buckets):
+                self.around = np.concatenate([self.around, np.zeros_like(self.around)], axis=1)
+                self.buckets = np.concatenate([self.buckets, np.zeros_like(self.buckets)])
+            self.known.update(zip(new, range(first, last)))
+            buckets = self.buckets[first:last] = np.array([word_buckets(w) for w in new], dtype=np.int32)
+            for around, packed in zip(self.around, self.packed):
+                around[first:last] = packed[buckets].sum(axis=1)
             found = list(map(self.known.__getitem__, words))
         return np.array(found)
 
     def _add(self, places: np.ndarray, first: int, last: int) -> None:
         """The windows around the places from first to last; the others are only seen."""
-        n = len(places)
-        sums = np.zeros((n + 2 * WINDOW + 1, self.index.shape[1]), dtype=np.float32)
-        np.cumsum(self.around[places], axis=0, out=sums[WINDOW + 1 : WINDOW + 1 + n])
-        sums[WINDOW + 1 + n :] = sums[WINDOW + n]
-        near = (sums[2 * WINDOW + 1 :] - sums[:n])[first:last]
-        own = places[first:last]
-        order = np.argsort(own, kind="stable")
-        starts = np.flatnonzero(np.diff(own[order], prepend=-1))
-        word = own[order][starts]
-        by_word = np.add.reduceat(near[order], starts, axis=0).astype(np.int64)
-        buckets = np.array(self.buckets)[word[word > 0]]
-        for column in range(3):
-            np.add.at(self.total, buckets[:, column], by_word[word > 0])
+        word, own = np.unique(places[first:last], return_inverse=True)
+        buckets = self.buckets[word].T.ravel()
+        seen = np.pad(places, WINDOW)
+        step = np.empty((len(self.packed), BUCKETS))
+        for sums, around in zip(step, self.around):
+            each = around[seen]
+            near = sum(each[first + k : first + k + len(own)] for k in range(2 * WINDOW + 1))
+            by_word = np.bincount(own, weights=near, minlength=len(word))
+            by_word[word == 0] = 0
+            sums[:] = np.bincount(buckets, weights=np.tile(by_word, 3), minlength=BUCKETS)
+        high = np.rint(step / PACK)
+        self.total[:, ::2] += (step - PACK * high).T.astype(np.int64)
+        self.total[:, 1::2] += high.T.astype(np.int64)
 
     def add(self, texts: list[str]) -> None:
         gap: list[str | None] = [None] * WINDOW
@@ -120,7 +134,7 @@ class ContextSums:
             words += words_of(text)
             words += gap
         for k in range(0, len(words), STEP_TOKENS):
-            if len(self.buckets) > CACHE_WORDS:
+            if len(self.known) > CACHE_WORDS:
                 self._forget()
             low = max(0, k - WINDOW)
             self._add(self._places(words[low : k + STEP_TOKENS + WINDOW]), k - low, k - low + STEP_TOKENS)

@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 
+from arealis.llm import quality_model
 from arealis.llm.quality_model import quality_filter, quality_scores
 from arealis.llm.toxicity import TermCache, fit_toxicity, text_terms, toxicity_filter, toxicity_scores
 
@@ -71,6 +72,22 @@ def test_toxic_only_in_pairs():
     assert [int(s >= 0.5) for s in scores] == [x for _, x in rows[1000:]]
 
 
+def test_sums_around_words(monkeypatch):
+    """As by hand, and without a pattern for words of letters with one mark or digit behind."""
+    texts = ["The cat, the dog", "", "a b c d e f the cat, Cat1 the", "the"]
+    index, total = quality_model.index_vectors().astype(int), np.zeros((quality_model.BUCKETS, quality_model.DIMENSIONS), int)
+    for words in map(str.split, texts):
+        for i, w in enumerate(words):
+            near = sum(index[list(quality_model.word_buckets(x))].sum(axis=0) for x in words[max(0, i - 2) : i + 3])
+            for b in quality_model.word_buckets(w):
+                total[b] += near
+    monkeypatch.setattr(quality_model, "_CORE", None)
+    sums = quality_model.ContextSums()
+    sums.add(texts[:3])
+    sums.add(texts[3:])
+    assert (sums.total == total).all()
+
+
 def test_memory_of_the_fit():
     """The driver has 1.5 GB for all; the fit takes less than seven times the bytes of its terms."""
     rng = np.random.default_rng(3)
