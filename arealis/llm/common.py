@@ -11,9 +11,14 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from arealis.scratch import stored
+
 #: The white space of every word-based contract here, as a Java character class.
 SPACE = r"[\x20\x09-\x0D]"
 
+#: Bits that stand for keys in ``may_match``.
+MARKS = 1 << 22
+
 #: Bytes of text that a Python worker looks at in one step; Spark bounds the bytes of its batches.
 STEP_BYTES = 4_000_000
 
@@ -75,6 +80,20 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def may_match(rows: DataFrame, key: Column, keyed: DataFrame, keyed_key: Column) -> DataFrame:
+    """Adds ``__may``: false only where no row of ``keyed`` has this 64-bit key, so that the others need no shuffle.
+
+    The bits of the keys, a table of at most ``MARKS`` / 64 rows whatever the input, are broadcast; the more keys there
+    are, the more rows are let through.
+    """
+    bit = F.pmod(keyed_key, F.lit(MARKS))
+    bits = keyed.select(bit.alias("_bit")).groupBy(F.shiftright("_bit", 6).alias("__word"))
+    bits = stored(bits.agg(F.bit_or(F.expr("shiftleft(1L, int(_bit & 63))")).alias("__bits")), "marks", keep=True)
+    marked = rows.withColumn("__bit", F.pmod(key, F.lit(MARKS))).withColumn("__word", F.shiftright("__bit", 6))
+    may = F.expr("coalesce(shiftrightunsigned(__bits, int(__bit & 63)) & 1, 0) = 1")
+    return marked.join(F.broadcast(bits), "__word", "left").withColumn("__may", may).drop("__bit", "__bits", "__word")
+
+
 def spread_join(rows: DataFrame, keyed: DataFrame, keys: list[str], by: list[str]) -> DataFrame:
     """Inner join of rows with one row for each of their keys, where ``keyed._n`` counts the rows of a key.
 

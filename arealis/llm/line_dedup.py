@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from arealis.llm.common import SPACE, free_name, spread_join
+from arealis.llm.common import SPACE, free_name, may_match, spread_join
 from arealis.scratch import scratch, stored
 
 #: Runs with fewer words are left alone: headings, licences and the like repeat by nature.
@@ -158,7 +158,10 @@ def line_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
         left = stored(kept_ranges(spans), "left", keep=True).select(F.col("id").alias("__id"), F.col("h").alias("__h"), "ranges", "tail")
     left = left.select("__id", "__h", F.struct("ranges", "tail").alias("__left"))
     keyed = docs.withColumn("__key", F.xxhash64(text_column))
-    joined = keyed.join(left, F.col(id_column).eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__h")), "left")
+    # Texts that nothing is deleted from stay where they are, but for those that share a mark with another.
+    marked = may_match(keyed, F.xxhash64(id_column, "__key"), left, F.xxhash64("__id", "__h"))
+    joined = marked.where("__may").join(left, F.col(id_column).eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__h")), "left")
+    joined = joined.unionByName(marked.where("NOT __may"), allowMissingColumns=True)
 
     def remaining(lines: Column) -> Column:
         between = F.transform("__left.ranges", lambda r: F.slice(lines, r["from"] + 1, r["to"] - r["from"]))

@@ -1,5 +1,6 @@
 import random
 
+from arealis.llm import common
 from arealis.llm.line_dedup import line_dedup
 
 
@@ -62,3 +63,17 @@ def test_null_ids_sort_first(spark):
 
 def test_empty_table(spark):
     assert line_dedup(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_texts_without_deletions_are_not_shuffled(spark, monkeypatch):
+    """Few marks let others through, which changes no row."""
+    run = "\n".join(f"line {k} of a run that is repeated in other texts" for k in range(8))
+    rows = [(k, f"own {k}\n{run}\nmore {k}" if k < 4 else f"alone {k}", "x") for k in range(60)] + [(None, f"{run}", "y"), (70, None, "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = line_dedup(docs)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan and "__may" not in got.columns
+    want = sorted(map(str, got.collect()))
+    assert len(want) == 62 and sum(r["n_deleted"] > 0 for r in got.collect()) == 4
+    monkeypatch.setattr(common, "MARKS", 64)
+    assert sorted(map(str, line_dedup(docs).collect())) == want
