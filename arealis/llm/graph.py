@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from arealis.llm.common import spread_join
 from arealis.scratch import stored
 
 
@@ -28,3 +29,16 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         labels = step.select("node", "component")
         if step.where("component <> old").isEmpty():
             return labels
+
+
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Columns node and component after further links (a, b), which join the components known so far and new nodes."""
+    for end in ("a", "b"):
+        links = links.join(labels.select(F.col("node").alias(end), F.col("component").alias(f"_{end}")), end, "left")
+    ends = links.select(F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b"))
+    moved = components(stored(ends.where("a <> b").distinct(), "between"))
+    to = moved.select(F.col("node").alias("component"), F.col("component").alias("to"))
+    sizes = labels.groupBy("component").agg(F.count("*").alias("_n")).join(to, "component", "left")
+    sizes = stored(sizes.select("component", F.coalesce("to", "component").alias("to"), "_n"), "moved")
+    known = spread_join(labels, sizes, ["component"], ["node"]).select("node", F.col("to").alias("component"))
+    return stored(known.unionByName(moved.join(labels.select("node"), "node", "left_anti")), "labels")

@@ -47,8 +47,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arealis.llm.common import small_batches, spread_join
-from arealis.llm.graph import components
+from arealis.llm.common import may_match, small_batches, spread_join
+from arealis.llm.graph import components, merged
 from arealis.scratch import release, scratch, stored
 
 WORDS, NUMERATOR, DENOMINATOR = 5, 80, 100
@@ -436,7 +436,8 @@ def _arrays(docs: DataFrame, needed: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], ["sid", "data"])
 
     named = stored(needed.select(F.col("rep.id").alias("_id"), F.col("rep.h").alias("_h"), "sid", "one", "two"), "named")
-    joined = docs.join(named, F.col("id").eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_h")))
+    few = may_match(docs, F.xxhash64("id", "h"), named, F.xxhash64("_id", "_h")).where("__may")  # the other texts are not shuffled
+    joined = few.join(named, F.col("id").eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_h")))
     return joined.select("text", "sid", "one", "two").mapInArrow(run, "sid long, data binary").dropDuplicates(["sid"])
 
 
@@ -585,20 +586,16 @@ def similar_sets(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     release(spark)
     near = pairs.where("near").select("a", "b")
     # First a pair for each set, which joins most of what belongs together, then the pairs that are still apart.
-    links = stored(_verified(near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), arrays), "links")
-    labels = components(links)
-    links = stored(links.unionByName(_verified(_apart(near, labels), arrays)), "links")
-    labels = components(links)
+    labels = components(stored(_verified(near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), arrays), "links"))
+    labels = merged(labels, stored(_verified(_apart(near, labels), arrays), "links"))
     release(spark)
     covers = stored(_covers(pairs), "covers")
     members = _open(covers, labels, sets)
-    links = stored(links.unionByName(_within(members, arrays)), "links")
-    labels = components(links)
+    labels = merged(labels, stored(_within(members, arrays), "links"))
     wide = members.where("blocks > 1").select("cover").distinct()
     if not wide.isEmpty():
         members = _open(covers.join(wide, "cover"), labels, sets)
-        links = stored(links.unionByName(_between(members, arrays)), "links")
-        labels = components(links)
+        labels = merged(labels, stored(_between(members, arrays), "links"))
     release(spark)
     of_sets = sets.join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
     return rows, stored(of_sets.select("one", "two", "sid", "rep", "least", "component", "_n"), "labelled")

@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pyarrow as pa
 
+from arealis.llm.graph import components, merged
 from arealis.llm.jaccard import jaccard_components, joining_links, most_different, one_of_each, shingle_sets, signatures, sketch, sketch_difference
 
 
@@ -135,3 +136,11 @@ def test_words_are_cut_at_the_named_bytes():
     sets = list(shingle_sets(pa.array(texts)))
     assert [len(s) for s in sets] == [2, 1, 1, 0, 0, 2, 2]
     assert (sets[0] == sets[5]).all() and sets[1][0] != sets[2][0]
+
+
+def test_components_after_further_links(spark):
+    frame = lambda rows: spark.createDataFrame(rows, "a long, b long")
+    first, more = [(5, 6), (6, 7), (8, 9)], [(7, 9), (6, 8), (9, 3), (20, 21), (21, 21)]
+    got = {r["node"]: r["component"] for r in merged(components(frame(first)), frame(more)).collect()}
+    assert got == {3: 3, 5: 3, 6: 3, 7: 3, 8: 3, 9: 3, 20: 20, 21: 20}
+    assert {r["node"]: r["component"] for r in merged(components(frame(first)), frame([])).collect()} == {5: 5, 6: 5, 7: 5, 8: 8, 9: 8}
