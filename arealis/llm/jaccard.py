@@ -20,8 +20,9 @@ similar set could agree on no other.
    sets; links make components.
 3. Sets with the same center of a star are a cover. Covers that still hold
    several components are dealt into blocks of bounded size; a task compares the
-   sketches of a block as a matrix product and verifies the closest pairs first,
-   until its components are one. Covers of several blocks that are open after
+   sketches of a block as a matrix product, first the short ones of all members,
+   then those made from the sets that may still link, and verifies the closest
+   pairs first, until its components are one. Covers of several blocks that are open after
    this have each block packed into one row, and each two blocks compared.
 
 A signature with very many sets is met by its local least members: each map
@@ -245,9 +246,11 @@ def _sets(docs: DataFrame) -> DataFrame:
 #
 # Here a set is the first half of its name; sets that share it, if there are any, are told apart when pairs are joined
 # with the sets. Blobs hold the signatures of one range of a task's sets, six bytes each, with places in a list of
-# names; a blob without signatures is a star.
+# names; a blob without signatures is a star. A range is what one task reads, as the list is repeated for each; the task
+# groups one slice of it after the other.
 
 _LEADS = np.uint16(1 << 15)  # marks a place whose set stands for a star of its task
+SLICES = 4
 #: Kinds of candidates: a pair, a star around the least of a group, and a star of one map task.
 PAIR, STAR, LOCAL = range(3)
 
@@ -260,6 +263,24 @@ def _new(*columns: np.ndarray) -> np.ndarray:
     return out
 
 
+def _packed(x: np.ndarray, ascending: bool = False) -> bytes:
+    """Numbers (or their steps, if they ascend) by place of their bytes, so that equal bytes lie together, compressed."""
+    if ascending:
+        x = np.diff(x, prepend=x.dtype.type(0))
+    return pa.compress(x.view(np.uint8).reshape(-1, x.itemsize).T.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked(raw: bytes, n: int, kind: type, ascending: bool = False) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    planes = np.frombuffer(pa.decompress(raw, n * width, codec="zstd", asbytes=True), np.uint8).reshape(width, n)
+    x = np.ascontiguousarray(planes.T).view(kind).reshape(n)
+    return np.cumsum(x, dtype=kind) if ascending else x
+
+
+def _range(sigs: np.ndarray, ranges: int) -> np.ndarray:
+    return ((sigs >> U(32)) * U(ranges) >> U(32)).astype(np.int64)
+
+
 def _flush(sigs: list[np.ndarray], names: np.ndarray, parts: int) -> Iterator[pa.RecordBatch]:
     by_name = np.argsort(names)
     names, place = names[by_name], np.empty(len(by_name), dtype=np.uint16)
@@ -279,19 +300,20 @@ def _flush(sigs: list[np.ndarray], names: np.ndarray, parts: int) -> Iterator[pa
 
     def blob(part: int, sigs: bytes, at: np.ndarray, marks: np.ndarray) -> None:
         used, local = np.unique(at, return_inverse=True)
-        rows.append((part, sigs, (local.astype(np.uint16).reshape(at.shape) | marks).tobytes(), names[used].tobytes()))
+        places = local.astype(np.uint16).reshape(-1) | marks
+        rows.append((part, len(places), len(used), sigs, _packed(places), _packed(names[used].view(U), True)))
 
-    cuts = np.searchsorted(((sig >> U(32)) * U(parts) >> U(32)).astype(np.int64), np.arange(parts + 1))
-    raw = sig.view(np.uint8).reshape(-1, 8)[:, 2:]
+    cuts = np.searchsorted(_range(sig, parts), np.arange(parts + 1))
     for p in np.flatnonzero(cuts[1:] > cuts[:-1]):
         mine = entry[cuts[p] : cuts[p + 1]]
-        blob(int(p), raw[cuts[p] : cuts[p + 1]].tobytes(), mine & ~_LEADS, mine & _LEADS)
+        blob(int(p), _packed(sig[cuts[p] : cuts[p + 1]] >> U(16), True), mine & ~_LEADS, mine & _LEADS)
     part = (mix(names[stars[:, 0]].view(U)) % U(parts)).astype(np.int64)
     for p in np.unique(part):
         blob(int(p), b"", stars[part == p], np.uint16(0))
     for k in range(0, len(rows), ROWS):
         columns = list(zip(*rows[k : k + ROWS]))
-        yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])], ["part", "sigs", "at", "names"])
+        made = [pa.array(c, pa.int32()) for c in columns[:3]] + [pa.array(c, pa.binary()) for c in columns[3:]]
+        yield pa.RecordBatch.from_arrays(made, ["part", "n", "k", "sigs", "at", "names"])
 
 
 def _signed(docs: DataFrame, parts: int) -> DataFrame:
@@ -316,7 +338,7 @@ def _signed(docs: DataFrame, parts: int) -> DataFrame:
         if sigs:
             yield from _flush(sigs, np.array(names, dtype=np.int64), parts)
 
-    return docs.select("text").mapInArrow(run, "part int, sigs binary, at binary, names binary")
+    return docs.select("text").mapInArrow(run, "part int, n int, k int, sigs binary, at binary, names binary")
 
 
 def _group(sig: np.ndarray, names: np.ndarray, leads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -356,32 +378,24 @@ def _candidates(blobs: DataFrame, parts: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), kind, np.int32)), pa.array(some[:, 0]), pa.array(some[:, 1])], ["kind", "a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        now = None
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            if held:
-                pairs, stars = _group(*(np.concatenate(c) for c in zip(*held)))
-                held.clear()
-                yield from rows(PAIR, pairs)
-                yield from rows(STAR, stars)
-
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
         for batch in batches:
-            for part, sigs, at, names in zip(*(c.to_pylist() for c in batch.columns)):
-                if part != now:
-                    yield from flush()
-                    now = part
-                names, at = np.frombuffer(names, np.int64), np.frombuffer(at, np.uint16)
+            for part, n, k, sigs, at, names in zip(*(c.to_pylist() for c in batch.columns)):
+                at, names = _unpacked(at, n, np.uint16), _unpacked(names, k, U, True).view(np.int64)
                 if sigs:
-                    sig = np.zeros((len(at), 8), dtype=np.uint8)
-                    sig[:, 2:] = np.frombuffer(sigs, np.uint8).reshape(-1, 6)
-                    held.append((sig.view(U)[:, 0], names[at & ~_LEADS], at >= _LEADS))
+                    sig = _unpacked(sigs, n, U, True) << U(16)
+                    held.append((sig, at, names, np.searchsorted(_range(sig, parts * SLICES), part * SLICES + np.arange(SLICES + 1))))
                 else:
                     yield from rows(LOCAL, names[at].reshape(-1, 2))
-        yield from flush()
+        for k in range(SLICES if held else 0):
+            slices = [(sig[c[k] : c[k + 1]], at[c[k] : c[k + 1]], names) for sig, at, names, c in held]
+            sig, names, leads = (np.concatenate(x) for x in zip(*((sig, names[at & ~_LEADS], at >= _LEADS) for sig, at, names in slices)))
+            if len(sig):
+                pairs, stars = _group(sig, names, leads)
+                yield from rows(PAIR, pairs)
+                yield from rows(STAR, stars)
 
-    dealt = blobs.repartition(max(1, parts // 4), "part").sortWithinPartitions("part")
-    return dealt.mapInArrow(run, "kind int, a long, b long")
+    return blobs.repartitionById(parts, F.col("part")).mapInArrow(run, "kind int, a long, b long")
 
 
 # --- Pairs to links ----------------------------------------------------------
@@ -430,15 +444,21 @@ def _arrays(docs: DataFrame, needed: DataFrame) -> DataFrame:
     """The sets themselves of the needed (sid, rep), from the text of one document each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
             wanted = zip(*(batch.column(c).to_pylist() for c in (1, 2, 3)))
-            rows = [(sid, s.tobytes()) for (sid, *names), s in zip(wanted, shingle_sets(batch.column(0))) if len(s) and fingerprint(s) == tuple(names)]
+            rows = {sid: s.tobytes() for (sid, *names), s in zip(wanted, shingle_sets(batch.column(0))) if sid not in seen and len(s) and fingerprint(s) == tuple(names)}
+            seen.update(rows)
+            rows = list(rows.items())
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], ["sid", "data"])
 
     named = stored(needed.select(F.col("rep.id").alias("_id"), F.col("rep.h").alias("_h"), "sid", "one", "two"), "named")
     few = may_match(docs, F.xxhash64("id", "h"), named, F.xxhash64("_id", "_h")).where("__may")  # the other texts are not shuffled
     joined = few.join(named, F.col("id").eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_h")))
-    return joined.select("text", "sid", "one", "two").mapInArrow(run, "sid long, data binary").dropDuplicates(["sid"])
+    arrays = stored(joined.select("text", "sid", "one", "two").mapInArrow(run, "sid long, data binary"), "arrays")
+    n = arrays.agg(F.count("*").alias("rows"), F.countDistinct("sid").alias("sets")).first()
+    # Only rows equal in id and text can meet in several tasks; the sets are not shuffled where there are none.
+    return arrays if n["rows"] == n["sets"] else stored(arrays.dropDuplicates(["sid"]), "arrays")
 
 
 # --- Covers to links ---------------------------------------------------------
@@ -491,19 +511,60 @@ def _covers(pairs: DataFrame) -> DataFrame:
     """Columns cover and sid: all sets of groups with the same least member, their local stars included."""
     star, local = pairs.where("star").select("a", "b"), pairs.where("local").select("a", "b")
     through = star.join(local.select(F.col("a").alias("b"), F.col("b").alias("far")), "b").select("a", F.col("far").alias("b"))
-    rows = star.unionByName(local).unionByName(through)
-    return rows.unionByName(rows.select("a", F.col("a").alias("b"))).distinct().select(F.col("a").alias("cover"), F.col("b").alias("sid"))
+    rows = star.unionByName(local)
+    return rows.unionByName(rows.select("a", F.col("a").alias("b"))).unionByName(through).distinct().select(F.col("a").alias("cover"), F.col("b").alias("sid"))
 
 
 def _open(covers: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
-    """Members (cover, sid, component, blocks, mine) of the covers that hold several components, dealt over blocks."""
+    """Members (cover, sid, component, blocks, mine, n, sketch) of the covers that hold several components, dealt over blocks."""
     members = covers.join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
-    members = stored(members.join(sets.select("sid", "n"), "sid"), "members")
+    members = stored(members.join(sets.select("sid", "n", "sketch"), "sid"), "members")
     sizes = members.groupBy("cover").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("_n"), F.sum("n").alias("elements"))
     blocks = F.ceil(F.greatest(F.col("_n") / BLOCK, F.col("elements") * 8 / BLOCK_BYTES)).cast("int")
     sizes = stored(sizes.where("x <> y").select("cover", "_n", blocks.alias("blocks")), "sizes")
     dealt = spread_join(members, sizes, ["cover"], ["sid"])
-    return stored(dealt.select("cover", "sid", "component", "blocks", F.pmod(F.xxhash64(F.lit(3), "sid"), F.col("blocks")).cast("int").alias("mine")), "open")
+    mine = F.pmod(F.xxhash64(F.lit(3), "sid"), F.col("blocks")).cast("int").alias("mine")
+    return stored(dealt.select("cover", "sid", "component", "blocks", mine, "n", "sketch"), "open")
+
+
+def contested(n: np.ndarray, component: np.ndarray, sketches: list[bytes]) -> np.ndarray:
+    """Which sets may link with a set of another component, as far as sketches tell; longer ones are folded to the shortest."""
+    least = min(map(len, sketches)) * 8
+    x = np.zeros((len(sketches), least), dtype=np.float32)
+    for row, v in zip(x, sketches):
+        row[:] = np.bitwise_xor.reduce(np.unpackbits(np.frombuffer(v, np.uint8), bitorder="little").reshape(least, -1), axis=1)
+    total, out = x.sum(axis=1), np.zeros(len(n), dtype=bool)
+    for start in range(0, len(n), STRIP):
+        part = slice(start, start + STRIP)
+        most = most_different(n[part, None], n[None, :])
+        near = (total[part, None] + total[None, :] - 2 * (x[part] @ x.T) <= most) & (abs(n[part, None] - n[None, :]) <= most)
+        out[part] = (near & (component[part, None] != component[None, :])).any(axis=1)
+    return out
+
+
+def _contested(members: DataFrame) -> DataFrame:
+    """The members (cover, mine, sid, component) of a block that may link with one of another component; the sets of the others need not be read."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, rows = None, []
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            if len(rows) > 1:
+                sid, component, n, sketches = zip(*rows)
+                some = np.flatnonzero(contested(np.array(n), np.array(component), list(sketches)))
+                columns = [np.full(len(some), now[0]), np.full(len(some), now[1], np.int32), np.array(sid)[some], np.array(component)[some]]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["cover", "mine", "sid", "component"])
+
+        for batch in batches:
+            for cover, mine, *row in zip(*(c.to_pylist() for c in batch.columns)):
+                if (cover, mine) != now:
+                    yield from flush()
+                    now, rows = (cover, mine), []
+                rows.append(tuple(row))
+        yield from flush()
+
+    dealt = members.select("cover", "mine", "sid", "component", "n", "sketch").repartition("cover", "mine").sortWithinPartitions("cover", "mine")
+    return stored(dealt.mapInArrow(run, "cover long, mine int, sid long, component long"), "contested")
 
 
 def _within(members: DataFrame, arrays: DataFrame) -> DataFrame:
@@ -555,7 +616,7 @@ def _ends(pairs: DataFrame) -> DataFrame:
 def _pairs(source: DataFrame, sets: DataFrame) -> DataFrame:
     """Candidates (a, b, star, local, near) by set numbers: pairs that the sketches do not exclude, and stars."""
     elements = sets.agg(F.sum("n")).first()[0] or 0
-    parts = max(4 * int(source.sparkSession.conf.get("spark.sql.shuffle.partitions")), elements * 2 // STEP)
+    parts = max(int(source.sparkSession.conf.get("spark.sql.shuffle.partitions")), elements * 2 // (STEP * SLICES), 1)
     found = _candidates(_signed(source, parts), parts)
     found = found.groupBy("a", "b").agg(*(F.max(F.col("kind") == k).alias(name) for k, name in ((STAR, "star"), (LOCAL, "local"))))
     left = sets.select(F.col("one").alias("a"), F.col("sid").alias("i"), "n", F.col("sketch").alias("x"))
@@ -582,7 +643,7 @@ def similar_sets(docs: DataFrame, id_column: str = "doc_id", text_column: str =
 
     pairs = _pairs(source, sets)
     release(spark)
-    arrays = stored(_arrays(source, sets.join(_ends(pairs), "sid").select("sid", "rep", "one", "two")), "arrays")
+    arrays = _arrays(source, sets.join(_ends(pairs), "sid").select("sid", "rep", "one", "two"))
     release(spark)
     near = pairs.where("near").select("a", "b")
     # First a pair for each set, which joins most of what belongs together, then the pairs that are still apart.
@@ -591,7 +652,7 @@ def similar_sets(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     release(spark)
     covers = stored(_covers(pairs), "covers")
     members = _open(covers, labels, sets)
-    labels = merged(labels, stored(_within(members, arrays), "links"))
+    labels = merged(labels, stored(_within(_contested(members), arrays), "links"))
     wide = members.where("blocks > 1").select("cover").distinct()
     if not wide.isEmpty():
         members = _open(covers.join(wide, "cover"), labels, sets)

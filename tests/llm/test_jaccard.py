@@ -4,7 +4,9 @@ import numpy as np
 import pyarrow as pa
 
 from arealis.llm.graph import components, merged
-from arealis.llm.jaccard import jaccard_components, joining_links, most_different, one_of_each, shingle_sets, signatures, sketch, sketch_difference
+from arealis.llm.jaccard import (
+    _covers, _flush, _packed, _unpacked, contested, jaccard_components, joining_links, most_different, one_of_each, shingle_sets, signatures, sketch, sketch_difference,
+)
 
 
 def shingles(text):
@@ -111,6 +113,47 @@ def test_links_between_blocks():
     assert set(got) <= set(every) and parts(got) == parts(every) and len(set(parts(every).values())) > 1
 
 
+def test_members_that_may_link_with_another_component():
+    rng = np.random.default_rng(3)
+    base, sets = rng.integers(0, 1 << 64, 300, dtype=np.uint64), []
+    for k in range(200):
+        own = [base, rng.integers(0, 1 << 64, 300, dtype=np.uint64)][k % 2]
+        lost = int(rng.integers(0, 60))
+        sets.append(np.unique(np.r_[rng.permutation(own)[lost:], rng.integers(0, 1 << 64, int(rng.integers(0, lost + 1)), dtype=np.uint64)]))
+    n, component = np.array([len(s) for s in sets]), np.arange(200) // 4
+    got = contested(n, component, [sketch(s) for s in sets])
+    near = lambda a, b: (both := len(np.intersect1d(a, b))) * 100 >= 80 * (len(a) + len(b) - both)
+    must = [any(component[i] != component[j] and near(sets[i], sets[j]) for j in range(200)) for i in range(200)]
+    assert len({len(sketch(s)) for s in sets}) > 1 and sum(must) > 50
+    assert got[must].all() and got.sum() <= 110  # the sets without any near copy are left out
+
+
+def test_signatures_take_few_bytes_whatever_the_ranges():
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.integers(0, 1 << 64, 500, dtype=np.uint64)) for _ in range(300)]
+    sigs = [signatures(s) for s in sets]
+    total, n = sum(map(len, sigs)), 0
+    for batch in _flush(sigs, np.arange(300) * (1 << 54), 12):
+        n += sum(len(x) for c in batch.columns if pa.types.is_binary(c.type) for x in c.to_pylist())
+    assert n < 7 * total
+    for x, up in ((np.sort(sigs[0] >> np.uint64(16)), True), (np.array([3, 1, 1 << 15], np.uint16), False), (np.array([-5, 7, 1 << 62]).view(np.uint64), True)):
+        assert (_unpacked(_packed(x, up), len(x), x.dtype.type, up) == x).all()
+
+
+def test_members_through_local_stars_are_joined_once(spark):
+    pairs = spark.createDataFrame([(1, 2, True, False), (2, 5, False, True), (2, 6, False, True), (3, 4, False, False)], "a long, b long, star boolean, local boolean")
+    covers = _covers(pairs)
+    assert sorted(map(tuple, covers.collect())) == [(1, 1), (1, 2), (1, 5), (1, 6), (2, 2), (2, 5), (2, 6)]
+    assert covers._jdf.queryExecution().optimizedPlan().toString().count("Join Inner") == 1
+
+
+def test_rows_equal_in_id_and_text(spark):
+    words = [f"w{k}" for k in range(40)]
+    rows = [(1, " ".join(words))] * 30 + [(2, " ".join(words[:-1]))] * 30
+    got = jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(7)).collect()
+    assert sorted(map(tuple, got)) == [(1, 36, 1)] * 30 + [(2, 35, 1)] * 30
+
+
 def test_empty_table(spark):
     assert jaccard_components(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
