@@ -9,9 +9,9 @@ words' vectors. A two-layer network turns that into a logit, which a
 temperature, fitted on rows kept apart, makes a calibrated probability.
 
 Network and temperature are fitted on at most ``sample_rows`` labelled rows, the
-first by a hash of their id; only their pooled vectors, of fixed size, reach the
-driver. With fewer than ``LEAST_APART`` rows kept apart the temperature is 1.
-Vectors and scores read every whole text.
+first by a hash of their id, in one task; the driver gets what is fitted. With
+fewer than ``LEAST_APART`` rows kept apart the temperature is 1. Vectors and
+scores read every whole text.
 
 Defined results: a null or empty text has a zero vector and gets the score of
 that; with no labelled row, or one class only, every score is the share of
@@ -23,11 +23,15 @@ text are read from the documents.
 
 from __future__ import annotations
 
+import os
+import pickle
 import re
 import string
+import traceback
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from typing import TypeVar
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +51,8 @@ PACK = float(1 << 26)
 #: Words that a worker keeps the vectors of.
 CACHE_WORDS = 300_000
 
+T = TypeVar("T")
+
 _CORE = re.compile(r"[^\W\d_]+")
 _ENDS = frozenset(string.digits + string.punctuation)  # of most words that are not letters alone
 _SAME, _SHAPES, _MARKS = 0, 1, 64  # buckets below 512 stand for the shape of a word, not for its letters
@@ -297,27 +303,67 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held_
     return docs.select(F.col(id_column).alias("_id"), F.col(text_column).alias("_text")).join(F.broadcast(chosen), "_id")
 
 
-def features_of(rows: DataFrame, compute: Callable[[list[str]], list[bytes]], most_rows: int, most_bytes: int) -> list[tuple[bytes, int]]:
-    """Features, made in tasks, and labels of the first rows by a hash of the id, within both bounds."""
+def _in_child(fit: Callable[[list[tuple[bytes, int]]], T], sample: list[tuple[bytes, int]]) -> bytes:
+    """What ``fit`` makes of the sample, pickled, by a process that ends: the worker is used again and would keep the memory."""
+    read, write = os.pipe()
+    child = os.fork()
+    if not child:
+        try:
+            os.close(read)
+            with os.fdopen(write, "wb") as out:
+                pickle.dump(fit(sample), out)
+            os._exit(0)
+        except BaseException:
+            traceback.print_exc()
+        finally:
+            os._exit(1)
+    os.close(write)
+    with os.fdopen(read, "rb") as made:
+        raw = made.read()
+    if os.waitpid(child, 0)[1]:
+        raise RuntimeError("the fit failed; its error is in the worker's log")
+    return raw
+
+
+def fit_in_task(rows: DataFrame, compute: Callable[[list[str]], list[bytes]], fit: Callable[[Iterable[tuple[bytes, int]]], T], most_rows: int, most_bytes: int) -> T:
+    """What ``fit`` makes of the features and labels of the first rows by a hash of the id, within both bounds.
+
+    Features are made in tasks and the fit is one task's, as the driver has little room.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = [x for texts in by_bytes(batch.column(1)) for x in compute(texts)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(made, pa.binary())], ["place", "label", "features"])
 
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def sample() -> Iterator[tuple[bytes, int]]:
+            size = 0
+            for batch in batches:
+                for features, label in zip(*batch.columns):
+                    size += len(features.as_py())
+                    if size > most_bytes:
+                        continue  # the rest is read, as the worker's input must be
+                    yield features.as_py(), label.as_py()
+
+        yield pa.RecordBatch.from_arrays([pa.array([_in_child(fit, list(sample()))], pa.binary())], ["model"])
+
     with scratch(rows.sparkSession):
         found = rows.select(F.xxhash64("_id").alias("place"), "_text", "_label").mapInArrow(run, "place long, label int, features binary")
-        found = stored(found, "features")
-        order = [F.col("place"), F.xxhash64("features")]
-        sizes = found.select("place", F.length("features").alias("n")).orderBy(*order).limit(most_rows).collect()
-        total = np.cumsum([r["n"] for r in sizes])
-        n = int((total <= most_bytes).sum())
-        first = found.orderBy(*order).limit(n).collect()[::-1] if n else []
-        out = []
-        while first:  # a row is let go before the next is copied
-            row = first.pop()
-            out.append((bytes(row["features"]), row["label"]))
-        return out
+        first = stored(found, "features").orderBy("place", F.xxhash64("features")).limit(most_rows)
+        models = first.select("features", "label").mapInArrow(learn, "model binary").collect()
+        return pickle.loads(models[0]["model"]) if models else fit(())
+
+
+def fit_pooled(sample: Iterable[tuple[bytes, int]]) -> Network | float:
+    """The network, or the share of label 1 if that is all there is to learn."""
+    x, y = [], []
+    for features, label in sample:
+        x.append(np.frombuffer(features, np.float32))
+        y.append(label)
+    if len(set(y)) < 2:
+        return float(np.mean(y)) if y else 1.0
+    return fit_network(np.stack(x), np.array(y))
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, sample_rows: int, id_column: str, text_column: str) -> QualityModel:
@@ -328,11 +374,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample_rows: int, id_column:
         return [x.tobytes() for x in Pooler(shared.value).batch(texts)]
 
     rows = labelled(docs, labels, "quality", 4, 2, sample_rows, id_column, text_column)
-    sample = features_of(rows, pooled, sample_rows, sample_rows * (2 * DIMENSIONS + 2) * 4)
-    y = np.array([k for _, k in sample])
-    if not len(y) or y.min() == y.max():
-        return QualityModel(vectors, None, float(y.mean()) if len(y) else 1.0)
-    return QualityModel(vectors, fit_network(np.stack([np.frombuffer(x, np.float32) for x, _ in sample]), y))
+    learned = fit_in_task(rows, pooled, fit_pooled, sample_rows, sample_rows * (2 * DIMENSIONS + 2) * 4)
+    return QualityModel(vectors, learned) if isinstance(learned, Network) else QualityModel(vectors, None, learned)
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, threshold: float = 0.7, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

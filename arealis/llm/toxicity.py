@@ -10,8 +10,8 @@ that two terms that are harmless alone can count together. (With all terms as
 inputs the machine learns its sample by heart: the README has figures.)
 
 The machine is fitted on at most ``sample_rows`` labelled rows and
-``SAMPLE_BYTES`` of their terms, the first by a hash of their id; only terms
-reach the driver. Rows with equal terms count once, toxic if half of them are.
+``SAMPLE_BYTES`` of their terms, the first by a hash of their id, in one task;
+the driver gets the machine. Rows with equal terms count once, toxic if half of them are.
 Scoring reads every whole text.
 
 Defined results: a null or empty text has no terms and gets the machine's
@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arealis.llm.common import is_fold
-from arealis.llm.quality_model import features_of, filtered, labelled, with_scores
+from arealis.llm.quality_model import filtered, fit_in_task, labelled, with_scores
 
 #: Bounds of the fit, and factors of the machine.
 SAMPLE_ROWS, SAMPLE_BYTES, FACTORS = 8000, 1 << 28, 8
@@ -251,9 +251,14 @@ def fit_toxicity(sample: Iterable[tuple[np.ndarray, int]], epochs: int = 30, bat
 
 def _fitted(docs: DataFrame, labels: DataFrame, sample_rows: int, id_column: str, text_column: str) -> FactorizationMachine:
     rows = labelled(docs, labels, "toxic", 5, 0, sample_rows, id_column, text_column)
-    sample = features_of(rows, lambda texts: [text_terms(t).tobytes() for t in texts], sample_rows, SAMPLE_BYTES)
-    sample.reverse()
-    return fit_toxicity((np.frombuffer(x, np.uint32), label) for x, label in iter(lambda: sample.pop() if sample else None, None))
+
+    def terms(texts: list[str]) -> list[bytes]:
+        return [text_terms(t).tobytes() for t in texts]
+
+    def fit(sample: Iterable[tuple[bytes, int]]) -> FactorizationMachine:
+        return fit_toxicity((np.frombuffer(x, np.uint32), label) for x, label in sample)
+
+    return fit_in_task(rows, terms, fit, sample_rows, SAMPLE_BYTES)
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, threshold: float = 0.5, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
