@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -39,6 +40,14 @@ def no_collection() -> Iterator[None]:
             gc.enable()
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a worker waits for its next task with all that its last one has held."""
+    gc.collect()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's
+    if trim:
+        trim(0)
+
+
 @contextmanager
 def small_batches(spark: SparkSession, size: str = "8m") -> Iterator[None]:
     """Inside, plans that run hand Python workers batches of this size at most; the session gets its setting back."""

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arealis.llm.common import by_bytes, is_fold, no_collection
+from arealis.llm.common import by_bytes, give_back, is_fold, no_collection
 from arealis.scratch import scratch, stored
 
 #: Bounds of the fit and the size of the model.
@@ -163,6 +163,8 @@ def corpus_vectors(docs: DataFrame, text_column: str) -> np.ndarray:
         blocks = range(0, BUCKETS, BLOCK)
         kind = np.int32 if np.abs(sums.total).max() < 1 << 31 else np.int64
         yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int32()), pa.array([sums.total[b : b + BLOCK].astype(kind).tobytes() for b in blocks], pa.binary())], ["block", "sums"])
+        del sums
+        give_back()
 
     def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[int, np.ndarray] = {}
@@ -347,6 +349,7 @@ def fit_in_task(rows: DataFrame, compute: Callable[[list[str]], list[bytes]], fi
                     yield features.as_py(), label.as_py()
 
         yield pa.RecordBatch.from_arrays([pa.array([_in_child(fit, list(sample()))], pa.binary())], ["model"])
+        give_back()
 
     with scratch(rows.sparkSession):
         found = rows.select(F.xxhash64("_id").alias("place"), "_text", "_label").mapInArrow(run, "place long, label int, features binary")
@@ -407,6 +410,8 @@ def filtered(docs: DataFrame, model, helper, keep, text_column: str) -> DataFram
         with no_collection():
             for batch in batches:
                 yield batch.filter(pa.array(keep(_scored(batch.column(place), model.value, cache)), pa.bool_()))
+        del cache
+        give_back()
 
     return docs.mapInArrow(run, docs.schema)
 
@@ -420,5 +425,7 @@ def with_scores(source: DataFrame, model, helper) -> DataFrame:
         with no_collection():
             for batch in batches:
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_scored(batch.column(1), model.value, cache), pa.float64())], ["_id", "score"])
+        del cache
+        give_back()
 
     return source.mapInArrow(run, f"_id {kind}, score double")
