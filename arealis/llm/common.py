@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import pyarrow as pa
@@ -48,6 +48,16 @@ def give_back() -> None:
         trim(0)
 
 
+def giving_back(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The function for ``mapInArrow``, whose worker gives back at its end what the task has held."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return task
+
+
 @contextmanager
 def small_batches(spark: SparkSession, size: str = "8m") -> Iterator[None]:
     """Inside, plans that run hand Python workers batches of this size at most; the session gets its setting back."""

@@ -48,7 +48,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arealis.llm.common import may_match, small_batches, spread_join
+from arealis.llm.common import giving_back, may_match, small_batches, spread_join
 from arealis.llm.graph import components, merged
 from arealis.scratch import release, scratch, stored
 
@@ -58,7 +58,7 @@ LEAST_K, SMALL = 8, 16
 #: Sets and bytes of sets in a block, and sets of one that are compared with the other in one step.
 BLOCK, BLOCK_BYTES, STRIP = 1024, 4_000_000, 128
 #: Bytes of text looked at together, signatures in one step, and rows of one batch.
-CHUNK, STEP, ROWS = 2_000_000, 1_000_000, 200
+CHUNK, STEP, ROWS = 500_000, 1_000_000, 200
 #: Sets in one step: a place among them and a mark fit into two bytes.
 STEP_SETS = 1 << 15
 
@@ -85,18 +85,19 @@ def _byte_tables() -> tuple[np.ndarray, np.ndarray]:
     return values, word
 
 
-_POWERS: list[np.ndarray] = []
+def _made_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    base = 0x9E3779B97F4A7C15 | 1
+    up, down = (np.full(n, x, dtype=U) for x in (base, pow(base, -1, 1 << 64)))
+    up[0] = down[0] = 1
+    return np.cumprod(up, dtype=U), np.cumprod(down, dtype=U)
+
+
+_kept_powers = lru_cache(maxsize=1)(_made_powers)
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd number and of its inverse, modulo 2 ** 64."""
-    if not _POWERS or len(_POWERS[0]) < n:
-        base = 0x9E3779B97F4A7C15 | 1
-        steps = [np.full(max(n, CHUNK), x, dtype=U) for x in (base, pow(base, -1, 1 << 64))]
-        for s in steps:
-            s[0] = 1
-        _POWERS[:] = [np.cumprod(s, dtype=U) for s in steps]
-    return _POWERS[0], _POWERS[1]
+    """Powers of an odd number and of its inverse, modulo 2 ** 64; those that only a longer text needs are not kept."""
+    return _kept_powers(CHUNK + 1) if n <= CHUNK + 1 else _made_powers(n)
 
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -239,7 +240,7 @@ def _sets(docs: DataFrame) -> DataFrame:
             made = [pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(n, pa.int64()), pa.array(sketches, pa.binary())]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *made], ["id", "h", "one", "two", "n", "sketch"])
 
-    return docs.mapInArrow(run, f"id {kind}, h long, one long, two long, n long, sketch binary")
+    return docs.mapInArrow(giving_back(run), f"id {kind}, h long, one long, two long, n long, sketch binary")
 
 
 # --- Signatures to groups ----------------------------------------------------
@@ -338,7 +339,7 @@ def _signed(docs: DataFrame, parts: int) -> DataFrame:
         if sigs:
             yield from _flush(sigs, np.array(names, dtype=np.int64), parts)
 
-    return docs.select("text").mapInArrow(run, "part int, n int, k int, sigs binary, at binary, names binary")
+    return docs.select("text").mapInArrow(giving_back(run), "part int, n int, k int, sigs binary, at binary, names binary")
 
 
 def _group(sig: np.ndarray, names: np.ndarray, leads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -395,7 +396,7 @@ def _candidates(blobs: DataFrame, parts: int) -> DataFrame:
                 yield from rows(PAIR, pairs)
                 yield from rows(STAR, stars)
 
-    return blobs.repartitionById(parts, F.col("part")).mapInArrow(run, "kind int, a long, b long")
+    return blobs.repartitionById(parts, F.col("part")).mapInArrow(giving_back(run), "kind int, a long, b long")
 
 
 # --- Pairs to links ----------------------------------------------------------
@@ -411,7 +412,7 @@ def _near(pairs: DataFrame) -> DataFrame:
             near = [abs(i - j) <= k and sketch_difference(u, v) <= k for i, j, k, u, v in zip(n, m, most, x, y)]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(near, pa.bool_())], [*names, "near"])
 
-    return pairs.select(*names, "n", "m", "x", "y").mapInArrow(run, "a long, b long, star boolean, local boolean, near boolean")
+    return pairs.select(*names, "n", "m", "x", "y").mapInArrow(giving_back(run), "a long, b long, star boolean, local boolean, near boolean")
 
 
 def _are_linked(u: np.ndarray, v: np.ndarray) -> bool:
@@ -437,7 +438,7 @@ def _verified(pairs: DataFrame, arrays: DataFrame) -> DataFrame:
     arrays = _only(arrays, _ends(pairs))
     left = arrays.select(F.col("sid").alias("a"), F.col("data").alias("x"))
     right = arrays.select(F.col("sid").alias("b"), F.col("data").alias("y"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(giving_back(run), "a long, b long")
 
 
 def _arrays(docs: DataFrame, needed: DataFrame) -> DataFrame:
@@ -455,7 +456,7 @@ def _arrays(docs: DataFrame, needed: DataFrame) -> DataFrame:
     named = stored(needed.select(F.col("rep.id").alias("_id"), F.col("rep.h").alias("_h"), "sid", "one", "two"), "named")
     few = may_match(docs, F.xxhash64("id", "h"), named, F.xxhash64("_id", "_h")).where("__may")  # the other texts are not shuffled
     joined = few.join(named, F.col("id").eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_h")))
-    arrays = stored(joined.select("text", "sid", "one", "two").mapInArrow(run, "sid long, data binary"), "arrays")
+    arrays = stored(joined.select("text", "sid", "one", "two").mapInArrow(giving_back(run), "sid long, data binary"), "arrays")
     n = arrays.agg(F.count("*").alias("rows"), F.countDistinct("sid").alias("sets")).first()
     # Only rows equal in id and text can meet in several tasks; the sets are not shuffled where there are none.
     return arrays if n["rows"] == n["sets"] else stored(arrays.dropDuplicates(["sid"]), "arrays")
@@ -564,7 +565,7 @@ def _contested(members: DataFrame) -> DataFrame:
         yield from flush()
 
     dealt = members.select("cover", "mine", "sid", "component", "n", "sketch").repartition("cover", "mine").sortWithinPartitions("cover", "mine")
-    return stored(dealt.mapInArrow(run, "cover long, mine int, sid long, component long"), "contested")
+    return stored(dealt.mapInArrow(giving_back(run), "cover long, mine int, sid long, component long"), "contested")
 
 
 def _within(members: DataFrame, arrays: DataFrame) -> DataFrame:
@@ -587,7 +588,7 @@ def _within(members: DataFrame, arrays: DataFrame) -> DataFrame:
         yield from flush()
 
     dealt = members.join(_only(arrays, members.select("sid").distinct()), "sid").repartition("cover", "mine").sortWithinPartitions("cover", "mine")
-    return dealt.select("cover", "mine", "sid", "component", "data").mapInArrow(run, "a long, b long")
+    return dealt.select("cover", "mine", "sid", "component", "data").mapInArrow(giving_back(run), "a long, b long")
 
 
 def _between(members: DataFrame, arrays: DataFrame) -> DataFrame:
@@ -604,7 +605,7 @@ def _between(members: DataFrame, arrays: DataFrame) -> DataFrame:
     other = packed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).where("mine <> other")
     keyed = other.select("cover", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"), F.struct("mine", "members").alias("block"))
     both = keyed.groupBy("cover", "lo", "hi").agg(F.collect_list("block").alias("blocks")).where("size(blocks) = 2")
-    return both.select("blocks").mapInArrow(run, "a long, b long")
+    return both.select("blocks").mapInArrow(giving_back(run), "a long, b long")
 
 
 # --- The join ----------------------------------------------------------------

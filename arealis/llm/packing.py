@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from arealis.llm.bpe import PieceCache
-from arealis.llm.common import by_bytes, no_collection
+from arealis.llm.common import by_bytes, giving_back, no_collection
 from arealis.llm.token_counts import Library, library
 from arealis.scratch import stored
 
@@ -115,6 +115,12 @@ def _coder(tokenizer: str) -> tuple[Library, PieceCache]:
     return coder, PieceCache(lambda pieces: map(_raw, coder.pieces(pieces)))
 
 
+def forget() -> None:
+    """Let go of tokenizers and caches: a worker would hold them, some 200 MB, while it runs the tasks of other operators."""
+    _coder.cache_clear()
+    library.cache_clear()
+
+
 def token_bytes(texts: list[str], tokenizer: str) -> Iterator[bytes]:
     """The ids of each text as little-endian unsigned 32-bit numbers."""
     coder, cache = _coder(tokenizer)
@@ -153,8 +159,9 @@ def token_pieces(docs: DataFrame, tokenizer: str, size: int, end_id: int, id_col
                     [batch.column(0).take(longs(of)), pa.array(piece, pa.int32()), longs(start), longs(length), longs(crc), longs(rank), pa.array([task] * len(of), pa.int32())],
                     ["id", "piece", "start", "length", "ids_crc32", "local_rank", "task"],
                 )
+        forget()
 
-    return source.mapInArrow(run, f"id {kind}, piece int, start long, length long, ids_crc32 long, local_rank long, task int")
+    return source.mapInArrow(giving_back(run), f"id {kind}, piece int, start long, length long, ids_crc32 long, local_rank long, task int")
 
 
 def pack(docs: DataFrame, tokenizer: str, size: int = 1024, end_id: int = 2, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

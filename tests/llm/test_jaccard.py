@@ -5,7 +5,7 @@ import pyarrow as pa
 
 from arealis.llm.graph import components, merged
 from arealis.llm.jaccard import (
-    _covers, _flush, _packed, _unpacked, contested, jaccard_components, joining_links, most_different, one_of_each, shingle_sets, signatures, sketch, sketch_difference,
+    CHUNK, _covers, _flush, _packed, _powers, _unpacked, contested, jaccard_components, joining_links, most_different, one_of_each, shingle_sets, signatures, sketch, sketch_difference, word_hashes,
 )
 
 
@@ -181,6 +181,15 @@ def test_words_are_cut_at_the_named_bytes():
     assert (sets[0] == sets[5]).all() and sets[1][0] != sets[2][0]
 
 
+def test_a_long_text_leaves_no_powers_behind():
+    def hashes(text):
+        return word_hashes(np.frombuffer(text, np.uint8), np.array([0, len(text)]))[0]
+
+    n = CHUNK // 2
+    assert len(found := hashes(b"a word " * n)) == 2 * n and set(found.tolist()) == set(hashes(b"word a").tolist())
+    assert len(_powers(1)[0]) <= CHUNK + 1
+
+
 def test_components_after_further_links(spark):
     frame = lambda rows: spark.createDataFrame(rows, "a long, b long")
     first, more = [(5, 6), (6, 7), (8, 9)], [(7, 9), (6, 8), (9, 3), (20, 21), (21, 21)]

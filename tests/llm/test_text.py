@@ -4,10 +4,12 @@ import hashlib
 import os
 import random
 import re
+import time
 import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from arealis.llm.bpe import PieceCache, TrieEncoder, encode_decode
@@ -117,6 +119,20 @@ def test_packing(spark, library):
     assert pack(spark.createDataFrame([], "doc_id long, text string"), tokenizer_path()).collect() == []
 
 
+def test_packing_leaves_no_tokenizer_in_the_workers(spark):
+    docs = spark.createDataFrame([(k, f"some words {k}") for k in range(40)], "doc_id long, text string")
+    assert pack(docs, tokenizer_path()).count() == 40
+
+    def held(batches):
+        from arealis.llm.packing import _coder
+
+        for _ in batches:
+            time.sleep(0.1)  # else one worker could have all tasks
+        yield pa.RecordBatch.from_pydict({"n": pa.array([_coder.cache_info().currsize], pa.int64())})
+
+    assert {r["n"] for r in spark.range(40).repartition(16).mapInArrow(held, "n long").collect()} == {0}
+
+
 def test_two_fit_uses_everything():
     rng = random.Random(2)
     for _ in range(50):
